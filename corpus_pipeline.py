@@ -3,36 +3,67 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linefold.llm import decontaminate, language_id, near_dedup
+from linefold.llm import bpe, decontaminate, language_id, near_dedup, secret_scan
 from linefold.llm.common import read, written
+from linefold.llm.queries import PATTERN, VOCABULARY
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """The columns that no operator reads under names that no operator writes."""
+    return docs.select(*[F.col(f"`{c}`") if c in ("doc_id", "lang", "text") else F.col(f"`{c}`").alias(f"in_{k}") for k, c in enumerate(docs.columns)])
+
+
+def _back(made: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again; n_chars follows the text."""
+    cols = [F.col(c if c in ("doc_id", "lang", "text") else f"in_{k}").alias(c) for k, c in enumerate(docs.columns)]
+    out = made.select(*cols)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (``und``)."""
-    found = language_id.identify(docs, language_id.fit(docs))
-    return found.where("lang_pred != 'und'").select(*docs.columns)
+    found = language_id.identify(_apart(docs), language_id.fit(docs))
+    return _back(found.where("lang_pred != 'und'"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id."""
+    """One document of each group stays: that with the smallest id.  Repeated rows of an id are one document: one row stays."""
     groups = near_dedup.near_duplicates(docs)
-    return docs.join(groups.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    left = docs.join(groups.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    return left.select(*docs.columns).dropDuplicates(["doc_id"]) if _repeats(left) else left.select(*docs.columns)
+
+
+def _repeats(docs: DataFrame) -> bool:
+    ids = docs.select("doc_id").where("doc_id is not null")
+    return bool(ids.groupBy("doc_id").count().where("count > 1").take(1))
 
 
 def decontaminate_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents; cuts the hit words out of the others."""
     blocks = decontaminate.blocks_of(read(spark, sf_dir, "benchmark"))
-    scanned = decontaminate.scan(docs, blocks)
-    return decontaminate.remove_spans(scanned.where("not contaminated").select(*docs.columns), blocks)
+    return _back(decontaminate.clean(_apart(docs), blocks), docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret that is found; all documents stay."""
+    return _back(secret_scan.redact(_apart(docs), secret_scan.fit(docs)), docs)
+
+
+def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and proof of the round trip."""
+    return bpe.round_trip(docs, VOCABULARY, PATTERN, keep=["doc_id"], with_ids=True)
 
 
 STAGES = [
     ("language_id", identify_language),
     ("near_dedup", drop_near_duplicates),
     ("decontamination", decontaminate_benchmarks),
+    ("secret_scan", redact_secrets),
+    ("byte_bpe", encode_bpe),
 ]
-#: The stages run Python over texts and fit a model; SQL cannot express them.
+#: The stages fit models and run Python over texts; SQL cannot express them.
 ORACLE_SQL = None
 
 

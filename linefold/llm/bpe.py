@@ -194,17 +194,19 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = No
     return _apply(docs, path, pattern, "ids array<int>, n_tokens long", fn, keep)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = None) -> DataFrame:
-    """Encode and decode again: n_tokens, ids_sha256, decoded_sha256, exact (the bytes are those of the text)."""
+def round_trip(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
+    """Encode and decode again: n_tokens, ids_sha256, decoded_sha256, exact (the bytes are those of the text), and the ids if wanted."""
 
     def fn(enc, texts):
         out = []
         for t, ids in zip(texts, enc.encode(texts)):
             back = enc.decode(ids)
-            out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), back == t.encode("utf-8", "surrogatepass")))
-        return [list(c) for c in zip(*out)] if out else [[], [], [], []]
+            row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), back == t.encode("utf-8", "surrogatepass"))
+            out.append((*row, np.frombuffer(ids, "<i4")) if with_ids else row)
+        return [list(c) for c in zip(*out)] if out else [[]] * (4 + with_ids)
 
-    return _apply(docs, path, pattern, "n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean", fn, keep)
+    new = "n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean" + ", ids array<int>" * with_ids
+    return _apply(docs, path, pattern, new, fn, keep)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

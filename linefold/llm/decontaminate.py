@@ -157,29 +157,29 @@ def digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-def remove_spans(docs: DataFrame, blocks: list) -> DataFrame:
-    """The documents without the text of their hit word runs; other characters stay as they are."""
-
-    def cut(text: str, mask: np.ndarray) -> str:
-        raw, out, at, k = text.encode("utf-8", "surrogatepass"), [], 0, 0
-        low = raw.translate(TABLE)
-        p = 0
-        for w in low.split():
-            p = low.index(w, p)
-            if mask[k]:
-                out.append(raw[at:p])
-                at = p + len(w)
-            p += len(w)
-            k += 1
-        return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
+def _cut(text: str, mask: np.ndarray) -> str:
+    """The text without its masked words; other characters stay as they are."""
+    raw, out, at, p = text.encode("utf-8", "surrogatepass"), [], 0, 0
+    low = raw.translate(TABLE)
+    for hit, w in zip(mask.tolist(), low.split()):
+        p = low.index(w, p)
+        if hit:
+            out.append(raw[at:p])
+            at = p + len(w)
+        p += len(w)
+    return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
+
+
+def clean(docs: DataFrame, blocks: list) -> DataFrame:
+    """The documents that are not contaminated, without the words that are hit; null texts stay null."""
 
     def make():
         def fn(texts):
-            _, found = _hits(blocks, texts)
-            return [[cut(t, found[i][0]) if i in found else t for i, t in enumerate(texts)]]
+            split, found = _hits(blocks, texts)
+            drop = [i in found and RATIO * int(found[i][0].sum()) >= len(split[i]) for i in range(len(texts))]
+            return drop, [_cut(t, found[i][0]) if i in found and not drop[i] else t for i, t in enumerate(texts)]
 
         return fn
 
-    order = docs.columns
-    with_clean = map_texts(docs, "`_clean_text` string", make)
-    return with_clean.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_clean_text"))).select(*order)
+    made = map_texts(docs, "contaminated_ boolean, cleaned_ string", make)
+    return made.where("not contaminated_").withColumn("text", F.when(F.col("text").isNotNull(), F.col("cleaned_"))).select(*docs.columns)

@@ -2,12 +2,53 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import decontaminate, language_id, near_dedup
+from linefold.llm import bpe, chat_format, decontaminate, language_id, license_scan, media_columns, near_dedup, quality_knn, secret_scan, toxicity
 from linefold.llm.common import held_out, read
 
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.collapse(read(spark, sf_dir, "conversations"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    grammar = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    found = toxicity.detect(docs, grammar, keep=["doc_id"])
+    return found.select(
+        "doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("clauses").cast("long").alias("n_clauses")
+    )
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.fit(docs), keep=["doc_id"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("findings", lambda x: x["base"])
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
+
+
+def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = quality_knn.rate(docs, quality_knn.fit(docs, read(spark, sf_dir, "labels")), keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.matches(read(spark, sf_dir, "documents"))
+
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = decontaminate.blocks_of(read(spark, sf_dir, "benchmark"))
@@ -27,5 +68,46 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op6_decontaminate, op7_minhash_near_dedup, op8_language_id)}
-ORACLE_SQL: dict[str, str] = {}
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), VOCABULARY, PATTERN, keep=["doc_id"])
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = media_columns.store(read(spark, sf_dir, "documents"))
+    found = media_columns.read_back(rows)
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "digest").join(found, "digest").select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height"
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_chat_format,
+        op2_toxicity,
+        op3_secret_scan,
+        op4_quality_knn,
+        op5_license_scan,
+        op6_decontaminate,
+        op7_minhash_near_dedup,
+        op8_language_id,
+        op9_byte_bpe,
+        op10_media_columns,
+    )
+}
+
+#: The other operators run Python over texts or fit models; their tests compare with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": """
+        WITH t AS (
+            SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n
+            FROM conversations WHERE conv_id IS NOT NULL),
+        p AS (
+            SELECT conv_id, n, n = max(n) OVER (PARTITION BY conv_id) AS is_last,
+                   string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '')
+                       OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS chat
+            FROM t),
+        whole AS (SELECT min(conv_id) AS conv_id, n AS n_turns, count(*) AS n_same, chat FROM p WHERE is_last GROUP BY n, chat)
+        SELECT conv_id, n_turns, n_same, chat FROM whole
+        WHERE chat NOT IN (SELECT chat FROM p WHERE NOT is_last)"""
+}
