@@ -12,18 +12,21 @@ A document's set holds its distinct 3-word shingles (words
    with the bucket's smallest node; pairs are dropped if the likelihood of
    their registers (equal, higher, lower) peaks below ``LEAST_ESTIMATE``, and
    confirmed on the full sets otherwise.
-4. Confirmed links give components.  A bucket whose nodes lie in more than one
-   component is cut into blocks; each pair of blocks is compared register by
-   register in one task, and pairs across components that the likelihood does
-   not rule out are confirmed too.  So no group emits all its pairs, and no
-   bucket goes to one task.
+4. Confirmed links give components.  Buckets whose nodes lie in more than one
+   component stay open: nodes connected through open buckets form families.  A
+   family is cut into blocks of nodes, and each pair of blocks is compared on
+   the full sets in one task, which returns only links between components, at
+   most one fewer than its nodes.  So no group emits all its pairs or goes to
+   one task.  (Families over ``FAMILY`` nodes are compared bucket by bucket.)
 5. Components of all confirmed links; copies take their node's component.
 
 With ``BANDS`` x ``ROWS`` registers a pair at the threshold shares no band key
 with probability below 1e-6.
 
 Documents without words link with nothing.  Rows with a null id come out with
-a null component and kept = true.  Repeated rows of an id share its component.
+a null component and kept = true.  Rows of the same id are one document and
+share its component; if their texts differ, the set with the smallest digest
+stands for it.
 """
 
 from __future__ import annotations
@@ -43,8 +46,9 @@ REGISTERS = BANDS * ROWS
 BASE = 1.05
 #: Five standard errors of the estimate below the threshold.
 LEAST_ESTIMATE = NUM / DEN - 5 * (0.85 * 0.15 / REGISTERS) ** 0.5
-#: Nodes in one block of a bucket that is compared block by block.
-BLOCK = 512
+#: Nodes in one block of a family.
+BLOCK = 256
+FAMILY = 50_000
 MAX_ROUNDS = 40
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RNG = np.random.default_rng(20240607)
@@ -127,7 +131,17 @@ def sketch(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    return map_texts(docs, "`set` binary", lambda: lambda texts: [[s.tobytes() for s in shingles(texts)]], keep=["id"])
+    """id and full set of rows whose text has the wanted set ``digest``."""
+
+    def make():
+        def fn(texts):
+            own = [s.tobytes() for s in shingles(texts)]
+            return own, list(map(xxhash.xxh3_128_digest, own))
+
+        return fn
+
+    made = map_texts(docs, "`set` binary, own binary", make, keep=["id", "digest"])
+    return made.where("digest = own").select("id", "set").dropDuplicates(["id"])
 
 
 def _estimate_pairs(batches):
@@ -195,20 +209,38 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _compare_blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Pairs of one pair of blocks that lie in different components and whose registers do not rule a link out."""
+    """Links between components in one pair of blocks, by exact comparison; none that others imply."""
     i, j = key[1].as_py(), key[2].as_py()
     block, ids, comp = (table.column(c).to_numpy() for c in ("block", "id", "component"))
     size = table.column("n_shingles").to_numpy()
-    regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    _, local = np.unique(np.frombuffer(b"".join(table.column("set").to_pylist()), np.uint64), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
     right = np.flatnonzero(block == j)
-    out_a, out_b = [], []
+    flat = np.concatenate([local[starts[r] : starts[r] + size[r]] for r in right]) if len(right) else local[:0]
+    cuts = np.concatenate([[0], np.cumsum(size[right])[:-1]])
+    comp = comp.copy()
+    mark = np.zeros(int(local.max(initial=0)) + 1, np.int64)
+    out: tuple[list, list] = ([], [])
     for x in np.flatnonzero(block == i):
-        others = right[ids[right] > ids[x]] if i == j else right
-        others = others[comp[others] != comp[x]]
-        ok = likelihood_estimate((regs[others] == regs[x]).sum(1), size[others], size[x]) >= LEAST_ESTIMATE
-        out_a += [ids[x]] * int(ok.sum())
-        out_b += ids[others[ok]].tolist()
-    return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+        if (comp[right] == comp[x]).all():
+            continue
+        own = local[starts[x] : starts[x] + size[x]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[flat], cuts)
+        mark[own] = 0
+        for r in right[DEN * both >= NUM * (size[x] + size[right] - both)]:
+            if comp[r] != comp[x]:
+                out[0].append(ids[x])
+                out[1].append(ids[r])
+                comp[comp == comp[r]] = comp[x]
+    return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+
+def _cells(member: DataFrame) -> DataFrame:
+    """Rows (group, id, n: nodes of the group, ...) sent to each pair of blocks (i <= j) of their group that they are part of."""
+    m = member.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return m.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("n", "blocks", "other")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -216,9 +248,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     docs = docs.select(F.col(id_col).alias("id"), "text")
     sk = written(sketch(docs, "id"), "sketch")
     full = sk.where("digest is not null and id is not null")
+    repeated = full.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least != most")
+    repeated_ids = bool(repeated.take(1))
+    if repeated_ids:
+        full = written(full.join(repeated, "id", "left").where("least is null or digest = least").drop("least", "most"), "sketch")
     node_of = full.groupBy("digest").agg(F.min("id").alias("node"))
     nodes = written(
-        full.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "regs", "keys")).alias("x")).select("x.*"), "nodes"
+        full.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "regs", "keys")).alias("x")).select("digest", "x.*"), "nodes"
     )
     bands = nodes.select("id", F.explode("keys").alias("key"))
     centres = bands.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre != last").select("key", "centre")
@@ -226,29 +262,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     pairs = shared.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     likely = written(_estimated(pairs, nodes), "pairs")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        return _sets(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]))
-
-    links = written(_confirmed(likely, sets_of(likely)), "links")
+    wanted = shared.select("id").distinct().join(nodes.select("id", "digest"), "id")
+    sets = written(_sets(docs.join(wanted, "id")), "sets")
+    links = written(_confirmed(likely, sets), "links")
     comp = written(components(links), "components")
 
-    # buckets that still hold more than one component
-    member = shared.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    # nodes whose buckets hold more than one component
+    member = shared.join(comp, "id", "left").select("key", "id", "centre", F.coalesce("component", "id").alias("component"))
     open_keys = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "n")
-    member = member.join(open_keys, "key").join(nodes.select("id", "n_shingles", "regs"), "id")
-    member = member.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    cells = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "n_shingles", "regs"
-    )
-    more = cells.groupBy("key", "i", "j").applyInArrow(_compare_blocks, "a long, b long").distinct()
-    more = written(more.join(likely, ["a", "b"], "left_anti").join(likely.toDF("b", "a"), ["a", "b"], "left_anti"), "pairs")
-    found = written(_confirmed(more, sets_of(more)), "links")
+    member = written(member.join(open_keys, "key"), "open")
+    family = components(member.select(F.col("id").alias("a"), F.col("centre").alias("b"))).select("id", F.col("component").alias("group"))
+    sizes = family.groupBy("group").agg(F.count("*").alias("n"))
+    family = written(family.join(sizes, "group"), "families")
+    small = member.select("id", "component").distinct().join(family.where(F.col("n") <= FAMILY), "id").select("group", "id", "component", "n")
+    large = member.join(family.where(F.col("n") > FAMILY).select("id"), "id", "left_semi").select(F.col("key").alias("group"), "id", "component", "n")
+    cells = _cells(small.union(large)).join(nodes.select("id", "n_shingles"), "id").join(sets, "id")
+    found = written(cells.groupBy("group", "i", "j").applyInArrow(_compare_blocks, "a long, b long"), "links")
     if found.take(1):
         comp = written(components(links.union(found)), "components")
 
     of_node = node_of.join(comp, node_of["node"] == comp["id"], "left").select("digest", F.coalesce("component", "node").alias("component"))
-    out = sk.select("id", "n_shingles", "digest").join(of_node, "digest", "left")
-    return out.select(
-        F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"), (F.col("id").isNull() | (F.coalesce("component", "id") == F.col("id"))).alias("kept")
-    )
+    of_id = full.select("id", "digest").distinct().join(of_node, "digest").select("id", "component") if repeated_ids else None
+    out = sk.join(of_id, "id", "left") if repeated_ids else sk.join(of_node, "digest", "left")
+    component = F.coalesce("component", "id")
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id").isNull() | (component == F.col("id"))).alias("kept"))
