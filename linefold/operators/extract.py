@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from linefold.functions.text import first_text, match_marker
 from linefold.operators import matching, ordered
 from linefold.plans.markers_sql import ENDED_SQL  # noqa: F401
+from linefold.session import written
 from linefold.operators.patterns import (
     ACTIVITY_INTRO,
     BODY_TYPES,
@@ -129,10 +130,15 @@ def distinct_lines(rows: DataFrame, per_file: bool = False) -> DataFrame:
     return firsts.unionByName(rows.where(~has))
 
 
+def with_text(rows: DataFrame) -> DataFrame:
+    """Append t, the line's text."""
+    return rows.withColumn("t", first_text("text", "text_display"))
+
+
 def live_lines(rows: DataFrame) -> DataFrame:
-    """Lines that count, numbered in reading order within the file, with their flags."""
+    """Of lines with t those that count, numbered in reading order within the file, with their flags."""
     doc = rows.groupBy("file").agg(F.max("page_width").alias("doc_width"))
-    r = rows.withColumn("t", first_text("text", "text_display")).join(doc, "file", "left")
+    r = rows.join(doc, "file", "left")
     review = r.where(F.col("t").rlike(REVIEW_CORNER)).select("file", "page").distinct().withColumn("is_review", F.lit(True))
     wide = F.col("type").isin(*FIGURE_TYPES) & F.coalesce(F.col("region.width") > F.coalesce(F.nullif("page_width", F.lit(0.0)), "doc_width") * WIDE_SHARE, F.lit(False))
     drop = F.coalesce(F.col("type").isin(*DROP_TYPES), F.lit(False)) | F.col("conversion_output").eqNullSafe(False) | F.coalesce(wide, F.lit(False))
@@ -147,12 +153,11 @@ def live_lines(rows: DataFrame) -> DataFrame:
 
 
 def candidates(rows: DataFrame, live: DataFrame) -> DataFrame:
-    """Lines that may start a problem."""
-    parents = rows.where("id is not null").groupBy("file", F.col("id").alias("parent_id")).agg(F.max(F.struct("ord", "type", first_text("text", "text_display").alias("t"))).alias("p"))
+    """Lines (with m, see ``marker_of``) that may start a problem."""
+    parents = rows.where("id is not null").groupBy("file", F.col("id").alias("parent_id")).agg(F.max(F.struct("ord", "type", "t")).alias("p"))
     f, by, t = ["file"], ["idx"], F.col("t")
     window_text = ordered.ahead_text(t, 8, f, by)
-    c = live.withColumn("m", marker_of(t, F.col("font_size")))
-    c = c.withColumn("has_end", window_text.rlike(ORDER_END) | window_text.rlike(ORDER_END_ANY))
+    c = live.withColumn("has_end", window_text.rlike(ORDER_END) | window_text.rlike(ORDER_END_ANY))
     c = c.withColumn("after_intro", ordered.any_near(t.rlike(ACTIVITY_INTRO), 3, -1, f, by))
     head = ordered.carried(F.when((F.col("type") == "section_header") & (t != ""), t), f, by, back=40, current=False)
     c = c.withColumn("under_prep", F.coalesce(head.rlike(PREP_HEAD), F.lit(False)))
@@ -184,11 +189,16 @@ def in_bands(cands: DataFrame) -> DataFrame:
 
 
 def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(problems, lines of problems, figures of problems)."""
-    rows = distinct_lines(rows, per_file_dedup)
+    """(problems, lines of problems, figures of problems).
+
+    Tables that several steps use are written to the shared folder, which also
+    keeps plans small and lets later steps outlive lost executors.
+    """
+    rows = written(with_text(distinct_lines(rows, per_file_dedup)), "rows")
     live = live_lines(rows)
-    kept = in_bands(candidates(rows, live))
-    kept = kept.join(matching.repaired(kept, "file", heir="문제"), ["file", "idx"])
+    live = written(live.withColumn("m", marker_of(F.col("t"), F.col("font_size"))), "live")
+    kept = written(in_bands(candidates(rows, live)), "kept")
+    kept = written(kept.join(matching.repaired(kept, "file", heir="문제"), ["file", "idx"]), "kept")
     threshold = ordered.learned_gap(live, ["file"], "gap", GAP_LOW, GAP_HIGH, GAP_FACTOR, GAP_LEAST)
     heads = kept.select("file", "idx", F.col("idx").alias("head_idx"), "kind")
     t = F.col("t")
@@ -206,11 +216,13 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
         "solution": t.rlike(SOLUTION),
     }
     seg = seg.withColumns(flags)
-    cut = segment_exits(seg, ["file"], ["예제", "유제"])
+    seg = written(seg, "segments")
+    cut = written(segment_exits(seg, ["file"], ["예제", "유제"]), "ends")
     last_file = live.agg(F.max("file").alias("last_file"))  # one row
     body = seg.join(cut, ["file", "start"]).where(F.col("idx") < F.col("end"))
     is_fig = F.col("type").isin(*FIGURE_TYPES)
     lines = body.select("file", "start", "idx", "page", "t", "type", F.col("region.top_left_y").alias("y"), F.coalesce(is_fig, F.lit(False)).alias("is_fig"))
+    lines = written(lines, "lines")
 
     texts = F.transform(F.sort_array(F.collect_list(F.struct("idx", "t"))), lambda x: x["t"])
     whole = lines.groupBy("file", "start").agg(
@@ -224,6 +236,7 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
     weakish = F.col("name").isin(*WEAK_START, "두자리")
     p = p.where(~weakish | (~first.rlike(r"(?U)^\s*풀이\s*[(（]") & body_text.rlike(STRONG_END)))
     p = p.withColumn("mentions", F.array_join("texts", " ").rlike(FIGURE_REF)).withColumn("head", F.substring(F.element_at("texts", 1), 1, 90))
+    p = written(p, "problems")
 
     figs = live.where(is_fig & F.col("y_").isNotNull() & F.col("region.top_left_y").isNotNull()).select(
         "file", "page", F.col("idx").alias("fig"), F.col("region.top_left_y").alias("fy"), F.coalesce("region.height", F.lit(0.0)).alias("fh")
@@ -233,6 +246,7 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
     distance = F.greatest(F.col("y0") - (F.col("fy") + F.col("fh")), F.col("fy") - F.col("y1"), F.lit(0.0))
     near = p.where("y0 is not null").select("file", "page", "start", "y0", "y1", "mentions", F.size("figs").alias("n_figs")).join(figs, ["file", "page"])
     near = near.withColumn("distance", distance).join(uses, ["file", "fig"], "left").withColumn("owners", F.coalesce("owners", F.lit(0)))
+    near = written(near, "near")
     by_fig = Window.partitionBy("file", "fig").orderBy("start")
     reach = F.when(F.col("mentions"), FIG_MENTIONED).otherwise(FIG_NEAR)
     one = near.where((F.col("owners") == 0) & (F.col("distance") <= reach)).withColumn("k", F.row_number().over(by_fig)).where("k = 1").select("file", "start", "fig")
@@ -251,5 +265,5 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
 
 def orphan_figures(rows: DataFrame, shown: DataFrame) -> DataFrame:
     """Figures that no problem shows."""
-    live = live_lines(distinct_lines(rows))
+    live = live_lines(with_text(distinct_lines(rows)))
     return live.where(F.col("type").isin(*FIGURE_TYPES)).select("file", "page", F.col("idx").alias("fig")).join(shown.select("file", "fig").distinct(), ["file", "fig"], "left_anti")

@@ -17,3 +17,10 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="linefold-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df, label: str):
+    """Write ``df`` to the shared folder and read it back: later steps start from files that outlive executors."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
