@@ -96,6 +96,9 @@ QUERIES = {
     )
 }
 
+#: ASCII letters in lower case, in SQL.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: The other operators run Python over texts or fit models; their tests compare with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": """
@@ -109,5 +112,33 @@ ORACLE_SQL: dict[str, str] = {
             FROM t),
         whole AS (SELECT min(conv_id) AS conv_id, n AS n_turns, count(*) AS n_same, chat FROM p WHERE is_last GROUP BY n, chat)
         SELECT conv_id, n_turns, n_same, chat FROM whole
-        WHERE chat NOT IN (SELECT chat FROM p WHERE NOT is_last)"""
+        WHERE chat NOT IN (SELECT chat FROM p WHERE NOT is_last)""",
+    "op6_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+            FROM (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0), unnest(range(1, len(w) - n + 2)) AS t(i)),
+        dw AS (
+            SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+            FROM d, (SELECT DISTINCT n FROM bw), unnest(range(1, len(w) - n + 2)) AS u(p)),
+        hits AS (SELECT doc_id, p, n, item_id FROM dw JOIN bw USING (n, g)),
+        spots AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+        own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN own USING (doc_id)""",
+    "op7_minhash_near_dedup": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+            FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+            JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+        c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
 }

@@ -408,3 +408,21 @@ def test_chat_against_brute_force(spark):
     df = spark.createDataFrame([(i, k, r, t) for i, c in convs.items() for k, (r, t) in enumerate(c)], "conv_id long, turn long, role string, text string")
     want = {i for i, c in convs.items() if not any(len(o) > len(c) and o[: len(c)] == c for o in convs.values()) and min(j for j, o in convs.items() if o == c) == i}
     assert {r["conv_id"] for r in chat_format.collapse(df).collect()} == want
+
+
+# ---- SQL
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_against_sql(spark, name):
+    import glob
+    import os
+
+    import duckdb
+
+    d, con = "/root/testdata/sf0.01", duckdb.connect()
+    for f in glob.glob(f"{d}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
+    df = queries.QUERIES[name](spark, d)
+    cols = sorted(df.columns)
+    assert sorted(map(tuple, df.select(*cols).collect())) == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE_SQL[name]})").fetchall())
