@@ -165,34 +165,31 @@ def chains(df: DataFrame, group: str, most: int = 3) -> DataFrame:
     return df.select(group, "idx", "num", "shown").groupBy(group).applyInPandas(one, f"`{group}` {kind}, idx long, num long")
 
 
-def repair_number(raw: str | None, prev: int | None) -> tuple[int | None, bool]:
-    """The prefix of ``raw`` that follows ``prev``, else all of it; and whether that cut something off."""
-    if not raw or not raw.isdigit():
-        return None, False
-    follow = [k for k in range(1, len(raw)) if prev is not None and int(raw[:k]) == prev + 1]
-    return (int(raw[: follow[0]]), True) if follow and int(raw) != prev + 1 else (int(raw), False)
-
-
 def repaired(df: DataFrame, group: str, heir: str | None = None) -> DataFrame:
-    """Per group, in order of idx, num and num_fixed of (name, raw); a raw that is no number takes the next of the chain ``heir``."""
+    """num and num_fixed of (name, raw), per group and name in order of idx.
 
-    def one(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("idx")
-        prev: dict = {}
-        out = []
-        for name, raw in zip(f["name"], f["raw"]):
-            raw = None if raw is None or raw != raw else str(raw).strip()
-            if raw is not None and not raw.isdigit():
-                num, fixed, name = (prev[heir] + 1 if heir in prev else None), True, heir
-            else:
-                num, fixed = repair_number(raw, prev.get(name))
-            if num is not None:
-                prev[name] = num
-            out.append((num, fixed))
-        return f.assign(num=pd.array([n for n, _ in out], "Int64"), num_fixed=[x for _, x in out])[[group, "idx", "num", "num_fixed"]]
-
-    kind = df.schema[group].dataType.simpleString()
-    return df.select(group, "idx", "name", "raw").groupBy(group).applyInPandas(one, f"`{group}` {kind}, idx long, num long, num_fixed boolean")
+    Of a number that was read together with the digits after it, the prefix
+    that follows the previous number is taken; without one, the number as it
+    is.  A raw that is no number takes the next one of the chain ``heir``; a
+    null raw has none.  A fold over each chain's rows, in the JVM.
+    """
+    raw = F.trim(F.col("raw"))
+    digits = raw.rlike("^[0-9]+$")
+    rows = df.select(group, F.when(raw.isNull() | digits, F.col("name")).otherwise(F.lit(heir)).alias("_chain"), "idx", raw.alias("raw"), digits.alias("digits"))
+    folded = rows.groupBy(group, "_chain").agg(F.sort_array(F.collect_list(F.struct("idx", "raw", "digits"))).alias("all"))
+    empty = F.struct(F.lit(None).cast("long").alias("prev"), F.array().cast("array<struct<idx: bigint, num: bigint, num_fixed: boolean>>").alias("out"))
+
+    def step(acc, x):
+        want = acc["prev"] + 1
+        whole = x["raw"].try_cast("long")
+        cut = F.exists(F.sequence(F.lit(1), F.greatest(F.length(x["raw"]) - 1, F.lit(1))), lambda k: (k < F.length(x["raw"])) & (F.substring(x["raw"], F.lit(1), k).try_cast("long") == want))
+        cut = F.coalesce(cut & (whole != want), F.lit(False))
+        num = F.when(x["raw"].isNull(), None).when(~x["digits"] | cut, want).otherwise(whole)
+        fixed = F.coalesce(~x["digits"] | cut, F.lit(False))
+        row = F.struct(x["idx"].cast("long").alias("idx"), num.alias("num"), fixed.alias("num_fixed"))
+        return F.struct(F.coalesce(num, acc["prev"]).alias("prev"), F.concat(acc["out"], F.array(row)).alias("out"))
+
+    return folded.select(group, F.explode(F.aggregate("all", empty, step, lambda acc: acc["out"])).alias("x")).select(group, "x.*")
 
 
 def blobs(cells: DataFrame, page: str) -> DataFrame:
