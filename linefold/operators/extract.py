@@ -218,7 +218,7 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
     seg = seg.withColumns(flags)
     seg = written(seg, "segments")
     cut = written(segment_exits(seg, ["file"], ["예제", "유제"]), "ends")
-    last_file = live.agg(F.max("file").alias("last_file"))  # one row
+    last_file = live.agg(F.max("file")).scalar()
     body = seg.join(cut, ["file", "start"]).where(F.col("idx") < F.col("end"))
     is_fig = F.col("type").isin(*FIGURE_TYPES)
     lines = body.select("file", "start", "idx", "page", "t", "type", F.col("region.top_left_y").alias("y"), F.coalesce(is_fig, F.lit(False)).alias("is_fig"))
@@ -229,8 +229,8 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
         texts.alias("texts"), F.count("*").alias("lines"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.sort_array(F.collect_list(F.when(F.col("is_fig"), F.col("idx")))).alias("figs")
     )
     p = kept.withColumnRenamed("idx", "start").join(cut, ["file", "start"]).join(whole, ["file", "start"])
-    ended = F.when((F.col("reason") == "다음문제") & (F.col("file") != F.col("last_file")) & (F.lead("start").over(ordered.order(["file"], ["start"])).isNull()), "파일경계").otherwise(F.col("reason"))
-    p = p.crossJoin(F.broadcast(last_file)).withColumn("reason", ended).drop("last_file")
+    ended = F.when((F.col("reason") == "다음문제") & (F.col("file") != last_file) & (F.lead("start").over(ordered.order(["file"], ["start"])).isNull()), "파일경계").otherwise(F.col("reason"))
+    p = p.withColumn("reason", ended)
     body_text = F.regexp_replace(F.array_join("texts", ""), r"!\[[^\]]*\]\([^)]{0,300}\)|https?://\S+", "")
     first = F.coalesce(F.element_at(F.filter("texts", lambda x: x != ""), 1), F.lit(""))
     weakish = F.col("name").isin(*WEAK_START, "두자리")

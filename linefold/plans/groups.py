@@ -16,8 +16,8 @@ from linefold.sources.tables import LINES_SQL, lines, table
 @query("agg1_count_share", "SELECT event_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS share FROM events GROUP BY 1")
 def agg1(spark, d):
     n = table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("all"))  # one row
-    return n.crossJoin(F.broadcast(total)).select("event_type", "n", F.round(F.col("n") * 100.0 / F.col("all"), 4).alias("share"))
+    total = n.agg(F.sum("n")).scalar()
+    return n.select("event_type", "n", F.round(F.col("n") * 100.0 / total, 4).alias("share"))
 
 
 @query(
@@ -48,9 +48,9 @@ def agg3(spark, d):
 def agg4(spark, d):
     """24 equal bins, the last closed, empty ones included."""
     t = table(spark, d, "lineitem").select("l_quantity")
-    r = t.agg(F.min("l_quantity").alias("lo"), F.greatest(F.max("l_quantity") - F.min("l_quantity"), F.lit(1.0)).alias("span"))  # one row
-    bin_ = F.least(F.floor((F.col("l_quantity") - F.col("lo")) / F.col("span") * 24), F.lit(23)).alias("bin")
-    h = t.crossJoin(F.broadcast(r)).groupBy(bin_).agg(F.count("*").alias("n"))
+    r = t.agg(F.struct(F.min("l_quantity").alias("lo"), F.greatest(F.max("l_quantity") - F.min("l_quantity"), F.lit(1.0)).alias("span"))).scalar()
+    bin_ = F.least(F.floor((F.col("l_quantity") - r["lo"]) / r["span"] * 24), F.lit(23)).alias("bin")
+    h = t.select(bin_).groupBy("bin").agg(F.count("*").alias("n"))
     return spark.range(24).withColumnRenamed("id", "bin").join(h, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -139,8 +139,8 @@ def agg12(spark, d):
     """Document frequency of masked lines over a share of all documents."""
     m = lines(spark, d).where((F.length("text") >= 4) & F.col("text").rlike("[A-Za-z]")).select("doc_id", "text").distinct()
     n = m.groupBy(X.mask_digits("text").alias("masked")).agg(F.count("*").alias("n"))
-    least = table(spark, d, "documents").agg(F.greatest(F.lit(2), F.floor(F.count("*") * 0.004)).alias("least"))  # one row
-    return n.crossJoin(F.broadcast(least)).where("n >= least").select("masked", "n")
+    least = table(spark, d, "documents").agg(F.greatest(F.lit(2), F.floor(F.count("*") * 0.004))).scalar()
+    return n.where(F.col("n") >= least)
 
 
 @query("agg13_distinct_pages", "SELECT source, count(DISTINCT lang) AS langs, count(DISTINCT (lang, n_chars)) AS shapes FROM documents GROUP BY source")
