@@ -188,7 +188,31 @@ def in_bands(cands: DataFrame) -> DataFrame:
     return cands.join(bands, "file", "left").where(F.col("centres").isNull() | F.col("x").isNull() | near).drop("centres")
 
 
-def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def unmarked(live: DataFrame, kept: DataFrame, threshold: DataFrame) -> DataFrame:
+    """Optional candidates without a marker: paragraphs in a band, set off by a gap, in the usual type size, that end as a task.
+
+    Each is more than two lines from every marked one and from the one taken before it.
+    """
+    fonts = kept.where("font is not null").groupBy("file").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY font DESC)").alias("usual"))
+    bands = kept.where("x is not null").groupBy("file", F.floor(F.col("x") / BAND_WIDTH).alias("bucket")).agg(F.count("*").alias("n"))
+    bands = bands.withColumn("most", F.max("n").over(Window.partitionBy("file"))).where("n >= 2 or n = most")
+    bands = bands.groupBy("file").agg(F.collect_list((F.col("bucket") + 0.5) * BAND_WIDTH).alias("centres"))
+    t = F.col("t")
+    c = live.join(kept.select("file", "idx", F.lit(True).alias("taken")), ["file", "idx"], "left")
+    c = c.withColumn("near", ordered.any_near(F.col("taken"), 2, 2, ["file"], ["idx"]))
+    ahead = ordered.ahead_text(t, 8, ["file"], ["idx"])
+    c = c.withColumn("has_end", ahead.rlike(ORDER_END) | ahead.rlike(ORDER_END_ANY))
+    c = c.join(fonts, "file", "left").join(bands, "file").join(threshold, "file")
+    plain = F.col("type").isin(*BODY_TYPES) & (F.length(t) >= 12) & ~_is_image(t) & ~t.rlike(SUB_ITEM) & ~t.rlike(SOLUTION) & F.col("m").isNull() & t.rlike("^[가-힣]")
+    placed = F.exists("centres", lambda x: F.abs(F.col("region.top_left_x") - x) <= BAND_TOLERANCE) & (F.col("gap") >= F.col("threshold"))
+    sized = F.col("usual").isNull() | F.col("font_size").isNull() | (F.abs(F.col("font_size") - F.col("usual")) <= 6)
+    c = c.where(~F.col("near") & ~F.col("in_corner") & plain & placed & sized & F.col("has_end"))
+    picks = matching.spaced(c.select("file", "idx"), "file", "true", 2)
+    fields = c.select("file", "idx", "page", F.col("region.top_left_x").alias("x"), F.col("font_size").alias("font"), F.lit("지문").alias("name"), F.lit(None).cast("string").alias("raw"), F.lit("문제").alias("kind"))
+    return fields.join(picks, ["file", "idx"])
+
+
+def extract(rows: DataFrame, per_file_dedup: bool = False, with_unmarked: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(problems, lines of problems, figures of problems).
 
     Tables that several steps use are written to the shared folder, which also
@@ -198,8 +222,10 @@ def extract(rows: DataFrame, per_file_dedup: bool = False) -> tuple[DataFrame, D
     live = live_lines(rows)
     live = written(live.withColumn("m", marker_of(F.col("t"), F.col("font_size"))), "live")
     kept = written(in_bands(candidates(rows, live)), "kept")
-    kept = written(kept.join(matching.repaired(kept, "file", heir="문제"), ["file", "idx"]), "kept")
     threshold = ordered.learned_gap(live, ["file"], "gap", GAP_LOW, GAP_HIGH, GAP_FACTOR, GAP_LEAST)
+    if with_unmarked:
+        kept = written(kept.unionByName(unmarked(live, kept, threshold)), "kept")
+    kept = written(kept.join(matching.repaired(kept, "file", heir="문제"), ["file", "idx"]), "kept")
     heads = kept.select("file", "idx", F.col("idx").alias("head_idx"), "kind")
     t = F.col("t")
     seg = live.join(heads, ["file", "idx"], "left").join(threshold, "file", "left")

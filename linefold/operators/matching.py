@@ -218,16 +218,22 @@ def blobs(cells: DataFrame, page: str) -> DataFrame:
     return cells.select(page, "cx", "cy").groupBy(page).applyInPandas(one, f"`{page}` {kind}, blob long, cells long, x0 long, y0 long, x1 long, y1 long")
 
 
-def spaced(df: DataFrame, group: str, wanted: str, near: int = 2) -> DataFrame:
-    """Per group, in order of idx, the rows with ``wanted`` that are further than ``near`` from the one taken before.
+def disjoint(df: DataFrame, group: str, length: str) -> DataFrame:
+    """Per group, in order of idx, the rows whose stretch [idx, idx + length) begins after the one taken before it ended.
 
-    A fold over each group's ordered indices, in the JVM.
+    A fold over each group's ordered rows, in the JVM.
     """
-    empty = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<bigint>").alias("taken"))
+    empty = F.struct(F.lit(None).cast("long").alias("free"), F.array().cast("array<struct<idx: bigint, length: bigint>>").alias("taken"))
+
+    def step(acc, x):
+        ok = acc["free"].isNull() | (x["idx"] >= acc["free"])
+        return F.when(ok, F.struct((x["idx"] + x["length"]).alias("free"), F.concat(acc["taken"], F.array(x)).alias("taken"))).otherwise(acc)
 
-    def step(acc, i):
-        far = acc["last"].isNull() | (i - acc["last"] > near)
-        return F.when(far, F.struct(i.alias("last"), F.concat(acc["taken"], F.array(i)).alias("taken"))).otherwise(acc)
+    row = F.struct(F.col("idx").cast("long").alias("idx"), F.col(length).cast("long").alias("length"))
+    picks = df.groupBy(group).agg(F.sort_array(F.collect_list(row)).alias("all"))
+    return picks.select(group, F.explode(F.aggregate("all", empty, step, lambda acc: acc["taken"])).alias("x")).select(group, "x.*")
 
-    picks = df.where(wanted).groupBy(group).agg(F.sort_array(F.collect_list("idx")).alias("all"))
-    return picks.select(group, F.explode(F.aggregate("all", empty, step, lambda acc: acc["taken"])).alias("idx"))
+
+def spaced(df: DataFrame, group: str, wanted: str, near: int = 2) -> DataFrame:
+    """Per group, in order of idx, the rows with ``wanted`` that are further than ``near`` from the one taken before."""
+    return disjoint(df.where(wanted).withColumn("_n", F.lit(near + 1)), group, "_n").drop("length")

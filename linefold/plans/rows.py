@@ -352,3 +352,11 @@ def flt14(spark, d):
 @query("flt15_candidate_lines", rf"WITH {LINES_SQL} SELECT doc_id, idx FROM lines WHERE contains(left(text, 14), 'the') OR regexp_matches(text, '^[0-9 ]+$')")
 def flt15(spark, d):
     return lines(spark, d).where(F.contains(F.substring("text", 1, 14), F.lit("the")) | F.col("text").rlike("^[0-9 ]+$")).select("doc_id", "idx")
+
+
+@query("flt16_negative_blocks")
+def flt16(spark, d):
+    """Blocks of lines that are no tasks: five from a head, three up to an ending, none overlapping an earlier one."""
+    t = F.col("text")
+    length = F.when(t.rlike("^(The|Der|La|El)\\b"), 5).when(t.rlike("tion[.]\\s*$"), 3)
+    return matching.disjoint(lines(spark, d).withColumn("take", length).where("take is not null"), "doc_id", "take")
