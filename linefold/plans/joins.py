@@ -227,6 +227,13 @@ def jon20(spark, d):
     return matching.first_kept(c, "conv_id").where("kept").select("conv_id", "idx")
 
 
+@query("mtc5_first_kept")
+def mtc5(spark, d):
+    """Each turn of a conversation with whether it is kept: not contained in an earlier kept one."""
+    c = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("idx"), X.grams("text").alias("grams"))
+    return matching.first_kept(c, "conv_id")
+
+
 @query(
     "jon21_uncovered_cells",
     """WITH c AS (SELECT DISTINCT user_id AS page, hour(ts) AS cx, CAST(floor(value / 4) AS BIGINT) AS cy FROM events WHERE event_type <> 'view'),
@@ -254,6 +261,12 @@ def mtc1(spark, d):
     return matching.aligned(_turn_grams(spark, d, "user"), _turn_grams(spark, d, "assistant"), "conv_id").withColumn("sim", F.round("sim", 6))
 
 
+@query("mtc2_rescued")
+def mtc2(spark, d):
+    """The pairs that only rescue found: by similarity out of order, by place, or by containment."""
+    return mtc1(spark, d).where("how != 'order'")
+
+
 @query("mtc3_overlap")
 def mtc3(spark, d):
     """Matched-block recall and precision of neighbouring turns."""

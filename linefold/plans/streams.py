@@ -49,3 +49,18 @@ def str9(spark, d):
 def str10(spark, d):
     """Extension: two-hour windows that slide by an hour."""
     return S.run_upsert(S.tumbling(S.source(spark, d), "2 hours", "1 hour"), ["start_us", "event_type"])
+
+
+@query(
+    "str8_error_rows",
+    """SELECT event_id, 'error' AS state FROM events WHERE event_type = 'error' UNION ALL SELECT event_id, 'done' FROM events WHERE event_type <> 'error'""",
+)
+def str8(spark, d):
+    """Rows that fail go on as error rows beside the others; only a batch's first failure would stop it."""
+    return S.run_split(S.source(spark, d))
+
+
+@query("snk5_event_log", "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_type = 'error' THEN left(event_type, 500) END AS unparsed FROM events")
+def snk5(spark, d):
+    """The feed as an appended JSON log, unparsed payloads kept as text, read back."""
+    return S.run_log(S.source(spark, d))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import json
+import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -50,6 +52,24 @@ def read_lines(spark: SparkSession, path: str, name_contains: list[str] | None =
     return one.select("file", "page", "page_width", "page_height", (F.col("p").cast("long") * 1_000_000 + F.col("k")).alias("ord"), "l.*")
 
 
+def read_packages(spark: SparkSession, path: str, ending: str = "*.zip") -> DataFrame:
+    """path, part, content of the members of all zip packages below ``path``; a file that is no package gives one row with a null part."""
+
+    def parts(frames):
+        for f in frames:
+            rows = []
+            for name, body in zip(f["path"], f["content"]):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(body)) as z:
+                        rows += [(name, m.filename, z.read(m)) for m in z.infolist() if not m.is_dir()]
+                except zipfile.BadZipFile:
+                    rows.append((name, None, None))
+            yield pd.DataFrame(rows, columns=["path", "part", "content"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", ending).load(path)
+    return files.select("path", "content").mapInPandas(parts, "path string, part string, content binary")
+
+
 # First bytes of file kinds.
 MAGIC = [(b"%PDF", "pdf"), (b"PK\x03\x04", "zip"), (b"\x89PNG", "png"), (b"\xff\xd8\xff", "jpg"), (b"GIF8", "gif"), (b"\xd0\xcf\x11\xe0", "ole")]
 

@@ -69,6 +69,32 @@ def inversions(events: DataFrame) -> DataFrame:
     )
 
 
+def run_split(events: DataFrame) -> DataFrame:
+    """Each batch into a table of done rows and one of error rows, whose union is returned."""
+    spark = events.sparkSession
+    base = shared_dir(spark, "split")
+    rows = events.select("event_id", F.when(F.col("event_type") == "error", "error").otherwise("done").alias("state"))
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").partitionBy("state").parquet(f"{base}/out/part_{number}")
+
+    rows.writeStream.foreachBatch(save).option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start().awaitTermination()
+    done, failed = (spark.read.schema("event_id long").parquet(f"{base}/out/part_*/state={x}").withColumn("state", F.lit(x)) for x in ("done", "error"))
+    return done.unionByName(failed)
+
+
+def run_log(events: DataFrame) -> DataFrame:
+    """Appended JSON lines with either the parsed fields or the payload's text."""
+    spark = events.sparkSession
+    base = shared_dir(spark, "log")
+    payload = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(F.col("props"))
+    ok = F.try_parse_json(payload).isNotNull()
+    rows = events.select("event_id", F.when(ok, F.from_json(payload, PAYLOAD)["k"]).alias("k"), F.when(~ok, F.substring(payload, 1, 500)).alias("unparsed"))
+    q = rows.writeStream.format("json").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out")
+    q.awaitTermination()
+    return spark.read.schema("event_id long, k long, unparsed string").json(f"{base}/out")
+
+
 def run_append(out: DataFrame) -> DataFrame:
     spark = out.sparkSession
     base = shared_dir(spark, "stream")

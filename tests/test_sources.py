@@ -1,6 +1,7 @@
 """Page JSON at any depth, file trees, and the optional paragraphs without a marker."""
 
 import json
+import zipfile
 
 from linefold.operators import extract as E
 from linefold.sources import pages as P
@@ -28,6 +29,15 @@ def test_inventory(spark, tmp_path):
     assert [r["n"] for r in P.duplicate_files(files).collect()] == [2]
 
 
+def test_packages(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/section.xml", "<a/>")
+        z.writestr("bin.dat", b"12")
+    (tmp_path / "b.zip").write_bytes(b"nothing")
+    got = {(r["path"][-5:], r["part"], bytes(r["content"] or b"")) for r in P.read_packages(spark, str(tmp_path)).collect()}
+    assert got == {("a.zip", "x/section.xml", b"<a/>"), ("a.zip", "bin.dat", b"12"), ("b.zip", None, b"")}
+
+
 def test_unmarked_paragraphs(spark):
     lines = BOOK[:9] + [line("a", 20 + k, f"표기가 없는 문단으로서 값을 구하시오. {k}", 1000 + 150 * k, page=2) for k in range(3)]
     rows = spark.createDataFrame(lines, E.LINES)
