@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from linefold.llm.common import map_texts
 
 #: Words that a worker remembers.
-MAX_WORDS = 400_000
+MAX_WORDS = 300_000
 #: Characters of one stretch.
-STRETCH = 4_000_000
+STRETCH = 2_500_000
 NEVER = np.int32(2**31 - 1)
 
 
