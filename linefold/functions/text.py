@@ -35,15 +35,19 @@ def keep_only(c, run: str) -> Column:
 def grams(c, n: int = 3) -> Column:
     """Distinct n-character shingles; a shorter text is one, an empty one has none.
 
-    The characters are taken apart once and zipped with themselves: cutting each
-    shingle out of the text would walk the text from its start every time.
+    A look-ahead yields the shingle at every position in one pass; cutting each
+    out with substring would walk the text from its start every time.  It moves
+    by UTF-16 units, so texts beyond the basic plane take their characters apart
+    and zip them instead.
     """
     c = F.col(c) if isinstance(c, str) else c
+    ahead = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
     chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
     zipped = F.arrays_zip(*[F.slice(chars, k + 1, F.greatest(F.length(c), F.lit(1))).alias(f"c{k}") for k in range(n)])
     whole = F.filter(zipped, lambda x: x[f"c{n - 1}"].isNotNull())
-    many = F.array_distinct(F.transform(whole, lambda x: F.concat(*[x[f"c{k}"] for k in range(n)])))
+    apart = F.transform(whole, lambda x: F.concat(*[x[f"c{k}"] for k in range(n)]))
     size = F.coalesce(F.length(c), F.lit(0))
+    many = F.array_distinct(F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), apart).otherwise(ahead))
     return F.when(size == 0, F.array().cast("array<string>")).when(size <= n, F.array(c)).otherwise(many)
 
 

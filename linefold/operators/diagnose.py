@@ -16,7 +16,7 @@ LEAST_SIM, NEAR, LOW_CONFIDENCE = 0.18, 3, 0.6
 def why_missed(missed: DataFrame, live: DataFrame, bridge: DataFrame, kept: DataFrame) -> DataFrame:
     """(ref_id, why, sim, line_id): missed has (ref_id, head), live the marked lines with line_id, kept (file, idx) the starts."""
     g = lambda df, key, text: gram_sets(df.select(key, skeleton(F.col(text)).alias("s")).where("s != ''"), [key], "s")
-    pairs = overlaps(g(missed, "ref_id", "head"), g(live, "line_id", "t"), ["ref_id"], ["line_id"])
+    pairs = overlaps(g(missed, "ref_id", "head"), g(live, "line_id", "t"), ["ref_id"], ["line_id"], keep=lambda inter, a, b: inter / (a + b - inter) >= LEAST_SIM)
     best = best_match(pairs, ["ref_id"], "jaccard", "line_id", LEAST_SIM)
     w = ordered.order(["file"], ["idx"]).rowsBetween(-NEAR, NEAR)
     near = F.first(F.when(F.col("m").isNotNull(), F.struct("idx", "m.name")), ignorenulls=True).over(w)

@@ -78,8 +78,8 @@ def unpaired(refs: DataFrame, exts: DataFrame, pairs: DataFrame, keep_math: bool
     r = _prepared(refs, keep_math).withColumnRenamed("idx", "ref_idx")
     like = None
     for side in (full, head):
-        near = overlaps(side, r, ["tag", "idx"], ["tag", "ref_idx"], on=["tag"])
-        near = near.where((F.col("jaccard") >= DUPLICATE) | ((F.col("inter") >= 10) & (F.col("containment") >= DUPLICATE))).select("tag", "idx")
+        alike = lambda inter, a, b: (inter / (a + b - inter) >= DUPLICATE) | ((inter >= 10) & ((inter / a >= DUPLICATE) | (inter / b >= DUPLICATE)))
+        near = overlaps(side, r, ["tag", "idx"], ["tag", "ref_idx"], on=["tag"], keep=alike).select("tag", "idx")
         like = near if like is None else like.unionByName(near)
     out = full.join(like.distinct().withColumn("alike", F.lit(True)), ["tag", "idx"], "left")
     state = F.when(F.col("alike"), "duplicate").when(F.length("bare") < LEAST_CHARS, "short").otherwise("false")

@@ -7,6 +7,8 @@ rows on a common n-gram (an inverted-index join) and are counted.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,22 +27,24 @@ def gram_sets(df: DataFrame, key: list[str], text: str, n: int = 3) -> DataFrame
     return df.select(*key, F.transform(grams(text, n), lambda g: F.xxhash64(g)).alias("grams")).withColumn("size", F.size("grams").cast("long"))
 
 
-def overlaps(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], on: list[str] | None = None) -> DataFrame:
+def overlaps(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], on: list[str] | None = None, keep: Callable = lambda inter, a, b: inter > 0) -> DataFrame:
     """Pairs with a common n-gram: keys, inter, left_size, right_size, jaccard, containment.
 
     ``on`` names columns (part of both keys) that must be equal as well.
+    ``keep(inter, left_size, right_size)`` says which pairs matter; it is
+    written with operators only and runs where the pairs are counted.
     """
     on = on or []
     if not on and left.count() <= MOST_QUERIES:
-        return _ratios(_against(left, right, left_key, right_key))
+        return _ratios(_against(left, right, left_key, right_key, keep))
     a = left.select(*left_key, F.col("size").alias("left_size"), F.explode("grams").alias("gram"))
     b = right.select(*right_key, F.col("size").alias("right_size"), F.explode("grams").alias("gram"))
     keys = [*left_key, *[k for k in right_key if k not in on]]
     pairs = a.join(b, [*on, "gram"]).groupBy(*keys, "left_size", "right_size").agg(F.count("*").alias("inter"))
-    return _ratios(pairs)
+    return _ratios(pairs.where(keep(F.col("inter"), F.col("left_size"), F.col("right_size"))))
 
 
-def _against(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str]) -> DataFrame:
+def _against(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], keep: Callable) -> DataFrame:
     """Common n-grams of each right row with each of a bounded set of left rows: no shuffle, one pass over the right rows.
 
     An inverted index of the left sets is broadcast; each batch of right rows is counted in one
@@ -70,6 +74,8 @@ def _against(left: DataFrame, right: DataFrame, left_key: list[str], right_key:
             item = items[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
             count = np.bincount(np.repeat(row, n) * len(sizes) + item, minlength=b.num_rows * len(sizes))
             cell = np.flatnonzero(count)
+            right_size = b.column("size").to_numpy(zero_copy_only=False)
+            cell = cell[keep(count[cell], sizes[cell % len(sizes)], right_size[cell // len(sizes)])]
             i, r = cell % len(sizes), pa.array(cell // len(sizes))
             cols = [k.take(pa.array(i)) for k in keys] + [b.column(k).take(r) for k in right_key]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes[i]), b.column("size").take(r), pa.array(count[cell])], out.names)

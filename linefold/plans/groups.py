@@ -226,7 +226,7 @@ def agg23(spark, d):
     SELECT CASE WHEN j IS NULL OR j < 0.18 THEN 'not in source' WHEN j < 0.35 THEN 'weak' WHEN j < 0.85 THEN 'partial' ELSE 'found' END AS cause, count(*) AS n FROM benchmark LEFT JOIN best USING (item_id) GROUP BY 1""",
 )
 def agg24(spark, d):
-    best = _pairs(spark, d).groupBy("item_id").agg(F.max("jaccard").alias("j"))
+    best = _pairs(spark, d, lambda inter, a, b: inter / (a + b - inter) >= 0.18).groupBy("item_id").agg(F.max("jaccard").alias("j"))
     j = F.col("j")
     cause = F.when(j.isNull() | (j < 0.18), "not in source").when(j < 0.35, "weak").when(j < 0.85, "partial").otherwise("found")
     return table(spark, d, "benchmark").join(best, "item_id", "left").groupBy(cause.alias("cause")).agg(F.count("*").alias("n"))

@@ -167,19 +167,20 @@ _SIM_SQL = f"""{LINES_SQL}, one AS (SELECT text, min(doc_id * 100000 + idx) AS l
     p AS (SELECT item_id, line_id, n, m, count(*) AS inter FROM a JOIN b USING (gram) GROUP BY ALL)"""
 
 
-def _pairs(spark, d):
-    return similarity.overlaps(_refs(spark, d), _exts(spark, d), ["item_id"], ["line_id"])
+def _pairs(spark, d, keep):
+    return similarity.overlaps(_refs(spark, d), _exts(spark, d), ["item_id"], ["line_id"], keep=keep)
 
 
 @query("jon13_jaccard_pairs", f"WITH {_SIM_SQL} SELECT item_id, line_id, inter, round(inter / (n + m - inter), 6) AS jaccard FROM p WHERE inter * 100 >= 35 * (n + m - inter)")
 def jon13(spark, d):
-    near = _pairs(spark, d).where(F.col("inter") * 100 >= 35 * (F.col("left_size") + F.col("right_size") - F.col("inter")))
+    near = _pairs(spark, d, lambda inter, a, b: inter * 100 >= 35 * (a + b - inter))
     return near.select("item_id", "line_id", "inter", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query("jon14_containment_pairs", f"WITH {_SIM_SQL} SELECT item_id, line_id, inter FROM p WHERE inter >= 10 AND inter * 10 >= 6 * least(n, m)")
 def jon14(spark, d):
-    return _pairs(spark, d).where((F.col("inter") >= 10) & (F.col("inter") * 10 >= 6 * F.least("left_size", "right_size"))).select("item_id", "line_id", "inter")
+    near = _pairs(spark, d, lambda inter, a, b: (inter >= 10) & ((inter * 10 >= 6 * a) | (inter * 10 >= 6 * b)))
+    return near.select("item_id", "line_id", "inter")
 
 
 @query(
@@ -188,14 +189,15 @@ def jon14(spark, d):
 )
 def jon15(spark, d):
     """The best line of each item, null if none is near enough."""
-    best = similarity.best_match(_pairs(spark, d), ["item_id"], "jaccard", "line_id", 0.18)
+    best = similarity.best_match(_pairs(spark, d, lambda inter, a, b: inter / (a + b - inter) >= 0.18), ["item_id"], "jaccard", "line_id", 0.18)
     return table(spark, d, "benchmark").select("item_id").join(best, "item_id", "left").select("item_id", "line_id", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("jon16_best_containment", f"WITH {_SIM_SQL} SELECT item_id, max(inter * 100 // n) >= 55 AS positive FROM p GROUP BY item_id")
+@query("jon16_best_containment", f"WITH {_SIM_SQL} SELECT item_id, coalesce(max(inter * 100 // n) >= 55, FALSE) AS positive FROM benchmark LEFT JOIN p USING (item_id) GROUP BY item_id")
 def jon16(spark, d):
-    share = F.floor(F.col("inter") * 100 / F.col("left_size"))
-    return _pairs(spark, d).groupBy("item_id").agg((F.max(share) >= 55).alias("positive"))
+    """An item is positive if a line holds enough of it."""
+    held = _pairs(spark, d, lambda inter, a, b: inter * 100 >= 55 * a).select("item_id").distinct().withColumn("held", F.lit(True))
+    return table(spark, d, "benchmark").select("item_id").join(held, "item_id", "left").select("item_id", F.coalesce("held", F.lit(False)).alias("positive"))
 
 
 @query(
@@ -308,8 +310,8 @@ def mtc6(spark, d):
     f"WITH {_SIM_SQL} SELECT DISTINCT line_id FROM p WHERE inter / (n + m - inter) >= 0.6 OR (inter >= 10 AND inter / least(n, m) >= 0.6)",
 )
 def mtc7(spark, d):
-    p = _pairs(spark, d)
-    return p.where((F.col("jaccard") >= 0.6) | ((F.col("inter") >= 10) & (F.col("containment") >= 0.6))).select("line_id").distinct()
+    alike = lambda inter, a, b: (inter / (a + b - inter) >= 0.6) | ((inter >= 10) & ((inter / a >= 0.6) | (inter / b >= 0.6)))
+    return _pairs(spark, d, alike).select("line_id").distinct()
 
 
 @query("mtc8_blobs")

@@ -105,6 +105,12 @@ def test_text_rules(spark):
     assert [r[0] for r in one.orderBy("o").select(F.array_join(X.grams("t"), "|")).collect()] == ["　 x|" + " x ", "", "", "abc|bcd"]
 
 
+def test_grams_count_characters(spark):
+    texts = ["a😀b😀a", "x" * 50, "가나다라\n마", "ab", "😀😀😀", "abcabcab"]
+    got = [sorted(r[0]) for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(X.grams("t")).collect()]
+    assert got == [sorted({t[k : k + 3] for k in range(max(1, len(t) - 2))}) for t in texts]
+
+
 def test_asof_is_the_latest_before(spark):
     rnd = random.Random(4)
     left = [(rnd.randrange(3), i, rnd.randrange(20)) for i in range(60)]
