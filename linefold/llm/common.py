@@ -8,8 +8,6 @@ output column replaces an input column of the same name.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from linefold.session import shared_dir, written  # noqa: F401  the operators' tables lie in the shared folder
+
 #: Characters of text that one step of a text operator holds at a time.
 MAX_CHARS = 1_000_000
 
@@ -27,33 +27,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``.
-
-    A local session without that setting gets a temporary folder; a cluster
-    session without it is refused, as executors would not share the folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="linefold-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later steps do not repeat its lineage."""
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def held_out(id_col: str = "doc_id"):
     """True for the fifth of the documents from which nothing is learnt."""
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, max_docs: int) -> DataFrame:
+    """(text, y) of at most ``max_docs`` labelled documents that are not held out."""
+    y = labels.where(~held_out() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
+    y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(y), "doc_id").select("text", "y")
+
+
 def slices(batch: pa.RecordBatch, text: str, max_chars: int = MAX_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``max_chars`` bytes of text; a longer text is a part of its own."""
     start, held = 0, 0

@@ -30,7 +30,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import slices, texts_of, work_dir
+from linefold.llm.common import shared_dir, slices, texts_of
 
 SAMPLE_ROW = 192
 SHARD_BYTES = 256 << 20
@@ -111,7 +111,7 @@ class _Shard:
 def store(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Write the shards and the table of rows: id, n_bytes, payload_bytes, digest, shard, offset, length."""
     spark = docs.sparkSession
-    base = work_dir(spark, "media")
+    base = shared_dir(spark, "media")
     names = [id_col, "n_bytes", "payload_bytes", "digest", "shard", "offset", "length"]
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -20,8 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from linefold.llm.common import map_texts
-from linefold.llm.toxicity import labelled
+from linefold.llm.common import labelled, map_texts
 
 BUCKETS, LEVELS = 1024, 24
 TERMS = BUCKETS + LEVELS

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import held_out, map_texts, texts_of
+from linefold.llm.common import labelled, map_texts, texts_of
 
 #: Closed-class words of the grammar.
 THREATS = "kill murder destroy hurt stab shoot töten umbringen tuer matar".split()
@@ -131,13 +131,6 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(map(float, w))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, max_docs: int) -> DataFrame:
-    """(text, y) of at most ``max_docs`` labelled documents that are not held out."""
-    y = labels.where(~held_out() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
-    y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(y), "doc_id").select("text", "y")
-
-
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Grammar:
     sample = labelled(docs, labels, "toxic", max_docs).persist()
     try:
