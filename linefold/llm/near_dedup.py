@@ -185,7 +185,8 @@ def components(links: DataFrame) -> DataFrame:
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.union(edges.select("v", "u")) if large else edges
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # as a table, so that the join may split the neighbours of a node that many link to
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         joined = both.join(low, "u")
         if large:
             out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
