@@ -15,7 +15,7 @@ def book_lines(spark, d):
     n = F.col("idx")
     task = (n % 3 == 1) & ~F.contains("text", F.lit("|"))
     kind = F.when(F.contains("text", F.lit("|")), "diagram").when(n % 17 == 0, "section_header").otherwise("text")
-    text = F.when(task, F.concat(F.lit("문제 "), F.floor(n / 3 + 1).cast("string"), F.lit(" "), F.substring("text", 1, 80), F.lit(" 구하시오."))).otherwise(F.substring("text", 1, 200))
+    text = F.when(task, F.concat(F.lit("문제 "), F.floor(n / 3 + 1).cast("string"), F.lit(" "), F.col("text"), F.lit(" 구하시오."))).otherwise(F.col("text"))
     y = (n % 10) * 60.0
     region = F.struct(F.when(n % 2 == 0, 120.0).otherwise(140.0).alias("top_left_x"), y.alias("top_left_y"), F.lit(300.0).alias("width"), F.lit(20.0).alias("height"))
     return lines(spark, d).select(

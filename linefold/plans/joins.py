@@ -289,7 +289,7 @@ def mtc2(spark, d):
 @query("mtc3_overlap")
 def mtc3(spark, d):
     """Matched-block recall and precision of neighbouring turns."""
-    c = table(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 400).alias("text"))
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
     nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
     pairs = c.withColumn("next", nxt).where("next is not null")
     return matching.overlap(pairs, "text", "next").select("conv_id", "turn", F.round("recall", 6).alias("recall"), F.round("precision", 6).alias("precision"))
