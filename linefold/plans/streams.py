@@ -32,13 +32,13 @@ def str4(spark, d):
 
 @query("str5_out_of_order", "SELECT user_id, count(*) FILTER (value < p) AS inversions FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM events) GROUP BY 1")
 def str5(spark, d):
-    """A stateful operator that remembers each key's previous value."""
+    """A stateful operator that remembers each key's values."""
     return S.run_upsert(S.inversions(S.source(spark, d)), ["user_id"])
 
 
 @query("str9_tumbling", "SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def str9(spark, d):
-    """Extension: event-time windows of an hour with a watermark."""
+    """Extension: event-time windows of an hour."""
     return S.run_upsert(S.tumbling(S.source(spark, d), "1 hour"), ["start_us", "event_type"])
 
 

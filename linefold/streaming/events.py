@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,25 +48,27 @@ def summary(events: DataFrame) -> DataFrame:
 
 
 def tumbling(events: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    e = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 day")
+    """Counts of windows; without a watermark, as files may come in any order of time, so the state holds all windows of the feed."""
+    e = events.withColumn("at", F.col("ts").cast("timestamp"))
     n = e.groupBy(F.window("at", length, slide), "event_type").agg(F.count("*").alias("n"))
     return n.select(F.unix_micros("window.start").alias("start_us"), "event_type", "n")
 
 
 def _count_inversions(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    previous, count = state.get if state.exists else (None, 0)
-    rows = pd.concat(frames).sort_values("event_id")["value"]
-    for v in rows:
-        count += previous is not None and v < previous
-        previous = v
-    state.update((float(previous), int(count)))
-    yield pd.DataFrame({"user_id": [key[0]], "inversions": [count]})
+    new = pd.concat(frames)
+    ids, values = new["event_id"].to_numpy("int64"), new["value"].to_numpy("float64")
+    if state.exists:
+        ids, values = (np.concatenate([np.frombuffer(old, own.dtype), own]) for old, own in zip(state.get, (ids, values)))
+    order = np.argsort(ids, kind="stable")
+    ids, values = ids[order], values[order]
+    state.update((ids.tobytes(), values.tobytes()))
+    yield pd.DataFrame({"user_id": [key[0]], "inversions": [int((values[1:] < values[:-1]).sum())]})
 
 
 def inversions(events: DataFrame) -> DataFrame:
-    """How often a key's value falls, in arrival order; the state is one value and one count a key."""
+    """How often a key's value falls, in the order of event_id; files may come in any order, so the state holds the key's ids and values."""
     return events.select("user_id", "event_id", "value").groupBy("user_id").applyInPandasWithState(
-        _count_inversions, "user_id long, inversions long", "previous double, count long", "update", GroupStateTimeout.NoTimeout
+        _count_inversions, "user_id long, inversions long", "ids binary, vals binary", "update", GroupStateTimeout.NoTimeout
     )
 
 
