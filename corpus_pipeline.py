@@ -29,15 +29,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id.  Repeated rows of an id are one document: one row stays."""
-    groups = near_dedup.near_duplicates(docs)
-    left = docs.join(groups.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    return left.select(*docs.columns).dropDuplicates(["doc_id"]) if _repeats(left) else left.select(*docs.columns)
-
+    """One document of each group stays: that with the smallest id.  Repeated rows of an id are one document: one row stays.
 
-def _repeats(docs: DataFrame) -> bool:
-    ids = docs.select("doc_id").where("doc_id is not null")
-    return bool(ids.groupBy("doc_id").count().where("count > 1").take(1))
+    Of rows with an id it is one of the set that was compared, the first by text and then by all columns.  All rows without an id stay.
+    """
+    groups = near_dedup.near_duplicates(docs)
+    left = docs.join(groups.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    again = left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not again.take(1):
+        return left
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    rows = near_dedup.digested(left.join(again, "doc_id", "left_semi").select(F.struct(*cols).alias("row"), "doc_id", "text"))
+    first = F.struct(F.col("digest").isNull(), "digest", "text", F.to_json("row"))
+    one = rows.groupBy("doc_id").agg(F.min_by("row", first).alias("row")).select("row.*")
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
 
 
 def decontaminate_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

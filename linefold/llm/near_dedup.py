@@ -130,6 +130,11 @@ def sketch(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return map_texts(docs, "n_shingles long, digest binary, regs binary, keys array<long>", make, keep=["id"])
 
 
+def digested(docs: DataFrame) -> DataFrame:
+    """Append the ``digest`` of each text's set, null if it is empty."""
+    return map_texts(docs, "digest binary", lambda: lambda texts: [[xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in shingles(texts)]])
+
+
 def _sets(docs: DataFrame) -> DataFrame:
     """id and full set of rows whose text has the wanted set ``digest``."""
 
