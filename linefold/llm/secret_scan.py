@@ -2,16 +2,21 @@
 
 Base findings (code points, end exclusive) are the leftmost non-overlapping
 matches of each pattern, without those that are too short.  Beside them, the
-network scores every candidate -- a maximal run of secret characters, at least
-``LEAST_RUN`` long and with a digit -- together with the text around it, and
-adds the spans that reach its threshold as kind ``net``, unless a base finding
-overlaps them.
+network scores every candidate -- a maximal run of the characters that an
+assigned value may have, at least ``LEAST_RUN`` long, without dots at its ends --
+together with the text around it, and adds the spans that reach its threshold
+as kind ``net``, unless a base finding overlaps them.  A run longer than
+``INSIDE`` gets the highest score of the windows that slide over it by ``STRIDE``.
+
+The convolution runs once over the text, as tables of character pairs, and
+serves all candidates: a window pools the kernels that lie wholly in it.
 
 The network (numpy: embedding, one convolution, max and mean pooling, logistic
-output) is trained on labelled findings: candidates that a base pattern covers
+output) is trained on labelled findings: windows that hold a base finding's value
 against the other runs of a bounded sample of documents.  Its scores are
 calibrated by Platt scaling on a validation part, and the threshold is the
-highest that keeps ``RECALL`` of the validation findings, at least ``LEAST_SCORE``.
+highest that keeps ``RECALL`` of the validation findings; ``precision`` tells how
+many of the validation windows above it are findings.
 
 Null and empty texts have no findings.  Without training findings of both
 classes the network adds nothing.
@@ -22,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,14 +42,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 KINDS = ("assign", "access", "hex", "net")
 
-LEAST_RUN = 16
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST_RUN = ASSIGN_LEAST
 DIGIT = re.compile(r"[0-9]")
-#: Characters of the run, and of the text on either side, that the network sees; the middle of a longer run is left out.
-INSIDE, AROUND = 48, 24
+#: Characters of the run, and of the text on either side, that the network sees at a time; the step of its window over a longer run.
+INSIDE, AROUND, STRIDE = 48, 24, 12
 WIDTH = INSIDE + 2 * AROUND
 EMBED, FILTERS, KERNEL = 8, 24, 5
-RECALL, LEAST_SCORE = 0.99, 0.9
+RECALL = 0.99
 #: Bound of the training sample: documents (by a hash of the id) and runs of each class.
 MAX_TRAIN_DOCS, MAX_TRAIN_RUNS = 20_000, 3_000
 EPOCHS = 12
@@ -58,12 +63,10 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str, digits: bool = True) -> list[tuple[int, int]]:
-    return [m.span() for m in RUN.finditer(text) if not digits or DIGIT.search(m[0])]
-
-
-def _overlaps(span: tuple[int, int], spans: list[Span]) -> bool:
-    return any(s[0] < span[1] and span[0] < s[1] for s in spans)
+def values(text: str) -> list[tuple[int, int]]:
+    """What is secret in the base findings: of an assignment its value."""
+    found = [m.span(2) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
+    return found + [m.span() for p in (ACCESS, HEX) for m in p.finditer(text)]
 
 
 def _code(c: str) -> int:
@@ -72,16 +75,74 @@ def _code(c: str) -> int:
     return o - 32 if 33 <= o <= 126 else 95 if c.isspace() else 96 if c.isalpha() else 97
 
 
-CODES = 98
+#: PAD fills up a window behind the text that it holds.
+PAD, CODES = 98, 99
+_IN_RUN = np.zeros(CODES, bool)
+_IN_RUN[[_code(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
+_DOT = _code(".")
+
+
+@lru_cache(maxsize=1)
+def _codes() -> np.ndarray:
+    return np.fromiter((_code(chr(c)) for c in range(0x110000)), np.uint8, 0x110000)
+
+
+def joined_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all texts with ``AROUND`` zeros before, between and after them, and where each text starts."""
+    starts = AROUND + np.cumsum([0] + [len(t) + AROUND for t in texts])[:-1]
+    gap = "\0" * AROUND
+    points = np.frombuffer((gap + "".join(t + gap for t in texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = _codes()[points]
+    for at, t in zip(starts, texts):
+        codes[at + len(t) : at + len(t) + AROUND] = 0
+    codes[:AROUND] = 0
+    return codes, starts
+
+
+def runs_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each candidate."""
+    edge = np.diff(_IN_RUN[codes].astype(np.int8), prepend=0, append=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    other = np.flatnonzero(codes != _DOT)  # dots at the ends do not belong to a run
+    if len(other):
+        start = other[np.minimum(np.searchsorted(other, start), len(other) - 1)]
+        end = other[np.searchsorted(other, end) - 1] + 1
+    else:
+        end = start
+    ok = end - start >= LEAST_RUN
+    return start[ok], end[ok]
+
+
+def windows_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the windows over each run, the last one at the run's end, and the run of each window."""
+    n = 1 + np.maximum(0, -(-(end - start - INSIDE) // STRIDE))
+    run = np.repeat(np.arange(len(start)), n)
+    k = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    s = np.maximum(start[run], np.minimum(start[run] + k * STRIDE, end[run] - INSIDE))
+    return s, np.minimum(s + INSIDE, end[run]), run
+
+
+def cut_windows(codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """One row a window: the text before, the window, the text after, padding."""
+    at = s[:, None] - AROUND + np.arange(WIDTH)
+    out = codes[np.minimum(at, len(codes) - 1)]
+    out[at >= e[:, None] + AROUND] = PAD
+    return out
+
+
+def candidates(text: str, digits: bool = True) -> list[tuple[int, int]]:
+    """Start and end of the runs, on demand only of those with a digit."""
+    codes, at = joined_codes([text])
+    found = [(int(s - at[0]), int(e - at[0])) for s, e in zip(*runs_of(codes))]
+    return [x for x in found if not digits or DIGIT.search(text, *x)]
 
 
 def encode(text: str, start: int, end: int) -> list[int]:
-    half = INSIDE // 2
-    inside = text[start:end] if end - start <= INSIDE else text[start : start + half] + text[end - half : end]
-    left, right = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-    codes = [0] * (AROUND - len(left)) + [_code(c) for c in left]
-    codes += [_code(c) for c in inside] + [0] * (INSIDE - len(inside))
-    return codes + [_code(c) for c in right] + [0] * (AROUND - len(right))
+    codes, at = joined_codes([text])
+    return cut_windows(codes, at[:1] + start, at[:1] + min(end, start + INSIDE))[0].tolist()
+
+
+_WEIGHTS = np.random.default_rng(11).integers(0, 2**64, WIDTH, np.uint64) | np.uint64(1)
 
 
 @dataclass
@@ -93,6 +154,7 @@ class Net:
     out_bias: float
     scale: tuple[float, float] = (1.0, 0.0)
     threshold: float = 1.0
+    precision: float = 0.0
 
 
 def _windows(embedded: np.ndarray) -> np.ndarray:
@@ -102,16 +164,52 @@ def _windows(embedded: np.ndarray) -> np.ndarray:
 
 def _forward(net: Net, codes: np.ndarray):
     x = _windows(net.embed[codes])
-    z = np.maximum(x @ net.filters + net.bias, 0)
-    top = z.argmax(1)
-    pooled = np.concatenate([z.max(1), z.mean(1)], 1)
-    return x, z, top, pooled, pooled @ net.out + net.out_bias
+    whole = codes[:, KERNEL - 1 :] != PAD
+    z = np.maximum(x @ net.filters + net.bias, 0) * whole[..., None]
+    top, n = z.argmax(1), whole.sum(1, keepdims=True).astype(np.float32)
+    pooled = np.concatenate([z.max(1), z.sum(1) / n], 1)
+    return x, z, top, n, pooled, pooled @ net.out + net.out_bias
+
+
+def _probability(net: Net, logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(net.scale[0] * logit + net.scale[1], -30, 30)))
 
 
 def score(net: Net, codes: np.ndarray) -> np.ndarray:
     """Calibrated probabilities."""
     logit = np.concatenate([_forward(net, codes[i : i + 512])[-1] for i in range(0, len(codes), 512)]) if len(codes) else np.zeros(0)
-    return 1 / (1 + np.exp(-np.clip(net.scale[0] * logit + net.scale[1], -30, 30)))
+    return _probability(net, logit)
+
+
+#: Positions that are convolved at a time, so that they stay in the cache.
+STRETCH = 8192
+
+
+def score_windows(net: Net, codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Calibrated probabilities of windows of joined codes, given by start; as ``score`` over ``cut_windows``."""
+    f = net.filters.reshape(EMBED, KERNEL, FILTERS)
+    one = [(net.embed @ f[:, k]).astype(np.float32) for k in range(KERNEL)]
+    two = [(one[k][:, None] + one[k + 1]).reshape(-1, FILTERS) for k in (0, 2)]
+    last = one[4] + net.bias
+    logit = np.empty(len(s))
+    cuts = np.flatnonzero(np.diff(s // STRETCH)) + 1
+    for part in np.split(np.arange(len(s)), cuts) if len(s) else []:
+        lo, hi = s[part[0]] - AROUND, e[part].max() + AROUND
+        c = codes[lo:hi].astype(np.int32)
+        pair = c[:-1] * CODES + c[1:]
+        n = len(c) - KERNEL + 1
+        z = two[0].take(pair[:n], 0)
+        z += two[1].take(pair[2 : n + 2], 0)
+        z += last.take(c[4:], 0)
+        np.maximum(z, 0, out=z)
+        total = np.zeros((n + 1, FILTERS))
+        np.cumsum(z, 0, out=total[1:])
+        for k in (1, 2, 4, 8, 16):  # the highest of 32 positions
+            z = np.maximum(z[:-k], z[k:])
+        l, r = s[part] - AROUND - lo, e[part] + AROUND - KERNEL + 1 - lo
+        most = np.maximum(np.maximum(z[l], z[r - 32]), z[np.minimum(l + 32, r - 32)])
+        logit[part] = most @ net.out[:FILTERS] + ((total[r] - total[l]) / (r - l)[:, None]) @ net.out[FILTERS:]
+    return _probability(net, logit + net.out_bias)
 
 
 def _platt(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -144,10 +242,10 @@ def train(codes: np.ndarray, y: np.ndarray, seed: int = 7) -> Net | None:
             c = tc[at].copy()
             hide = r.random(len(at)) < 0.3  # without the words around it now and then, so that the run itself counts
             c[hide, :AROUND] = 0
-            x, z, top, pooled, logit = _forward(net, c)
+            x, z, top, n, pooled, logit = _forward(net, c)
             d = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - ty[at]) * weight[at] / len(at)
             gp = d[:, None] * net.out
-            gz = np.repeat(gp[:, None, FILTERS:] / z.shape[1], z.shape[1], 1)
+            gz = np.repeat((gp[:, FILTERS:] / n)[:, None], z.shape[1], 1)
             np.put_along_axis(gz, top[:, None, :], np.take_along_axis(gz, top[:, None, :], 1) + gp[:, None, :FILTERS], 1)
             gz *= z > 0
             grad = {"out": pooled.T @ d, "bias": gz.sum((0, 1)), "filters": np.tensordot(x, gz, ([0, 1], [0, 1]))}
@@ -164,15 +262,18 @@ def train(codes: np.ndarray, y: np.ndarray, seed: int = 7) -> Net | None:
             net.out_bias -= 0.05 * float(d.sum())
     logit = _forward(net, codes[val])[-1]
     net.scale = _platt(logit, y[val])
-    own = np.sort(score(net, codes[val][y[val] == 1]))
-    net.threshold = max(LEAST_SCORE, float(own[int((1 - RECALL) * len(own))]))
+    got = _probability(net, logit)
+    own = np.sort(got[y[val] == 1])
+    net.threshold = float(own[int((1 - RECALL) * len(own))]) - 1e-6  # the order of sums may differ when texts are scanned
+    net.precision = float(y[val][got >= net.threshold].mean())
     return net
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS, max_runs: int = MAX_TRAIN_RUNS) -> Net | None:
     """Labelled findings of a sample of about ``max_docs`` documents.
 
-    At most ``max_runs`` each of findings, other runs with digits, and runs without.
+    At most ``max_runs`` windows each of findings, other runs with digits, runs
+    without, and runs near a finding, the first by a hash of what the network sees.
     """
     total = docs.select(id_col).count()
     sample = docs.select(id_col, "text")
@@ -181,20 +282,40 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
 
     def make():
         def fn(texts):
-            out = []
-            for t in texts:
-                spans = base_spans(t)
-                runs = candidates(t, digits=False)
-                kind = [2 if _overlaps(c, spans) else int(bool(DIGIT.search(t, *c))) for c in runs]
-                out.append([{"y": k, "codes": bytes(encode(t, *c))} for c, k in zip(runs, kind)])
-            return [out]
+            codes, at = joined_codes(texts)
+            s, e, _ = windows_of(*runs_of(codes))
+            held = np.zeros(len(s), np.int64)  # characters of findings; -1 where a window is no example
+            near = np.zeros(len(s), bool)
+            for i, t in enumerate(texts):
+                for a, b in values(t):
+                    a, b = at[i] + a, at[i] + b
+                    own = slice(np.searchsorted(e, a - AROUND), np.searchsorted(s, b + AROUND))
+                    both = np.minimum(e[own], b) - np.maximum(s[own], a)
+                    held[own] = np.maximum(held[own], np.where(both >= min(b - a, INSIDE // 2), 1, np.where(both > 0, -1, 0)))
+                    near[own] = True
+                for a, b, _ in base_spans(t):
+                    own = slice(np.searchsorted(e, at[i] + a, side="right"), np.searchsorted(s, at[i] + b))
+                    held[own] = np.where(held[own] == 0, -1, held[own])
+            digit = np.cumsum(np.concatenate([[0], (codes >= _code("0")) & (codes <= _code("9"))]))
+            kind = np.where(held > 0, 2, np.where(near, 3, (digit[e] > digit[s]).astype(np.int64)))
+            ok = held >= 0
+            rows, kind = cut_windows(codes, s[ok], e[ok]), kind[ok]
+            h = (rows.astype(np.uint64) * _WEIGHTS).sum(1, dtype=np.uint64)
+            h = ((h ^ (h >> np.uint64(29))) * _WEIGHTS[0]).view(np.int64)
+            pick = []
+            for k in range(4):
+                own = np.flatnonzero(kind == k)
+                _, first = np.unique(h[own], return_index=True)
+                pick += own[first[:max_runs]].tolist()
+            out = [{"y": int(kind[j]), "h": int(h[j]), "codes": rows[j].tobytes()} for j in pick]
+            return [[out if i == 0 else [] for i in range(len(texts))]]
 
         return fn
 
-    runs = map_texts(sample, "runs array<struct<y: int, codes: binary>>", make, keep=[]).select(F.explode("runs").alias("r")).select("r.*").distinct()
+    runs = map_texts(sample, "runs array<struct<y: int, h: long, codes: binary>>", make, keep=[], max_chars=250_000).select(F.explode("runs").alias("r")).select("r.*").distinct()
     runs = runs.persist()  # of a bounded sample
     try:
-        got = [r for y in (0, 1, 2) for r in runs.where(F.col("y") == y).orderBy(F.xxhash64("codes"), "codes").limit(max_runs).collect()]
+        got = [r for y in range(4) for r in runs.where(F.col("y") == y).orderBy("h", "codes").limit(max_runs).collect()]
     finally:
         runs.unpersist()
     codes = np.array([list(r["codes"]) for r in got], np.int64).reshape(-1, WIDTH)
@@ -206,13 +327,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
 def find(net: Net | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """For each text its base spans and all spans, by start, then kind."""
     base = [base_spans(t) for t in texts]
-    runs = [(i, s, e) for i, t in enumerate(texts) for s, e in (candidates(t) if net else []) if not _overlaps((s, e), base[i])]
     every = [list(b) for b in base]
-    if runs:
-        p = score(net, np.array([encode(texts[i], s, e) for i, s, e in runs], np.int64))
-        for (i, s, e), x in zip(runs, p):
-            if x >= net.threshold:
-                every[i].append((s, e, "net"))
+    if net and texts:
+        codes, at = joined_codes(texts)
+        covered = np.zeros(len(codes) + 1, np.int64)
+        for i, spans in enumerate(base):
+            for s, e, _ in spans:
+                covered[at[i] + s + 1 : at[i] + e + 1] = 1
+        covered = covered.cumsum()
+        start, end = runs_of(codes)
+        free = covered[start] == covered[end]
+        start, end = start[free], end[free]
+        s, e, run = windows_of(start, end)
+        hits = np.unique(run[score_windows(net, codes, s, e) >= net.threshold])
+        for j, i in zip(hits.tolist(), (np.searchsorted(at, start[hits], side="right") - 1).tolist()):
+            every[i].append((int(start[j] - at[i]), int(end[j] - at[i]), "net"))
     return [(b, sorted(x, key=lambda s: (s[0], KINDS.index(s[2])))) for b, x in zip(base, every)]
 
 
