@@ -5,7 +5,11 @@ character n-gram of a language sets that language's bit in ``HASHES`` slots.
 Looking up an n-gram ANDs its slots, which gives at once the set of all
 languages that contain it (up to false positives, whose rate per language is
 known from the fill of its bits).  A document is decided by per-language
-popcounts over its n-grams, corrected for those false positives.
+popcounts over its n-grams, each weighted by one over the number of languages
+that were returned for it, and corrected for those false positives.  A second
+filter of the same kind holds n-grams for the languages that they are typical
+of; both counts are added, so that a passage in another language, which puts
+its n-grams into the first filter, weighs little.
 
 Null, empty and letterless texts give ``und`` with score 0.  A text with
 letters but no known n-gram gets the most frequent training language with
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 
 from linefold.llm.common import held_out, map_texts, slices
 
-SLOT_BITS = 18
+#: Least and most bits of a slot's number; a filter has ``ROOM`` slots for each n-gram of its largest language, as far as the most bits go.
+SLOT_BITS, MOST_SLOT_BITS = 18, 22
+ROOM = 8
 HASHES = 3
 #: Training documents to learn from, about: rows are thinned by a hash of their id.
 MAX_TRAIN_DOCS = 20_000
-#: An n-gram belongs to a language if this share of its documents has it ...
+#: An n-gram is typical of a language if this share of its documents has it ...
 MIN_DOC_SHARE = 0.01
 #: ... and the language has at least this share of the n-gram's summed document shares.
 MIN_LANG_SHARE = 0.4
@@ -40,8 +46,11 @@ WORD = 62
 class LanguageModel:
     langs: list[str]
     prior: str
-    slots: np.ndarray  # uint64 (words, 2 ** SLOT_BITS)
+    slots: np.ndarray  # uint64 (words, 2 ** bits)
     false_rate: np.ndarray
+    bits: int
+    typical: np.ndarray  # as slots
+    typical_false_rate: np.ndarray
 
 
 @lru_cache(maxsize=1)
@@ -70,8 +79,8 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _mix(h), np.searchsorted(ends, at, side="right"), has
 
 
-def _slots(h: np.ndarray) -> list[np.ndarray]:
-    return [((h >> np.uint64(k * 20)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64) for k in range(HASHES)]
+def _slots(h: np.ndarray, bits: int = SLOT_BITS) -> list[np.ndarray]:
+    return [((h >> np.uint64(k * 20)) & np.uint64((1 << bits) - 1)).astype(np.int64) for k in range(HASHES)]
 
 
 def _count_grams(batches):
@@ -109,40 +118,50 @@ def fit(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> LanguageModel
         if not langs:
             return None
         bit = F.create_map(*[x for i, name in enumerate(langs) for x in (F.lit(name), F.lit(i))])
+        grams = counts.where("gram is not null")
+        most = grams.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
+        width = min(MOST_SLOT_BITS, max(SLOT_BITS, (ROOM * most - 1).bit_length()))
         size = F.create_map(*[x for name in langs for x in (F.lit(name), F.lit(float(docs_of[name])))])
-        share = counts.where("gram is not null").select("gram", bit[F.col("lang")].alias("bit"), (F.col("n") / size[F.col("lang")]).alias("share"))
-        total_of = share.groupBy("gram").agg(F.sum("share").alias("all"), F.collect_list(F.struct("bit", "share")).alias("by"))
-        known = total_of.select("gram", "all", F.explode("by").alias("x")).where((F.col("x.share") >= MIN_DOC_SHARE) & (F.col("x.share") >= MIN_LANG_SHARE * F.col("all")))
-        at = F.explode(F.array(*[F.shiftrightunsigned("gram", k * 20).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for k in range(HASHES)]))
-        bits = (
-            known.select(at.alias("slot"), F.floor(F.col("x.bit") / WORD).alias("word"), F.expr(f"shiftleft(1L, int(x.bit % {WORD}))").alias("mask"))
-            .groupBy("slot", "word")
-            .agg(F.bit_or("mask").alias("mask"))
-        )
-        slots = np.zeros((-(-len(langs) // WORD), 1 << SLOT_BITS), np.uint64)
-        filled = bits.toPandas()  # at most the slots of the filter
-        slots[filled["word"].to_numpy(np.int64), filled["slot"].to_numpy(np.int64)] = filled["mask"].to_numpy(np.int64).astype(np.uint64)
+        share = grams.select("gram", bit[F.col("lang")].alias("bit"), (F.col("n") / size[F.col("lang")]).alias("share"))
+        by_gram = share.groupBy("gram").agg(F.sum("share").alias("all"), F.collect_list(F.struct("bit", "share")).alias("by")).select("gram", "all", F.explode("by").alias("x")).select("gram", "all", "x.*")
+        slots = _filter(share, len(langs), width)
+        typical = _filter(by_gram.where((F.col("share") >= MIN_DOC_SHARE) & (F.col("share") >= MIN_LANG_SHARE * F.col("all"))), len(langs), width)
     finally:
         counts.unpersist()
-    fill = np.array([((slots[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1)).mean() for i in range(len(langs))])
-    return LanguageModel(langs, max(langs, key=lambda x: (docs_of[x], x)), slots, fill**HASHES)
+    prior = max(langs, key=lambda x: (docs_of[x], x))
+    return LanguageModel(langs, prior, slots, _false_rate(slots, len(langs)), width, typical, _false_rate(typical, len(langs)))
+
+
+def _filter(known: DataFrame, n_langs: int, width: int) -> np.ndarray:
+    """The slots with the bits of all (gram, bit)."""
+    at = F.explode(F.array(*[F.shiftrightunsigned("gram", k * 20).bitwiseAND(F.lit((1 << width) - 1)) for k in range(HASHES)]))
+    masks = known.select(at.alias("slot"), F.floor(F.col("bit") / WORD).alias("word"), F.expr(f"shiftleft(1L, int(bit % {WORD}))").alias("mask"))
+    filled = masks.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most the slots of the filter
+    slots = np.zeros((-(-n_langs // WORD), 1 << width), np.uint64)
+    slots[filled["word"].to_numpy(), filled["slot"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64)
+    return slots
+
+
+def _false_rate(slots: np.ndarray, n_langs: int) -> np.ndarray:
+    return np.array([((slots[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1)).mean() for i in range(n_langs)]) ** HASHES
 
 
 def predict(model: LanguageModel | None, texts: list[str]) -> tuple[list[str], list[float]]:
     h, doc, has = ngrams(texts)
     if model is None or not texts:
         return ["und"] * len(texts), [0.0] * len(texts)
-    at = _slots(h)
+    at = _slots(h, model.bits)
     n = np.bincount(doc, minlength=len(texts))
     est = np.zeros((len(model.langs), len(texts)))
-    for w in range(len(model.slots)):
-        mask = model.slots[w][at[0]] & model.slots[w][at[1]] & model.slots[w][at[2]]
-        known = np.flatnonzero(mask)
-        mask, own = mask[known], doc[known]
-        for i in range(w * WORD, min(len(model.langs), (w + 1) * WORD)):
-            hits = np.bincount(own, ((mask >> np.uint64(i % WORD)) & np.uint64(1)).astype(float), minlength=len(texts))
-            p = model.false_rate[i]
-            est[i] = np.clip((hits / np.maximum(n, 1) - p) / max(1 - p, 1e-9), 0, 1)
+    for slots, false_rate in ((model.slots, model.false_rate), (model.typical, model.typical_false_rate)):
+        masks = [w[at[0]] & w[at[1]] & w[at[2]] for w in slots]
+        weight = 1 / np.maximum(sum(np.bitwise_count(m).astype(np.int64) for m in masks), 1)
+        known = np.logical_or.reduce([m > 0 for m in masks])
+        every = np.bincount(doc[known], weight[known], minlength=len(texts))
+        for i, p in enumerate(false_rate):
+            own = ((masks[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1)).astype(bool)
+            hits = np.bincount(doc[own], weight[own], minlength=len(texts))
+            est[i] += np.clip((hits - p * every) / max(1 - p, 1e-9) / np.maximum(n, 1), 0, 1)
     best, total = est.argmax(0), est.sum(0)
     lang = [("und" if not ok else model.langs[b] if s > 0 else model.prior) for ok, b, s in zip(has, best, total)]
     score = [float(est[b, i] / s) if ok and s > 0 else 0.0 for i, (ok, b, s) in enumerate(zip(has, best, total))]
@@ -151,5 +170,5 @@ def predict(model: LanguageModel | None, texts: list[str]) -> tuple[list[str], l
 
 def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None) -> DataFrame:
     """Append ``lang_pred`` and ``score``; one output row per input row, no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: 2 ** SLOT_BITS words for 62 languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 ** MOST_SLOT_BITS words for 62 languages
     return map_texts(docs, "lang_pred string, score double", lambda: lambda texts: predict(shared.value, texts), keep=keep)
