@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
 Terms of a document are hashed 4-grams of character shapes (letter case, digit,
-blank, each other sign as itself), hashed word pairs of equal neighbours, and
-levels of the share of distinct words.  Term weights (1 + log tf) * idf are
+blank, each other sign as itself) and levels of the shares of distinct words,
+of words equal to their neighbour and of repeated lines; words themselves are no terms.  Term weights (1 + log tf) * idf are
 normalised and projected onto the leading singular vectors of a bounded sample
 of labelled documents that are not held out.  The sample's vectors are
 broadcast; every document's cosines to all of them are exact products, block
