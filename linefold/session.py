@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -19,8 +20,39 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df, label: str):
+def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps start from files that outlive executors."""
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """A shared folder for the tables of one step, removed with all of them when the step is over.
+
+    What the step returns must not read from it any more.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self.tables = spark, shared_dir(spark, label), 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def written(self, df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+        """As ``written``; by at most ``tasks`` tasks."""
+        return self.counted(df, label, tasks)[0]
+
+    def counted(self, df: DataFrame, label: str, tasks: int | None = None) -> tuple[DataFrame, int]:
+        """The written table and its number of rows, which is taken along while writing."""
+        self.tables += 1
+        path, seen = f"{self.path}/{label}-{self.tables}", Observation()
+        schema = df.schema
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        (df.coalesce(tasks) if tasks else df).write.parquet(path)
+        return self.spark.read.schema(schema).parquet(path), seen.get["n"]
