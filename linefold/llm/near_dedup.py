@@ -9,18 +9,22 @@ A document's set holds its distinct 3-word shingles (words
    of the level and agree about as often as the sets are similar.
 2. Documents with equal sets are one node, represented by the smallest id.
 3. Runs of ``ROWS`` registers are band keys.  Every node of a bucket is paired
-   with the bucket's smallest node; pairs are dropped if the likelihood of
-   their registers (equal, higher, lower) peaks below ``LEAST_ESTIMATE``, and
-   confirmed on the full sets otherwise.
-4. Confirmed links give components.  Buckets whose nodes lie in more than one
-   component stay open: nodes connected through open buckets form families.  A
-   family is cut into blocks of nodes, and each pair of blocks is compared on
-   the full sets in one task, which returns only links between components, at
-   most one fewer than its nodes.  So no group emits all its pairs or goes to
-   one task.  (Families over ``FAMILY`` nodes are compared bucket by bucket.)
+   with the bucket's centre, the node that meets most others in all its
+   buckets; pairs are dropped if the joint likelihood of their registers
+   (equal, higher, lower, given both set sizes) peaks below ``LEAST_ESTIMATE``,
+   and confirmed on the full sets otherwise.
+4. Confirmed links give components.  A bucket that holds more than one stays
+   open: each of its nodes outside its largest component is compared with all
+   nodes of other components, in cells of at most ``BLOCK`` by ``BLOCK`` nodes
+   that are dealt over the tasks.  A cell first compares registers (a pair that
+   shares several bands belongs to the first of them); only nodes with a likely
+   partner get their full set, which decides.  A cell returns at most one link
+   fewer than it has nodes, so no group emits all its pairs or goes to one task.
 5. Components of all confirmed links; copies take their node's component.
 
-With ``BANDS`` x ``ROWS`` registers a pair at the threshold shares no band key
+A pair that is linked but not implied by the links of step 3 shares a bucket
+that is open, so step 4 meets it: steps 3 and 4 lose no pair that shares a band
+key.  With ``BANDS`` x ``ROWS`` registers a pair at the threshold shares none
 with probability below 1e-6.
 
 Documents without words link with nothing.  Rows with a null id come out with
@@ -38,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.llm.common import map_texts, slices, written
+from linefold.session import Workspace
 
 SHINGLE = 3
 NUM, DEN = 85, 100
@@ -46,10 +51,11 @@ REGISTERS = BANDS * ROWS
 BASE = 1.05
 #: Five standard errors of the estimate below the threshold.
 LEAST_ESTIMATE = NUM / DEN - 5 * (0.85 * 0.15 / REGISTERS) ** 0.5
-#: Nodes in one block of a family.
-BLOCK = 256
-FAMILY = 50_000
-MAX_ROUNDS = 40
+#: Nodes on either side of a cell.
+BLOCK = 512
+#: Links for each task of a round of ``components``.
+LINKS_A_TASK = 200_000
+MAX_ROUNDS = 60
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RNG = np.random.default_rng(20240607)
 _XOR = _RNG.integers(0, 2**64, REGISTERS, np.uint64)
@@ -94,17 +100,41 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(np.floor(-np.log(-np.log1p(-u)) / np.log(BASE)) + 16, 0, 65535).astype(np.uint16)
 
 
-def likelihood_estimate(equal: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, m: int = REGISTERS) -> np.ndarray:
-    """The similarity with the highest likelihood, given the equal registers and both set sizes.
+def _slope(j, equal, higher, lower, size_a, size_b):
+    """Slope of the joint log-likelihood of the register comparison at similarity ``j``.
 
-    Of equal registers there are p(J) m on average; with level base b near 1,
-    p = log_b(1 + J(b-1)) to first order for sets of near sizes, so the
-    likelihood peaks where p(J) is the share of equal registers, and cannot
-    exceed the ratio of the sizes.
+    With u and v the shares of both sizes in their sum, a register of the first
+    set is the higher one with probability p(u - v j) and the lower one with
+    p(v - u j), where p(x) = -log_b(1 - x (b - 1) / b).  The likelihood is concave in j.
     """
-    share = equal / m
-    j = (BASE**share - 1) / (BASE - 1)
-    return np.minimum(j, np.minimum(size_a, size_b) / np.maximum(np.maximum(size_a, size_b), 1))
+    c = (BASE - 1) / BASE
+    u = size_a / (size_a + size_b)
+    v = 1 - u
+    x, y = np.maximum(u - v * j, 1e-12), np.maximum(v - u * j, 1e-12)
+    p, q = -np.log1p(-x * c) / np.log(BASE), -np.log1p(-y * c) / np.log(BASE)
+    dp, dq = -v * c / (1 - x * c) / np.log(BASE), -u * c / (1 - y * c) / np.log(BASE)
+    return higher * dp / p + lower * dq / q - equal * (dp + dq) / np.maximum(1 - p - q, 1e-12)
+
+
+def _most(size_a, size_b):
+    """The highest similarity that two sizes allow."""
+    return np.minimum(size_a, size_b) / np.maximum(np.maximum(size_a, size_b), 1)
+
+
+def likelihood_estimate(equal, higher, lower, size_a, size_b) -> np.ndarray:
+    """The similarity at which the joint likelihood of equal, higher and lower registers peaks, by bisection."""
+    equal, higher, lower, size_a, size_b = (np.asarray(x, np.float64) for x in (equal, higher, lower, size_a, size_b))
+    lo, hi = np.zeros(np.broadcast(equal, size_a, size_b).shape), _most(size_a, size_b) + np.zeros(np.broadcast(equal, size_a, size_b).shape)
+    for _ in range(40):
+        mid = (lo + hi) / 2
+        up = _slope(mid, equal, higher, lower, size_a, size_b) >= 0
+        lo, hi = np.where(up, mid, lo), np.where(up, hi, mid)
+    return (lo + hi) / 2
+
+
+def likely(equal, higher, lower, size_a, size_b, least: float = LEAST_ESTIMATE) -> np.ndarray:
+    """Whether ``likelihood_estimate`` is at least ``least``: the slope there has not turned yet."""
+    return (_most(size_a, size_b) >= NUM / DEN - 1e-9) & (_slope(least, equal, higher, lower, size_a, size_b) >= 0)
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -151,10 +181,11 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def _estimate_pairs(batches):
     for b in batches:
-        cols = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("regs_a", "regs_b")]
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("regs_a", "regs_b"))
         size = [b.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b")]
-        ok = likelihood_estimate((cols[0] == cols[1]).sum(1), *size) >= LEAST_ESTIMATE
-        yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok))], ["a", "b"])
+        equal, higher = (x == y).sum(1), (x > y).sum(1)
+        ok = pa.array(likely(equal, higher, REGISTERS - equal - higher, *size))
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], ["a", "b"])
 
 
 def _confirm_pairs(batches):
@@ -183,70 +214,142 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node of ``links`` (a, b): component is the smallest id reachable.
 
-    Alternates large-star and small-star steps, each two joins on narrow rows
-    with the lineage cut, until the links no longer change.
+    Each round sends every node to its first neighbour, or itself, and links
+    what they became; a round is two narrow tables, and their count comes with
+    the write.  First in the first round is the smallest id, so that stars
+    around it are done at once; later it is the first by a hash that changes
+    with the round, so that no chain of ids takes more than a logarithm of rounds.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links")
-
-    def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.union(edges.select("v", "u")) if large else edges
-        # as a table, so that the join may split the neighbours of a node that many link to
-        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        joined = both.join(low, "u")
-        if large:
-            out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        return out.where("u != v").distinct()
-
-    def mark(edges: DataFrame):
-        return edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-
-    was = mark(edges)
-    for _ in range(MAX_ROUNDS):
-        edges = written(star(star(edges, True), False), "links")
-        now = mark(edges)
-        if now == was:
-            break
-        was = now
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").union(edges.select("v", "v").distinct())
-
-
-def _compare_blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Links between components in one pair of blocks, by exact comparison; none that others imply."""
-    i, j = key[1].as_py(), key[2].as_py()
-    block, ids, comp = (table.column(c).to_numpy() for c in ("block", "id", "component"))
-    size = table.column("n_shingles").to_numpy()
-    _, local = np.unique(np.frombuffer(b"".join(table.column("set").to_pylist()), np.uint64), return_inverse=True)
-    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
-    right = np.flatnonzero(block == j)
-    flat = np.concatenate([local[starts[r] : starts[r] + size[r]] for r in right]) if len(right) else local[:0]
-    cuts = np.concatenate([[0], np.cumsum(size[right])[:-1]])
-    comp = comp.copy()
-    mark = np.zeros(int(local.max(initial=0)) + 1, np.int64)
-    out: tuple[list, list] = ([], [])
-    for x in np.flatnonzero(block == i):
-        if (comp[right] == comp[x]).all():
-            continue
-        own = local[starts[x] : starts[x] + size[x]]
-        mark[own] = 1
-        both = np.add.reduceat(mark[flat], cuts)
-        mark[own] = 0
-        for r in right[DEN * both >= NUM * (size[x] + size[right] - both)]:
-            if comp[r] != comp[x]:
-                out[0].append(ids[x])
-                out[1].append(ids[r])
-                comp[comp == comp[r]] = comp[x]
-    return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+    spark = links.sparkSession
+    with Workspace(spark, "components") as work:
+        edges, n = work.counted(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links")
+        steps = []
+        while n:
+            if len(steps) == MAX_ROUNDS:
+                raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+            tasks = -(-n // LINKS_A_TASK)
+            rank = (lambda c: F.xxhash64(F.lit(k), c)) if (k := len(steps)) else F.col
+            both = edges.union(edges.select("v", "u"))
+            low = both.groupBy("u").agg(F.min_by("v", rank("v")).alias("v")).where(rank("v") < rank("u"))
+            low = work.written(low.select(F.col("u").alias("from"), F.col("v").alias("to")), "low", tasks)
+            steps.append(low)
+            moved = edges
+            for c in ("u", "v"):
+                moved = moved.join(low, moved[c] == low["from"], "left").withColumn(c, F.coalesce("to", c)).drop("from", "to")
+            moved = moved.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+            edges, n = work.counted(moved, "links", tasks)
+        if not steps:
+            return spark.createDataFrame([], "id long, component long")
+        root = steps[0].select(F.col("from").alias("id"), F.col("to").alias("root"))
+        for k, low in enumerate(steps[1:], 1):
+            fresh = low.select(F.col("from").alias("id"), F.col("to").alias("root"))
+            root = root.join(low, root["root"] == low["from"], "left").select("id", F.coalesce("to", "root").alias("root")).union(fresh)
+        root = work.written(root, "roots")
+        least = root.groupBy("root").agg(F.min("id").alias("least")).select("root", F.least("root", "least").alias("component"))
+        least = work.written(least, "least")
+        return written(root.join(least, "root").select("id", "component").union(least.select("root", "component")), "components")
 
 
 def _cells(member: DataFrame) -> DataFrame:
-    """Rows (group, id, n: nodes of the group, ...) sent to each pair of blocks (i <= j) of their group that they are part of."""
-    m = member.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return m.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("n", "blocks", "other")
+    """Rows of open buckets, sent to the cells that they are part of.
+
+    ``out`` marks the nodes outside the bucket's largest component; ``n`` and
+    ``n_out`` count the bucket's nodes and those.  Cell (i, j) holds the i-th
+    block of the outside nodes (``left``) and the j-th block of all nodes.
+    """
+    at = F.xxhash64("id")
+    blocks_out, blocks = F.ceil(F.col("n_out") / BLOCK), F.ceil(F.col("n") / BLOCK)
+    member = member.withColumn("bi", F.pmod(at, blocks_out)).withColumn("bj", F.pmod(F.xxhash64(F.lit(1), "id"), blocks))
+    right = member.select("*", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), blocks_out - 1)).alias("i"), F.col("bj").alias("j"))
+    left = member.where("out").select("*", F.lit(True).alias("left"), F.col("bi").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
+    return right.union(left).drop("n", "n_out", "bi", "bj")
+
+
+def _by_cell(batches):
+    """The rows of each cell, of batches that are sorted by (key, i, j)."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        table = rows if held is None else pa.concat_tables([held, rows])
+        if not table.num_rows:
+            continue
+        k, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
+        cut = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        edges = [0, *cut.tolist()]
+        for a, b in zip(edges, edges[1:]):
+            yield table.slice(a, b - a)
+        held = table.slice(edges[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _likely_in(cell: pa.Table):
+    """For each left row of a cell (by position) the positions of its likely partners, as far as this band is their first common one."""
+    regs = np.frombuffer(b"".join(cell.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    ids, comp, size, left, out = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("id", "component", "n_shingles", "left", "out"))
+    band = cell.column("band")[0].as_py()
+    right = np.flatnonzero(~left)
+    theirs, bands = regs[right], regs[right].reshape(-1, BANDS, ROWS)
+    for x in np.flatnonzero(left):
+        equal = theirs == regs[x]
+        n, higher = equal.sum(1), (theirs < regs[x]).sum(1)
+        ok = (comp[right] != comp[x]) & (~out[right] | (ids[right] < ids[x])) & likely(n, higher, REGISTERS - n - higher, size[x], size[right])
+        ok = np.flatnonzero(ok)
+        if len(ok):
+            ok = ok[(bands[ok] == regs[x].reshape(BANDS, ROWS)).all(2).argmax(1) == band]
+        if len(ok):
+            yield int(x), right[ok]
+
+
+def _likely_rows(batches):
+    """The rows of each cell that have a likely partner in it."""
+    for cell in _by_cell(batches):
+        own = sorted({r for x, near in _likely_in(cell) for r in (x, *near.tolist())})
+        if own:
+            yield from cell.take(pa.array(own)).combine_chunks().to_batches()
+
+
+def _linked_rows(batches):
+    """Links between components in each cell, by exact comparison; none that others imply."""
+    for cell in _by_cell(batches):
+        ids, comp, size = (cell.column(c).to_numpy() for c in ("id", "component", "n_shingles"))
+        comp = comp.copy()
+        _, local = np.unique(np.frombuffer(b"".join(cell.column("set").to_pylist()), np.uint64), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+        mark = np.zeros(int(local.max(initial=0)) + 1, np.int64)
+        out: tuple[list, list] = ([], [])
+        for x, near in _likely_in(cell):
+            near = near[comp[near] != comp[x]]
+            if not len(near):
+                continue
+            own = local[starts[x] : starts[x] + size[x]]
+            mark[own] = 1
+            flat = np.concatenate([local[starts[r] : starts[r] + size[r]] for r in near])
+            both = np.add.reduceat(mark[flat], np.concatenate([[0], np.cumsum(size[near])[:-1]]))
+            mark[own] = 0
+            for r in near[DEN * both >= NUM * (size[x] + size[near] - both)]:
+                if comp[r] != comp[x]:
+                    out[0].append(ids[x])
+                    out[1].append(ids[r])
+                    comp[comp == comp[r]] = comp[x]
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
+
+
+def _in_cells(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+
+
+def _open_links(shared: DataFrame, comp: DataFrame, nodes: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
+    """Links between components that share a bucket."""
+    member = shared.join(comp, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
+    part = member.groupBy("key", "component").agg(F.count("*").alias("n"))
+    # the largest component of each bucket, the first among equals
+    most = part.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", F.struct("n", -F.col("component"))).alias("largest")).where("n > most")
+    most = most.select("key", "n", (F.col("n") - F.col("most")).alias("n_out"), "largest")
+    member = work.written(member.join(most, "key").withColumn("out", F.col("component") != F.col("largest")).drop("largest"), "open")
+    cells = _cells(member.join(nodes.select("id", "n_shingles", "regs"), "id"))
+    found = _in_cells(cells).mapInArrow(_likely_rows, cells.schema)
+    return _in_cells(found.join(sets, "id")).mapInArrow(_linked_rows, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -256,38 +359,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     full = sk.where("digest is not null and id is not null")
     repeated = full.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least != most")
     repeated_ids = bool(repeated.take(1))
-    if repeated_ids:
-        full = written(full.join(repeated, "id", "left").where("least is null or digest = least").drop("least", "most"), "sketch")
-    node_of = full.groupBy("digest").agg(F.min("id").alias("node"))
-    nodes = written(
-        full.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "regs", "keys")).alias("x")).select("digest", "x.*"), "nodes"
-    )
-    bands = nodes.select("id", F.explode("keys").alias("key"))
-    centres = bands.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre != last").select("key", "centre")
-    shared = written(bands.join(centres, "key"), "bands")  # only keys with more than one node
-    pairs = shared.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    likely = written(_estimated(pairs, nodes), "pairs")
-
-    wanted = shared.select("id").distinct().join(nodes.select("id", "digest"), "id")
-    sets = written(_sets(docs.join(wanted, "id")), "sets")
-    links = written(_confirmed(likely, sets), "links")
-    comp = written(components(links), "components")
-
-    # nodes whose buckets hold more than one component
-    member = shared.join(comp, "id", "left").select("key", "id", "centre", F.coalesce("component", "id").alias("component"))
-    open_keys = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "n")
-    member = written(member.join(open_keys, "key"), "open")
-    family = components(member.select(F.col("id").alias("a"), F.col("centre").alias("b"))).select("id", F.col("component").alias("group"))
-    sizes = family.groupBy("group").agg(F.count("*").alias("n"))
-    family = written(family.join(sizes, "group"), "families")
-    small = member.select("id", "component").distinct().join(family.where(F.col("n") <= FAMILY), "id").select("group", "id", "component", "n")
-    large = member.join(family.where(F.col("n") > FAMILY).select("id"), "id", "left_semi").select(F.col("key").alias("group"), "id", "component", "n")
-    cells = _cells(small.union(large)).join(nodes.select("id", "n_shingles"), "id").join(sets, "id")
-    found = written(cells.groupBy("group", "i", "j").applyInArrow(_compare_blocks, "a long, b long"), "links")
-    if found.take(1):
-        comp = written(components(links.union(found)), "components")
-
-    of_node = node_of.join(comp, node_of["node"] == comp["id"], "left").select("digest", F.coalesce("component", "node").alias("component"))
+    with Workspace(docs.sparkSession, "near-dedup") as work:
+        if repeated_ids:
+            full = written(full.join(repeated, "id", "left").where("least is null or digest = least").drop("least", "most"), "sketch")
+        nodes = full.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "regs", "keys")).alias("x")).select("digest", "x.*")
+        nodes = written(nodes, "nodes")
+        bands = nodes.select("id", F.posexplode("keys").alias("band", "key"))
+        sizes = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        shared = work.written(bands.join(sizes, "key"), "bands")  # only keys with more than one node
+        weight = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+        weighed = shared.join(weight, "id")
+        centres = weighed.groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("centre"))
+        pairs = shared.join(centres, "key").where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+        likely_pairs = work.written(_estimated(pairs, nodes), "pairs")
+
+        wanted = weight.select("id").join(nodes.select("id", "digest"), "id")
+        sets = work.written(_sets(docs.join(wanted, "id")), "sets")
+        links = work.written(_confirmed(likely_pairs, sets), "links")
+        comp = components(links)
+        found, n = work.counted(_open_links(shared, comp, nodes, sets, work), "links")
+        if n:
+            comp = components(links.union(found))
+        of_node = nodes.select("digest", "id").join(comp, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+        of_node = written(of_node, "of_node")  # as a table, so that the join may split the copies of one text
     of_id = full.select("id", "digest").distinct().join(of_node, "digest").select("id", "component") if repeated_ids else None
     out = sk.join(of_id, "id", "left") if repeated_ids else sk.join(of_node, "digest", "left")
     component = F.coalesce("component", "id")

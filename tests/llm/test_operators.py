@@ -172,9 +172,8 @@ def test_near_duplicates_family_in_blocks(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     want = {i: c for i, (_, c) in plain_components(rows).items()}
     df = docs_of(spark, rows)
-    for family in (50_000, 10):
-        monkeypatch.setattr(near_dedup, "BLOCK", 32)
-        monkeypatch.setattr(near_dedup, "FAMILY", family)
+    for block in (512, 16):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
         assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()} == want
 
 
@@ -192,7 +191,7 @@ def test_sketches_merge_and_estimate():
     x, y = rnd.integers(0, 2**64, 4000, np.uint64), rnd.integers(0, 2**64, 1000, np.uint64)
     a, b, both = near_dedup.registers([np.unique(x), np.unique(np.concatenate([x[:3500], y])), np.unique(np.concatenate([x, y]))])
     assert (np.maximum(a, b) == both).all()
-    est = near_dedup.likelihood_estimate(np.array([(a == b).sum()]), np.array([4000]), np.array([4500]))[0]
+    est = near_dedup.likelihood_estimate((a == b).sum(), (a > b).sum(), (a < b).sum(), 4000, 4500)
     assert abs(est - 3500 / 5000) < 0.16
 
 
