@@ -227,10 +227,12 @@ def components(links: DataFrame) -> DataFrame:
         while n:
             if len(steps) == MAX_ROUNDS:
                 raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-            tasks = -(-n // LINKS_A_TASK)
-            rank = (lambda c: F.xxhash64(F.lit(k), c)) if (k := len(steps)) else F.col
-            both = edges.union(edges.select("v", "u"))
-            low = both.groupBy("u").agg(F.min_by("v", rank("v")).alias("v")).where(rank("v") < rank("u"))
+            k, tasks = len(steps), -(-n // LINKS_A_TASK)
+            low = edges.union(edges.select("v", "u")).groupBy("u")
+            if k:
+                low = low.agg(F.min_by("v", F.xxhash64(F.lit(k), "v")).alias("v")).where(F.xxhash64(F.lit(k), "v") < F.xxhash64(F.lit(k), "u"))
+            else:  # all nodes, so that each has its row in the result
+                low = low.agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v"))
             low = work.written(low.select(F.col("u").alias("from"), F.col("v").alias("to")), "low", tasks)
             steps.append(low)
             moved = edges
@@ -240,14 +242,13 @@ def components(links: DataFrame) -> DataFrame:
             edges, n = work.counted(moved, "links", tasks)
         if not steps:
             return spark.createDataFrame([], "id long, component long")
+        # a node may lend its name to others after it has moved itself, so every name is followed through all later rounds
         root = steps[0].select(F.col("from").alias("id"), F.col("to").alias("root"))
-        for k, low in enumerate(steps[1:], 1):
-            fresh = low.select(F.col("from").alias("id"), F.col("to").alias("root"))
-            root = root.join(low, root["root"] == low["from"], "left").select("id", F.coalesce("to", "root").alias("root")).union(fresh)
+        for low in steps[1:]:
+            root = root.join(low, root["root"] == low["from"], "left").select("id", F.coalesce("to", "root").alias("root"))
         root = work.written(root, "roots")
-        least = root.groupBy("root").agg(F.min("id").alias("least")).select("root", F.least("root", "least").alias("component"))
-        least = work.written(least, "least")
-        return written(root.join(least, "root").select("id", "component").union(least.select("root", "component")), "components")
+        least = work.written(root.groupBy("root").agg(F.min("id").alias("component")), "least")
+        return written(root.join(least, "root").select("id", "component"), "components")
 
 
 def _cells(member: DataFrame) -> DataFrame:

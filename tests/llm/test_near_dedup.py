@@ -29,7 +29,8 @@ def test_components(spark):
     loose = [(rnd.randrange(3000, 3300), rnd.randrange(3000, 3300)) for _ in range(200)]
     links = [x for x in chain + star + loose if x[0] != x[1]]
     df = spark.createDataFrame(links + [(5, 5)], "a long, b long")
-    assert {r["id"]: r["component"] for r in near_dedup.components(df).collect()} == roots_of(links)
+    got = near_dedup.components(df).collect()
+    assert {r["id"]: r["component"] for r in got} == roots_of(links) and len(got) == len(roots_of(links))
     assert near_dedup.components(df.where("a = b")).count() == 0
 
 
@@ -75,5 +76,6 @@ def test_hot_bucket_spread_over_cells(spark, monkeypatch):
     from tests.llm.test_operators import docs_of, plain_components
 
     monkeypatch.setattr(near_dedup, "BLOCK", 24)
-    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs_of(spark, rows)).collect()}
-    assert got == {i: c for i, (_, c) in plain_components(rows).items()}
+    rows_out = near_dedup.near_duplicates(docs_of(spark, rows)).collect()
+    got = {r["doc_id"]: r["component_id"] for r in rows_out}
+    assert len(rows_out) == len(rows) and got == {i: c for i, (_, c) in plain_components(rows).items()}

@@ -156,6 +156,7 @@ def plain_components(rows):
 def test_near_duplicates_against_brute_force(docs, some):
     got = near_dedup.near_duplicates(docs).collect()
     want = plain_components([(r[0], r[1]) for r in some if r[0] is not None])
+    assert len(got) == len(some)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None} == want
     assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, True)]
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got if r["doc_id"] is not None)
