@@ -4,20 +4,24 @@ Templates and documents are sequences of lower-cased words (``\\w+``).  Of the
 hashes of all ``GRAM`` consecutive words, winnowing keeps the smallest of each
 ``WINNOW`` consecutive ones (the last among equals), so any common run of
 ``GRAM + WINNOW - 1`` = 5 words leaves a common fingerprint.  The fingerprints
-of the templates form an inverted index; a document's fingerprints found in it
-give (template, diagonal) candidates, and near diagonals are merged.  Each
-candidate is aligned word by word within ``BAND`` of its diagonal; matches that
-cover ``LEAST_COVERAGE`` of the template are reported with the covered share
-and the span in code points.
-
-Of overlapping matches the one with more matched words stays, then the one
-with the higher coverage, the earlier one, and the smaller template name.
-Null and empty texts have no match.
+of the templates form an inverted index; each (template, diagonal) of a
+document's fingerprints in it is a candidate, so every place of a repeated
+notice has its own.  The whole template is aligned word by word within ``BAND``
+of the diagonal (match 1, mismatch and gap -1, words around it are free), all
+candidates of a template at a time.  Alignments whose matched words cover
+``LEAST_COVERAGE`` of the template are reported with the covered share and the
+span in code points.
+
+Of overlapping alignments the one with more matched words stays, then the one
+with the higher coverage, the earlier one, and the smaller template name.  The
+others are aligned again without the words that are taken, until no new match
+comes up.  Null and empty texts have no match.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
@@ -30,9 +34,25 @@ from linefold.llm.common import map_texts
 GRAM, WINNOW = 3, 3
 BAND = 8
 LEAST_COVERAGE = 0.8
+#: Candidates that are aligned at a time.
+BATCH = 512
 WORD = re.compile(r"\w+")
 
-#: Default templates: (license, notice).  Public notice texts; callers pass their own list for full texts.
+_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+    "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. "
+)
+
+#: Default templates: (license, text).  Public license texts and notices; callers pass their own list for more.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -47,7 +67,21 @@ TEMPLATES = [
         "MIT",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
         "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
@@ -55,10 +89,11 @@ TEMPLATES = [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
+    ("BSD-2-Clause", _BSD_2 + _WARRANTY),
     (
         "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        _BSD_2 + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. " + _WARRANTY,
     ),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -102,75 +137,99 @@ class Index:
                     if x in own:
                         self.posts[x].append((k, p))
         self.keys = np.array(sorted(self.posts), np.uint64)
+        vocabulary = sorted({w for words in self.words for w in words})
+        self.number = {w: n for n, w in enumerate(vocabulary, 1)}  # 0: a word of no template, or taken
+        self.numbers = [np.array([self.number[w] for w in words], np.int64) for words in self.words]
 
-    def candidates(self, words: list[str]) -> dict[tuple[int, int], None]:
-        """(template, diagonal) of the hits; diagonals within the band of one before count as that one."""
+    def candidates(self, words: list[str]) -> list[tuple[int, int]]:
+        """Each (template, diagonal) of the hits."""
         at, h = fingerprints(words)
         if not len(at) or not len(self.keys):
-            return {}
+            return []
         slot = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         hit = self.keys[slot] == h
-        found = sorted({(k, p - q) for p, x in zip(at[hit].tolist(), h[hit].tolist()) for k, q in self.posts[x]})
-        out: dict[tuple[int, int], None] = {}
-        last = None
-        for k, d in found:
-            if last is None or last[0] != k or d - last[1] > BAND:
-                last = (k, d)
-                out[last] = None
-        return out
+        return sorted({(k, p - q) for p, x in zip(at[hit].tolist(), h[hit].tolist()) for k, q in self.posts[x]})
+
+
+#: An alignment in one number, compared as a whole: its score, matched words, and the first and the last matched word in the window.
+_SCORE, _MATCHED, _FIRST = 1 << 44, 1 << 30, 1 << 15
+_FIELD = _FIRST - 1
+_OUT = -(1 << 61)
 
 
-def align(template: list[str], words: list[str], diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """(matched words, first, last + 1 position in ``words``) of the best alignment of the whole template.
+def align(template: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(matched words, first, last + 1 position) of the best alignment of the whole template in each window.
 
-    Match 1, mismatch and gap -1; cells further than ``band`` (twice that above, as merged
-    diagonals lie there) from the diagonal are left out.  Words around the template are free.
+    A window is a row of words that starts ``band`` before the diagonal, as
+    wide as the template and twice the band; words are numbers.  Among equal
+    scores and matches the alignment that ends nearest to the diagonal counts.
     """
-    lo, hi = max(0, diagonal - band), min(len(words), diagonal + len(template) + 2 * band)
-    part = words[lo:hi]
-    low = -(10**9)
-    # score, matched, start, end of matches, by position in part
-    prev = {j: (0, 0, None, None) for j in range(len(part) + 1)}
-    for i, w in enumerate(template, 1):
-        first, last = max(0, diagonal - lo + i - band - 1), min(len(part), diagonal - lo + i + 2 * band)
-        row: dict = {}
-        for j in range(first, last + 1):
-            best = (low, 0, None, None)
-            up = prev.get(j)
-            if up:
-                best = (up[0] - 1, *up[1:])
-            diag = prev.get(j - 1) if j else None
-            if diag:
-                s, m, a, b = diag
-                x = (s + 1, m + 1, j - 1 if a is None else a, j) if part[j - 1] == w else (s - 1, m, a, b)
-                best = max(best, x, key=lambda c: c[:2])
-            left = row.get(j - 1)
-            if left:
-                best = max(best, (left[0] - 1, *left[1:]), key=lambda c: c[:2])
-            row[j] = best
-        prev = row
-    _, m, a, b = max(prev.values(), key=lambda c: c[:2], default=(0, 0, None, None))
-    return (m, a + lo, b + lo) if m else (0, 0, 0)
-
-
-def find(index: Index, text: str) -> list[dict]:
-    words = _words(text)
-    hits = []
-    for k, d in index.candidates(words):
-        m, a, b = align(index.words[k], words, d)
-        if m >= LEAST_COVERAGE * len(index.words[k]):
-            hits.append((-m, -m / len(index.words[k]), a, b, k))
-    chosen: list = []
-    for h in sorted(set(hits), key=lambda h: (*h[:3], index.names[h[4]], h[4])):
-        if all(h[3] <= c[2] or c[3] <= h[2] for c in chosen):
-            chosen.append(h)
-    if not chosen:
-        return []
-    at = [m.span() for m in WORD.finditer(text)]
-    return [
-        {"license": index.names[k], "template": k, "matched": -m, "coverage": round(-c, 4), "start": at[a][0], "end": at[b - 1][1]}
-        for m, c, a, b, k in sorted(chosen, key=lambda h: h[2])
-    ]
+    band = (windows.shape[1] - len(template)) // 2
+    gaps = np.arange(2 * band + 1) * _SCORE
+    best = np.zeros((len(windows), 2 * band + 1), np.int64)
+    for i, w in enumerate(template.tolist()):
+        at = np.arange(i, i + 2 * band + 1)
+        same = windows[:, i : i + 2 * band + 1] == w
+        fresh = (best >> 30) & (_MATCHED // _FIRST // 2 - 1) == 0
+        first = np.where(fresh, at, (best >> 15) & _FIELD)
+        hit = (best >> 30 << 30) + _SCORE + _MATCHED + first * _FIRST + at + 1
+        row = np.where(same, hit, best - _SCORE)
+        row[:, :-1] = np.maximum(row[:, :-1], best[:, 1:] - _SCORE)  # a template word is left out
+        best = np.maximum.accumulate(row + gaps, axis=1) - gaps  # words of the window are left out
+    near = np.abs(np.arange(2 * band + 1) - band)
+    score = best >> 30
+    top = np.where(score == score.max(1, keepdims=True), -near, _OUT).argmax(1)
+    got = np.take_along_axis(best, top[:, None], 1)[:, 0]
+    return (got >> 30) & (_MATCHED // _FIRST // 2 - 1), (got >> 15) & _FIELD, got & _FIELD
+
+
+def _free(starts: list[tuple[int, int]], a: int, b: int) -> bool:
+    """Whether no interval of a sorted list overlaps [a, b)."""
+    k = bisect_left(starts, (a, a))
+    return (k == 0 or starts[k - 1][1] <= a) and (k == len(starts) or starts[k][0] >= b)
+
+
+def find(index: Index, texts: list[str]) -> list[list[dict]]:
+    """The matches of each text."""
+    split = [_words(t) for t in texts]
+    pending = [(i, k, d) for i, w in enumerate(split) for k, d in index.candidates(w)]
+    known = {i: np.fromiter((index.number.get(w, 0) for w in split[i]), np.int64, len(split[i])) for i in {c[0] for c in pending}}
+    taken: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    chosen: dict[int, list] = defaultdict(list)
+    while pending:
+        by_template: dict[int, list] = defaultdict(list)
+        for c in pending:
+            by_template[c[1]].append(c)
+        hits = []
+        for k, own in by_template.items():
+            n = len(index.words[k])
+            for at in range(0, len(own), BATCH):
+                part = own[at : at + BATCH]
+                windows = np.zeros((len(part), n + 2 * BAND), np.int64)
+                for row, (i, _, d) in zip(windows, part):
+                    lo, hi = max(0, d - BAND), min(len(split[i]), d + n + BAND)
+                    row[lo - d + BAND : hi - d + BAND] = known[i][lo:hi]
+                for c, m, a, b in zip(part, *(x.tolist() for x in align(index.numbers[k], windows))):
+                    if m >= LEAST_COVERAGE * n:
+                        hits.append((-m, -m / n, a + c[2] - BAND, index.names[k], k, b + c[2] - BAND, c))
+        pending = []
+        for m, share, a, _, k, b, c in sorted(hits):
+            own = taken[c[0]]
+            if _free(own, a, b):
+                insort(own, (a, b))
+                chosen[c[0]].append((a, b, k, -m, -share))
+            else:
+                pending.append(c)
+        for i in {c[0] for c in pending}:  # without the words that are taken
+            for a, b in taken[i]:
+                known[i][a:b] = 0
+    out: list[list[dict]] = [[] for _ in texts]
+    for i, found in chosen.items():
+        at = [m.span() for m in WORD.finditer(texts[i])]
+        out[i] = [
+            {"license": index.names[k], "template": k, "matched": m, "coverage": round(share, 4), "start": at[a][0], "end": at[b - 1][1]} for a, b, k, m, share in sorted(found)
+        ]
+    return out
 
 
 _FIELDS = "license: string, template: int, matched: int, coverage: double, start: int, end: int"
@@ -181,7 +240,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, keep: li
     index = docs.sparkSession.sparkContext.broadcast(Index(templates))  # as large as the template list
 
     def make():
-        return lambda texts: [[find(index.value, t) for t in texts]]
+        return lambda texts: [find(index.value, texts)]
 
     return map_texts(docs, f"licenses array<struct<{_FIELDS}>>", make, keep=keep)
 

@@ -348,7 +348,7 @@ def test_license_scan(spark, docs, empty):
     full = [t for t in license_scan.TEMPLATES if t[0] == "MIT"][1][1]
     words = full.split()
     del words[10:14]
-    hit = license_scan.find(license_scan.Index(license_scan.TEMPLATES), "x y z " + " ".join(words) + " tail")
+    hit = license_scan.find(license_scan.Index(license_scan.TEMPLATES), ["x y z " + " ".join(words) + " tail"])[0]
     assert [h["license"] for h in hit] == ["MIT"] and 0.9 < hit[0]["coverage"] < 1
 
 
