@@ -39,6 +39,13 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_docs: int) -> D
     return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(y), "doc_id").select("text", "y")
 
 
+def thinned(docs: DataFrame, total: int, max_docs: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """About ``max_docs`` of ``total`` rows, by a hash of id and text; the share has the hash's 64 bits, so that no size makes it nothing."""
+    if total <= max_docs:
+        return docs
+    return docs.where(F.xxhash64(id_col, text) < F.lit(int(2.0**64 * max_docs / total) - 2**63))
+
+
 def slices(batch: pa.RecordBatch, text: str, max_chars: int = MAX_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``max_chars`` bytes of text; a longer text is a part of its own."""
     start, held = 0, 0

@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import held_out, map_texts, slices
+from linefold.llm.common import held_out, map_texts, slices, thinned
 
 #: Least and most bits of a slot's number; a filter has ``ROOM`` slots for each n-gram of its largest language, as far as the most bits go.
 SLOT_BITS, MOST_SLOT_BITS = 18, 22
 ROOM = 8
 HASHES = 3
-#: Training documents to learn from, about: rows are thinned by a hash of their id.
+#: Training documents to learn from, about: rows are thinned by a hash of their id and text.
 MAX_TRAIN_DOCS = 20_000
 #: An n-gram is typical of a language if this share of its documents has it ...
 MIN_DOC_SHARE = 0.01
@@ -108,8 +108,7 @@ def fit(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> LanguageModel
     total = train.select("doc_id").count()
     if not total:
         return None
-    if total > max_train_docs:
-        train = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * max_train_docs / total))
+    train = thinned(train, total, max_train_docs)
     counts = train.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.persist()
     try:

@@ -4,22 +4,29 @@ Base findings (code points, end exclusive) are the leftmost non-overlapping
 matches of each pattern, without those that are too short.  Beside them, the
 network scores every candidate -- a maximal run of the characters that an
 assigned value may have, at least ``LEAST_RUN`` long, without dots at its ends --
-together with the text around it, and adds the spans that reach its threshold
-as kind ``net``, unless a base finding overlaps them.  A run longer than
-``INSIDE`` gets the highest score of the windows that slide over it by ``STRIDE``.
+together with the text around it.  Candidates within base findings lend them
+their score; the others are added as kind ``net`` if they reach the threshold.
+A run longer than ``INSIDE`` gets the highest score of the windows that slide
+over it by ``STRIDE``.
 
 The convolution runs once over the text, as tables of character pairs, and
 serves all candidates: a window pools the kernels that lie wholly in it.
 
 The network (numpy: embedding, one convolution, max and mean pooling, logistic
-output) is trained on labelled findings: windows that hold a base finding's value
-against the other runs of a bounded sample of documents.  Its scores are
-calibrated by Platt scaling on a validation part, and the threshold is the
-highest that keeps ``RECALL`` of the validation findings; ``precision`` tells how
-many of the validation windows above it are findings.
+output) is trained on labelled findings of a bounded sample of documents:
+
+* findings: windows that hold a base finding's value, and ``planted`` ones --
+  such values cut, written in other alphabets, with or without another key name
+  before them, in the middle of prose, where no fixed pattern finds them;
+* others: the remaining runs, and ``decoys`` -- URLs, paths, names, dates, card,
+  order and phone numbers, versions and UUIDs.
+
+Its scores are calibrated by Platt scaling on a validation part, and the
+threshold is the highest that keeps ``RECALL`` of the validation findings;
+``recall`` and ``precision`` tell how it does on a third part.
 
 Null and empty texts have no findings.  Without training findings of both
-classes the network adds nothing.
+classes the network adds nothing, and base findings have no score.
 """
 
 from __future__ import annotations
@@ -30,10 +37,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import map_texts
+from linefold.llm.common import map_texts, thinned
 
 #: Fixed patterns and least lengths, as the contract lists them.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -48,10 +56,23 @@ DIGIT = re.compile(r"[0-9]")
 INSIDE, AROUND, STRIDE = 48, 24, 12
 WIDTH = INSIDE + 2 * AROUND
 EMBED, FILTERS, KERNEL = 8, 24, 5
-RECALL = 0.99
+RECALL = 0.97
 #: Bound of the training sample: documents (by a hash of the id) and runs of each class.
-MAX_TRAIN_DOCS, MAX_TRAIN_RUNS = 20_000, 3_000
-EPOCHS = 12
+MAX_TRAIN_DOCS, MAX_TRAIN_RUNS = 20_000, 5_000
+EPOCHS = 10
+#: Planted findings and decoys of one document.
+PLANTED, DECOYS = 24, 3
+#: Values from this length on are planted elsewhere, cut to no less.
+LEAST_PLANTED = 20
+#: Names before planted findings that the fixed patterns do not know, and alphabets that they are written in.
+KEY_NAMES = ["", "", "", "pwd", "auth", "authorization bearer", "access key", "credential", "passphrase", "private key", "session", "signature", "x-auth"]
+ALPHABETS = [
+    "0123456789ABCDEF",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "abcdefghijklmnopqrstuvwxyz0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+]
 
 Span = tuple[int, int, str]
 
@@ -154,6 +175,7 @@ class Net:
     out_bias: float
     scale: tuple[float, float] = (1.0, 0.0)
     threshold: float = 1.0
+    recall: float = 0.0
     precision: float = 0.0
 
 
@@ -226,19 +248,20 @@ def _platt(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(codes: np.ndarray, y: np.ndarray, seed: int = 7) -> Net | None:
-    """Adam over shuffled batches; every fifth example validates."""
+    """Adam over shuffled batches; of every five examples one calibrates and one measures."""
     if len(set(y.tolist())) < 2 or min(y.sum(), (y == 0).sum()) < 10:
         return None
     r = np.random.default_rng(seed)
     small = lambda scale, *shape: r.normal(0, scale, shape).astype(np.float32)
     net = Net(small(0.3, CODES, EMBED), small(0.2, KERNEL * EMBED, FILTERS), np.zeros(FILTERS, np.float32), small(0.2, 2 * FILTERS), 0.0)
-    val = np.arange(len(y)) % 5 == 0
-    tc, ty = codes[~val], y[~val]
+    val, last = np.arange(len(y)) % 5 == 0, np.arange(len(y)) % 5 == 1
+    tc, ty = codes[~val & ~last], y[~val & ~last]
     weight = np.where(ty == 1, len(ty) / 2 / ty.sum(), len(ty) / 2 / (ty == 0).sum()).astype(np.float32)
     names = ("embed", "filters", "bias", "out")
     m, v, step = {k: 0.0 for k in names}, {k: 0.0 for k in names}, 0
-    for _ in range(EPOCHS):
-        for at in np.array_split(r.permutation(len(ty)), max(1, len(ty) // 64)):
+    for epoch in range(EPOCHS):
+        rate = 0.01 * (1 - epoch / EPOCHS)
+        for at in np.array_split(r.permutation(len(ty)), max(1, len(ty) // 128)):
             c = tc[at].copy()
             hide = r.random(len(at)) < 0.3  # without the words around it now and then, so that the run itself counts
             c[hide, :AROUND] = 0
@@ -258,33 +281,97 @@ def train(codes: np.ndarray, y: np.ndarray, seed: int = 7) -> Net | None:
             for k in names:
                 m[k] = 0.9 * m[k] + 0.1 * grad[k]
                 v[k] = 0.999 * v[k] + 0.001 * grad[k] ** 2
-                setattr(net, k, getattr(net, k) - 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8))
-            net.out_bias -= 0.05 * float(d.sum())
+                setattr(net, k, getattr(net, k) - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8))
+            net.out_bias -= 5 * rate * float(d.sum())
     logit = _forward(net, codes[val])[-1]
     net.scale = _platt(logit, y[val])
     got = _probability(net, logit)
     own = np.sort(got[y[val] == 1])
     net.threshold = float(own[int((1 - RECALL) * len(own))]) - 1e-6  # the order of sums may differ when texts are scanned
-    net.precision = float(y[val][got >= net.threshold].mean())
+    above = _probability(net, _forward(net, codes[last])[-1]) >= net.threshold
+    net.recall = float(above[y[last] == 1].mean()) if (y[last] == 1).any() else 0.0
+    net.precision = float(y[last][above].mean()) if above.any() else 0.0
     return net
 
 
+def planted(value: str, words: list[str], r: np.random.Generator) -> tuple[str, int, int]:
+    """A text with a finding that no fixed pattern defines, made of a base finding's value, and its place."""
+    secret = value[: int(r.integers(LEAST_PLANTED, len(value) + 1))]
+    if r.random() < 0.8:
+        letters = ALPHABETS[r.integers(len(ALPHABETS))]
+        secret = "".join(letters[k] for k in r.integers(0, len(letters), len(secret)))
+    if r.random() < 0.25:
+        secret = "".join(chr(97 + k) for k in r.integers(0, 26, int(r.integers(2, 5)))) + "_-"[r.integers(2)] + secret
+    name = KEY_NAMES[r.integers(len(KEY_NAMES))]
+    before = " ".join([*_some(words, r, 6), name]).rstrip() + [" ", ": ", "=", " = \"", " '", "("][r.integers(6)]
+    after = ["", "\"", "'", ",", ")", "."][r.integers(6)] + " " + " ".join(_some(words, r, 6))
+    return before + secret + after, len(before), len(before) + len(secret)
+
+
+def _some(words: list[str], r: np.random.Generator, n: int) -> list[str]:
+    return [words[k] for k in r.integers(0, len(words), n)]
+
+
+def decoy(words: list[str], r: np.random.Generator) -> tuple[str, int, int]:
+    """A text with something long that is no secret, and its place."""
+    w = [x.strip(".,;:!?()\"'") or "x" for x in _some(words, r, 4)]
+    digits = lambda n: "".join(map(str, r.integers(0, 10, n)))
+    hexes = lambda n: "".join("0123456789abcdef"[k] for k in r.integers(0, 16, n))
+    kinds = (
+        lambda: f"https://www.{w[0]}.com/{w[1]}/{w[2]}-{w[3]}?page={digits(2)}",
+        lambda: f"/{w[0]}/{w[1]}/{w[2]}_{digits(3)}.txt",
+        lambda: "_".join(w),
+        lambda: "-".join(w[:3]),
+        lambda: ".".join(w[:3]) + "@" + w[3] + ".org",
+        lambda: "".join(x.capitalize() for x in w[:3]),
+        lambda: w[0] + digits(int(r.integers(1, 5))),
+        lambda: w[0].upper() + w[1].upper(),
+        lambda: digits(int(r.integers(6, 21))),
+        lambda: " ".join(digits(4) for _ in range(4)),
+        lambda: f"{digits(4)}-{digits(2)}-{digits(2)}T{digits(2)}:{digits(2)}:{digits(2)}Z",
+        lambda: f"{digits(3)}.{digits(3)}.{digits(2)}.{digits(3)}",
+        lambda: f"ORD-{digits(4)}-{digits(6)}",
+        lambda: f"v{digits(1)}.{digits(2)}.{digits(1)}-beta.{digits(1)}",
+        lambda: f"+{digits(2)}-{digits(3)}-{digits(7)}",
+        lambda: "-".join(hexes(n) for n in (8, 4, 4, 4, 12)),
+    )
+    made = kinds[r.integers(len(kinds))]()
+    before = " ".join(_some(words, r, 6)) + " "
+    return f"{before}{made} {' '.join(_some(words, r, 6))}", len(before), len(before) + len(made)
+
+
+def _made(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of planted findings and decoys of the texts, and which is which; the same for the same text."""
+    snippets = []
+    for t in texts:
+        words = t[:4000].split()[:400] or ["x"]  # surroundings only; every value of the text is used
+        long = [t[a:b] for a, b in values(t) if b - a >= LEAST_PLANTED]
+        r = np.random.default_rng(xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")))
+        snippets += [(*planted(long[k % len(long)], words, r), True) for k in range(PLANTED if long else 0)]
+        snippets += [(*decoy(words, r), False) for _ in range(DECOYS)]
+    codes, at = joined_codes([x[0] for x in snippets])
+    s, e, _ = windows_of(*runs_of(codes))
+    own = np.searchsorted(at, s, side="right") - 1
+    a, b, secret = at[own] + np.array([x[1] for x in snippets])[own], at[own] + np.array([x[2] for x in snippets])[own], np.array([x[3] for x in snippets])[own]
+    both = np.minimum(e, b) - np.maximum(s, a)
+    ok = both >= np.where(secret, np.minimum(b - a, INSIDE // 2), 1)
+    return cut_windows(codes, s[ok], e[ok]), secret[ok]
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS, max_runs: int = MAX_TRAIN_RUNS) -> Net | None:
     """Labelled findings of a sample of about ``max_docs`` documents.
 
-    At most ``max_runs`` windows each of findings, other runs with digits, runs
-    without, and runs near a finding, the first by a hash of what the network sees.
+    At most ``max_runs`` windows each of other runs without digits (0), with
+    digits (1), of findings (2), runs near a finding (3), planted findings (4)
+    and decoys (5), the first by a hash of what the network sees.
     """
-    total = docs.select(id_col).count()
-    sample = docs.select(id_col, "text")
-    if total > max_docs:
-        sample = sample.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(1_000_000 * max_docs / total))
+    sample = thinned(docs.select(id_col, "text"), docs.select(id_col).count(), max_docs, id_col)
 
     def make():
         def fn(texts):
             codes, at = joined_codes(texts)
             s, e, _ = windows_of(*runs_of(codes))
-            held = np.zeros(len(s), np.int64)  # characters of findings; -1 where a window is no example
+            held = np.zeros(len(s), np.int64)  # 1: a finding; -1: no example
             near = np.zeros(len(s), bool)
             for i, t in enumerate(texts):
                 for a, b in values(t):
@@ -299,11 +386,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
             digit = np.cumsum(np.concatenate([[0], (codes >= _code("0")) & (codes <= _code("9"))]))
             kind = np.where(held > 0, 2, np.where(near, 3, (digit[e] > digit[s]).astype(np.int64)))
             ok = held >= 0
-            rows, kind = cut_windows(codes, s[ok], e[ok]), kind[ok]
+            more, secret = _made(texts)
+            rows = np.concatenate([cut_windows(codes, s[ok], e[ok]), more])
+            kind = np.concatenate([kind[ok], np.where(secret, 4, 5)])
             h = (rows.astype(np.uint64) * _WEIGHTS).sum(1, dtype=np.uint64)
             h = ((h ^ (h >> np.uint64(29))) * _WEIGHTS[0]).view(np.int64)
             pick = []
-            for k in range(4):
+            for k in range(6):
                 own = np.flatnonzero(kind == k)
                 _, first = np.unique(h[own], return_index=True)
                 pick += own[first[:max_runs]].tolist()
@@ -315,34 +404,40 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
     runs = map_texts(sample, "runs array<struct<y: int, h: long, codes: binary>>", make, keep=[], max_chars=250_000).select(F.explode("runs").alias("r")).select("r.*").distinct()
     runs = runs.persist()  # of a bounded sample
     try:
-        got = [r for y in range(4) for r in runs.where(F.col("y") == y).orderBy("h", "codes").limit(max_runs).collect()]
+        got = [r for y in range(6) for r in runs.where(F.col("y") == y).orderBy("h", "codes").limit(max_runs).collect()]
     finally:
         runs.unpersist()
     codes = np.array([list(r["codes"]) for r in got], np.int64).reshape(-1, WIDTH)
-    y = np.array([r["y"] == 2 for r in got], np.int64)
+    y = np.array([r["y"] in (2, 4) for r in got], np.int64)
     order = np.argsort([hashlib.md5(bytes(r["codes"])).digest() for r in got], kind="stable") if got else []
     return train(codes[order], y[order]) if len(got) else None
 
 
-def find(net: Net | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
-    """For each text its base spans and all spans, by start, then kind."""
-    base = [base_spans(t) for t in texts]
-    every = [list(b) for b in base]
+def find_scored(net: Net | None, texts: list[str]) -> list[list[tuple[int, int, str, float | None]]]:
+    """All spans of each text with the network's score, by start, then kind."""
+    every: list[list] = [[(*s, None) for s in base_spans(t)] for t in texts]
     if net and texts:
         codes, at = joined_codes(texts)
-        covered = np.zeros(len(codes) + 1, np.int64)
-        for i, spans in enumerate(base):
-            for s, e, _ in spans:
-                covered[at[i] + s + 1 : at[i] + e + 1] = 1
-        covered = covered.cumsum()
         start, end = runs_of(codes)
-        free = covered[start] == covered[end]
-        start, end = start[free], end[free]
         s, e, run = windows_of(start, end)
-        hits = np.unique(run[score_windows(net, codes, s, e) >= net.threshold])
+        top = np.zeros(len(start))
+        np.maximum.at(top, run, score_windows(net, codes, s, e))
+        covered = np.zeros(len(codes) + 1, np.int64)
+        for i, spans in enumerate(every):
+            for k, (a, b, kind, _) in enumerate(spans):
+                covered[at[i] + a + 1 : at[i] + b + 1] = 1
+                own = top[np.searchsorted(end, at[i] + a, side="right") : np.searchsorted(start, at[i] + b)]
+                spans[k] = (a, b, kind, float(own.max()) if len(own) else None)
+        covered = covered.cumsum()
+        hits = np.flatnonzero((covered[start] == covered[end]) & (top >= net.threshold))
         for j, i in zip(hits.tolist(), (np.searchsorted(at, start[hits], side="right") - 1).tolist()):
-            every[i].append((int(start[j] - at[i]), int(end[j] - at[i]), "net"))
-    return [(b, sorted(x, key=lambda s: (s[0], KINDS.index(s[2])))) for b, x in zip(base, every)]
+            every[i].append((int(start[j] - at[i]), int(end[j] - at[i]), "net", float(top[j])))
+    return [sorted(x, key=lambda s: (s[0], KINDS.index(s[2]))) for x in every]
+
+
+def find(net: Net | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
+    """For each text its base spans and all spans, by start, then kind."""
+    return [([s[:3] for s in x if s[2] != "net"], [s[:3] for s in x]) for x in find_scored(net, texts)]
 
 
 def joined(spans: list[Span]) -> str:
@@ -350,16 +445,16 @@ def joined(spans: list[Span]) -> str:
 
 
 def scan(docs: DataFrame, net: Net | None, keep: list[str] | None = None) -> DataFrame:
-    """Append ``findings`` (array of start, end, kind) of each text, base ones marked; no shuffle."""
+    """Append ``findings`` (array of start, end, kind, score) of each text, base ones marked; no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand weights
 
     def make():
         def fn(texts):
-            return [[[{"start": s, "end": e, "kind": k, "base": k != "net"} for s, e, k in every] for _, every in find(shared.value, texts)]]
+            return [[[{"start": s, "end": e, "kind": k, "base": k != "net", "score": p} for s, e, k, p in every] for every in find_scored(shared.value, texts)]]
 
         return fn
 
-    return map_texts(docs, "findings array<struct<start: int, end: int, kind: string, base: boolean>>", make, keep=keep)
+    return map_texts(docs, "findings array<struct<start: int, end: int, kind: string, base: boolean, score: double>>", make, keep=keep)
 
 
 def redact(docs: DataFrame, net: Net | None) -> DataFrame:
