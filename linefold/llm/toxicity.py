@@ -1,18 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Small transducers are composed over the words of a clause:
-
-* lexicon: word -> INSULT (weighted, learnt stems), THREAT, TARGET, NEGATION,
-  REPORT or OTHER;
-* negation: a negation holds for the next ``NEGATION_SPAN`` words and lowers
-  the insults and threats in them;
-* reported speech: from a reporting word to the end of the clause, matches
-  count less;
-* target: a clause that names a target counts more.
-
-A clause's score is the sum of its matches after all four; clauses without a
-match score 0 and are never looked at further.  A document's score is a
-logistic function of its matched clauses, fitted on labelled documents.
+The words of a clause become symbols -- INSULT and THREAT (weighted), TARGET,
+NEGATION, REPORT, OTHER -- that a composition of transducers reads:
+
+* ``hit``: chooses one insult or threat of the clause and marks it, in all ways;
+* ``negation``: a mark within ``NEGATION_SPAN`` symbols of a negation counts less;
+* ``reported``: a mark behind a reporting word counts less;
+* ``pattern``: accepts the clause with the weight of what it holds: target and
+  insult, threat and target, or one of them alone.
+
+A transducer's arcs carry weights; ``compose`` joins what one writes to what the
+next one reads and multiplies the weights.  A clause's score is the summed
+weight of all accepting paths of the composition, hence that of all its marks;
+clauses without an insult or threat have none and are never looked at further.
+A document's score is a logistic function of its matched clauses, fitted on
+labelled documents.
 
 The insult stems are learnt from a bounded sample of labelled documents that
 are not held out: words and word prefixes that occur in toxic documents nearly
@@ -24,8 +26,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from dataclasses import dataclass
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -42,8 +46,12 @@ NEGATIONS = "not never no nor isn't aren't don't nicht kein keine nie niemals ne
 REPORTS = "said says saying called quote quoted wrote claims claimed sagte sagt schrieb dit disait écrit dijo dice escribió".split()
 
 THREAT_WEIGHT = 1.0
-NEGATED, REPORTED, TARGETED = 0.5, 0.7, 1.2
+NEGATED, REPORTED = 0.5, 0.7
 NEGATION_SPAN = 3
+#: Weight of a clause's pattern.
+PATTERNS = {("INSULT", True): 1.2, ("INSULT", False): 1.0, ("THREAT", True): 1.2, ("THREAT", False): 0.8}
+SYMBOLS = ("INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "OTHER")
+MARKS = {"INSULT": "*INSULT", "THREAT": "*THREAT"}
 #: Bound of the labelled sample, by a hash of the id.
 MAX_TRAIN_DOCS = 8_000
 MIN_TOXIC, MIN_PRECISION = 8, 0.9
@@ -52,6 +60,86 @@ WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.,;:!?\n|]")
 
 
+@dataclass
+class Transducer:
+    """Weighted arcs {(state, symbol read): [(state, symbol written, weight)]}, a start and the weights of final states."""
+
+    start: object
+    arcs: dict[tuple, list[tuple]]
+    final: dict[object, float]
+
+    def weight(self, symbols: list[tuple[str, float]]) -> float:
+        """The summed weight of all accepting paths over (symbol, its own weight if it is marked)."""
+        at = {self.start: 1.0}
+        for symbol, own in symbols:
+            to: dict = defaultdict(float)
+            for state, w in at.items():
+                for end, written, arc in self.arcs.get((state, symbol), ()):
+                    to[end] += w * arc * (own if written.startswith("*") and not symbol.startswith("*") else 1.0)
+            at = to
+        return sum(w * self.final.get(state, 0.0) for state, w in at.items())
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """Reads what ``a`` reads, writes what ``b`` writes of what ``a`` writes; only states that can be reached."""
+    reads = defaultdict(list)
+    for (state, symbol), arcs in a.arcs.items():
+        reads[state].append((symbol, arcs))
+    start = (a.start, b.start)
+    arcs, todo, seen = {}, [start], {start}
+    while todo:
+        state = todo.pop()
+        for symbol, own in reads[state[0]]:
+            made = [((x, y), written, v * w) for x, middle, v in own for y, written, w in b.arcs.get((state[1], middle), ())]
+            if made:
+                arcs[state, symbol] = made
+            for end, _, _ in made:
+                if end not in seen:
+                    seen.add(end)
+                    todo.append(end)
+    return Transducer(start, arcs, {s: a.final[s[0]] * b.final[s[1]] for s in seen if s[0] in a.final and s[1] in b.final})
+
+
+def hit() -> Transducer:
+    arcs = {(state, x): [(state, x, 1.0)] for state in ("before", "after") for x in SYMBOLS}
+    for x, mark in MARKS.items():
+        arcs["before", x].append(("after", mark, 1.0))
+    return Transducer("before", arcs, {"after": 1.0})
+
+
+def negation() -> Transducer:
+    arcs = {}
+    for left in range(NEGATION_SPAN + 1):
+        for x in (*SYMBOLS, *MARKS.values()):
+            to = NEGATION_SPAN if x == "NEGATION" else max(0, left - 1)
+            arcs[left, x] = [(to, x, NEGATED if left and x in MARKS.values() else 1.0)]
+    return Transducer(0, arcs, dict.fromkeys(range(NEGATION_SPAN + 1), 1.0))
+
+
+def reported() -> Transducer:
+    arcs = {}
+    for said in (False, True):
+        for x in (*SYMBOLS, *MARKS.values()):
+            arcs[said, x] = [(said or x == "REPORT", x, REPORTED if said and x in MARKS.values() else 1.0)]
+    return Transducer(False, arcs, {False: 1.0, True: 1.0})
+
+
+def pattern() -> Transducer:
+    kinds = {mark: kind for kind, mark in MARKS.items()}
+    arcs = {}
+    for kind in (None, *kinds.values()):
+        for target in (False, True):
+            for x in (*SYMBOLS, *kinds):
+                if kind is None or x not in kinds:
+                    arcs[(kind, target), x] = [((kinds.get(x, kind), target or x == "TARGET"), x, 1.0)]
+    return Transducer((None, False), arcs, dict(PATTERNS))
+
+
+@cache
+def composed() -> Transducer:
+    return compose(compose(compose(hit(), negation()), reported()), pattern())
+
+
 @dataclass
 class Grammar:
     stems: dict[str, float]
@@ -81,28 +169,27 @@ class Grammar:
         return "OTHER", 0.0
 
     def clause_score(self, clause: str) -> float:
-        """Runs the composed transducers over a lower-cased clause."""
-        total, negated, reported, target = 0.0, 0, False, False
-        for word in WORD.findall(clause):
-            kind, weight = self.symbol(word)
-            if kind in ("INSULT", "THREAT"):
-                total += weight * (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)
-            target |= kind == "TARGET"
-            reported |= kind == "REPORT"
-            negated = NEGATION_SPAN if kind == "NEGATION" else max(0, negated - 1)
-        return total * (TARGETED if target else 1.0)
+        """The weight that the composed transducers give to a lower-cased clause."""
+        return composed().weight([self.symbol(w) for w in WORD.findall(clause)])
 
     def clauses(self, text: str) -> list[tuple[int, int, float]]:
-        """(start, end, score) of the clauses with a match, in code points of the lower-cased text."""
+        """(start, end, score) of the clauses with a match, in code points of the text."""
         low = text.lower()
+        if len(low) != len(text):  # a letter whose lower case is two stays, so that places are those of the text
+            low = "".join(x if len(x := c.lower()) == 1 else c for c in text)
+        hits = [(end - n + 1) for end, n in self.scan.iter(low)]
+        hits = [a for a in hits if not (a and low[a - 1].isalpha())]
+        if not hits:
+            return []
+        cuts = [m.start() for m in CLAUSE_END.finditer(low)]
         out, done = [], -1
-        for end, n in self.scan.iter(low):
-            start = end - n + 1
-            if start < done or (start and low[start - 1].isalpha()):
+        for start in sorted(hits):
+            if start < done:
                 continue
-            left = 1 + max(low.rfind(c, 0, start) for c in ".,;:!?\n|")
-            m = CLAUSE_END.search(low, end)
-            done = m.start() if m else len(low)
+            k = bisect_right(cuts, start)
+            left = cuts[k - 1] + 1 if k else 0
+            k = bisect_left(cuts, start)
+            done = cuts[k] if k < len(cuts) else len(low)
             s = self.clause_score(low[left:done])
             if s > 0:
                 out.append((left, done, s))
