@@ -1,12 +1,13 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-Terms of a document are hashed 4-grams of character shapes (letter case, digit,
-blank, each other sign as itself) and levels of the shares of distinct words,
-of words equal to their neighbour and of repeated lines; words themselves are no terms.  Term weights (1 + log tf) * idf are
-normalised and projected onto the leading singular vectors of a bounded sample
+Terms of a document are hashed lower-cased words, hashed 4-grams of character
+shapes (letter case, digit, blank, each other sign as itself) and levels of the
+shares of distinct words, of words equal to their neighbour and of repeated
+lines.  Term weights (1 + log tf) * idf, of unit length for words and for the
+rest apart, are projected onto the leading singular vectors of a bounded sample
 of labelled documents that are not held out.  The sample's vectors are
-broadcast; every document's cosines to all of them are exact products, block
-by block, and the ``NEIGHBOURS`` nearest vote with their similarity as weight.
+broadcast; every document's cosines to all of them are exact products, block by
+block, and the ``NEIGHBOURS`` nearest vote with their similarity as weight.
 
 Null and empty texts have no terms, hence a zero vector: they get the score of
 ``EMPTY``, 0.  No label, language, source or id of a document enters its score.
@@ -18,13 +19,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 
 from linefold.llm.common import labelled, map_texts
 
-BUCKETS, LEVELS = 1024, 24
-TERMS = BUCKETS + LEVELS
-RANK = 48
+BUCKETS, LEVELS, WORDS = 1024, 24, 2048
+SHAPES = BUCKETS + LEVELS
+TERMS = SHAPES + WORDS
+#: Length of the words' part of a vector against the rest.
+WORD_SHARE = 0.5
+RANK = 64
+#: Characters that are hashed at a time.
+STEP = 1 << 20
 NEIGHBOURS = 15
 #: Bound of the labelled sample: documents of both classes.
 MAX_TRAIN_DOCS = 4_000
@@ -47,18 +54,21 @@ def _shapes() -> np.ndarray:
 def term_counts(texts: list[str]) -> np.ndarray:
     """Dense counts, one row a text."""
     out = np.zeros((len(texts), TERMS), np.float32)
-    full = [i for i, t in enumerate(texts) if t]
-    if not full:
+    full = np.array([i for i, t in enumerate(texts) if t], np.int64)
+    if not len(full):
         return out
     codes = np.frombuffer("".join(texts[i] + "\n\n\n" for i in full).encode("utf-32-le", "surrogatepass"), np.uint32)
-    s = _shapes()[codes].astype(np.uint32)
-    h = s[:-3]
-    for k in (1, 2, 3):
-        h = h * np.uint32(0x9E3779B1) + s[k : len(s) - 3 + k]
-    h ^= h >> np.uint32(15)
-    bucket = ((h * np.uint32(0x85EBCA6B)) >> np.uint32(22)).astype(np.int64)
-    doc = np.repeat(np.arange(len(full)), [len(texts[i]) + 3 for i in full])[: len(bucket)]
-    out[full, :BUCKETS] = np.bincount(doc * BUCKETS + bucket, minlength=len(full) * BUCKETS).reshape(len(full), BUCKETS)
+    ends = np.cumsum([len(texts[i]) + 3 for i in full])
+    for at in range(0, len(codes) - 3, STEP):
+        s = _shapes()[codes[at : at + STEP + 3]].astype(np.uint32)
+        h = s[:-3]
+        for k in (1, 2, 3):
+            h = h * np.uint32(0x9E3779B1) + s[k : len(s) - 3 + k]
+        h ^= h >> np.uint32(15)
+        bucket = ((h * np.uint32(0x85EBCA6B)) >> np.uint32(22)).astype(np.int64)
+        doc = np.searchsorted(ends, np.arange(at, at + len(bucket)), side="right")
+        first, n = doc[0], doc[-1] - doc[0] + 1
+        out[full[first : first + n], :BUCKETS] += np.bincount((doc - first) * BUCKETS + bucket, minlength=n * BUCKETS).reshape(n, BUCKETS)
     for i in full:
         w = texts[i].split()
         lines = texts[i].split("\n")
@@ -68,6 +78,9 @@ def term_counts(texts: list[str]) -> np.ndarray:
         shares = (len(set(w)) / n, same, 1 - len(set(lines)) / len(lines))
         for k, x in enumerate(shares):
             out[i, BUCKETS + 8 * k + min(7, int(x * 8))] = weight
+        low = texts[i].lower().encode("utf-8", "surrogatepass").split()
+        own = np.fromiter(map(xxhash.xxh3_64_intdigest, low), np.uint64, len(low)) % np.uint64(WORDS)
+        out[i, SHAPES:] = np.bincount(own.astype(np.int64), minlength=WORDS)
     return out
 
 
@@ -81,7 +94,9 @@ class Space:
 
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    for part, share in ((x[:, :SHAPES], 1.0), (x[:, SHAPES:], WORD_SHARE)):
+        part *= share / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
+    return x
 
 
 def embed(space: Space, texts: list[str]) -> np.ndarray:
