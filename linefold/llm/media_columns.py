@@ -8,9 +8,11 @@ length and is committed after the shards are closed, so that a retried task
 leaves at most shards that nothing refers to.  A digest that several tasks
 stored is read from the smallest (shard, offset).
 
-``header_columns`` reads only the first bytes of each stored image by ranges;
-``read_back`` reads the whole images, decodes them and computes features, once
-per digest.  All files lie in the shared folder and are reached with
+``header_columns`` fills width, height and sample bits from the first bytes of
+each stored image alone, by ranges; ``read_back`` reads the whole images,
+decodes them and computes features.  Both go to one place for each digest.
+Copies of a payload in the shards of other tasks stay there unused: one shard
+place for each digest would take a shuffle of all texts before writing.  All files lie in the shared folder and are reached with
 ``pyarrow.fs``, so any store that it knows will do.
 
 Null and empty texts are one row of blanks.
@@ -180,18 +182,17 @@ def header_columns(rows: DataFrame) -> DataFrame:
 
 
 def read_back(rows: DataFrame) -> DataFrame:
-    """digest and what the stored bytes give: payload_sha256, tail_crc32, media_bytes, media_sha256, width, height, feature."""
-    names = ["digest", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "width", "height", "feature"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+    """digest and what the stored bytes give: payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
+    names = ["digest", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def one(f, offset, length):
-        width, height, _ = header(f.read_at(HEADER_BYTES, offset))
         data = f.read_at(length, offset)
         payload = samples(data)
-        return hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), width, height, feature(payload)
+        return hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature(payload)
 
     def run(batches):
         return _read(batches, names, kinds, one)
 
-    schema = "digest string, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, width int, height int, feature string"
+    schema = "digest string, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     return _in_order(places(rows)).mapInArrow(run, schema)

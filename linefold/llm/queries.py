@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefold.llm import bpe, chat_format, decontaminate, language_id, license_scan, media_columns, near_dedup, quality_knn, secret_scan, toxicity
-from linefold.llm.common import held_out, read
+from linefold.llm.common import held_out, read, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -74,7 +74,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = media_columns.store(read(spark, sf_dir, "documents"))
-    found = media_columns.read_back(rows)
+    heads = media_columns.header_columns(rows)  # reads no more than the headers
+    # as a table, so that the join with the rows may split the copies of one text
+    found = written(media_columns.read_back(rows).join(heads, "digest"), "media-columns")
     return rows.select("doc_id", "n_bytes", "payload_bytes", "digest").join(found, "digest").select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height"
     )

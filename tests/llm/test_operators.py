@@ -375,7 +375,8 @@ def test_media(docs, some, empty):
         payload = raw + b" " * (max(192, -(-len(raw) // 192) * 192) - len(raw))
         f = found[by[i]["digest"]]
         assert (by[i]["n_bytes"], by[i]["payload_bytes"], f["payload_sha256"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
-        assert f["tail_crc32"] == zlib.crc32(payload[-16:]) and f["width"] == heads[by[i]["digest"]]["width"] == 192 and f["height"] * 192 == len(payload)
+        head = heads[by[i]["digest"]]
+        assert f["tail_crc32"] == zlib.crc32(payload[-16:]) and head["width"] == 192 and head["height"] * 192 == len(payload) and head["sample_bits"] == 8
     assert media_columns.read_back(media_columns.store(empty)).count() == 0
 
 
