@@ -34,7 +34,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import xxhash
@@ -404,7 +404,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
     runs = map_texts(sample, "runs array<struct<y: int, h: long, codes: binary>>", make, keep=[], max_chars=250_000).select(F.explode("runs").alias("r")).select("r.*").distinct()
     runs = runs.persist()  # of a bounded sample
     try:
-        got = [r for y in range(6) for r in runs.where(F.col("y") == y).orderBy("h", "codes").limit(max_runs).collect()]
+        first = [runs.where(F.col("y") == y).orderBy("h", "codes").limit(max_runs) for y in range(6)]
+        got = reduce(DataFrame.union, first).collect()  # one query, so that the first of all partitions are picked before they are sent
     finally:
         runs.unpersist()
     codes = np.array([list(r["codes"]) for r in got], np.int64).reshape(-1, WIDTH)
