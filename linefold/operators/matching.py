@@ -1,17 +1,22 @@
 """Order-dependent matching: alignment, rescue, greedy choices, chains, components.
 
-These depend on the order in which earlier choices were made, so each group
-(a tag, document or page, of bounded size) is worked on in one Python call of
-``applyInPandas``; groups are dealt over the cluster.
+These depend on the order in which earlier choices were made.  Number repair
+and spaced picks run as one pass over rows sorted by group; the others take a
+group (a tag, document or page, of bounded size) in one call of
+``applyInPandas``.  Groups are dealt over the cluster.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MIN_SIM, RESCUE_SIM, RESCUE_ORDER_SIM = 0.35, 0.45, 0.38
 CONTAIN_SIM, CONTAIN_LEAST = 0.6, 10
@@ -165,31 +170,60 @@ def chains(df: DataFrame, group: str, most: int = 3) -> DataFrame:
     return df.select(group, "idx", "num", "shown").groupBy(group).applyInPandas(one, f"`{group}` {kind}, idx long, num long")
 
 
+def _fold(df: DataFrame, group: list[str], order: str, new: str, step: Callable) -> DataFrame:
+    """One pass over the rows of each group in order: ``step(state, row)`` returns the next state and a row of ``new`` or None.
+
+    Rows come sorted by group within partitions, so a group takes time linear in its rows and no memory.
+    """
+    schema = T._parse_datatype_string(new)
+    kinds = to_arrow_schema(schema)
+    names = df.columns
+
+    def run(batches):
+        last, state = None, None
+        for b in batches:
+            out = []
+            for values in zip(*(b.column(c).to_pylist() for c in names)):
+                row = dict(zip(names, values))
+                key = tuple(row[g] for g in group)
+                if key != last:
+                    last, state = key, None
+                state, made = step(state, row)
+                if made is not None:
+                    out.append(made)
+            yield pa.RecordBatch.from_pylist(out, kinds)
+
+    return df.repartition(*group).sortWithinPartitions(*group, order).mapInArrow(run, schema)
+
+
 def repaired(df: DataFrame, group: str, heir: str | None = None) -> DataFrame:
     """num and num_fixed of (name, raw), per group and name in order of idx.
 
     Of a number that was read together with the digits after it, the prefix
     that follows the previous number is taken; without one, the number as it
     is.  A raw that is no number takes the next one of the chain ``heir``; a
-    null raw has none.  A fold over each chain's rows, in the JVM.
+    null raw has none.
     """
     raw = F.trim(F.col("raw"))
     digits = raw.rlike("^[0-9]+$")
-    rows = df.select(group, F.when(raw.isNull() | digits, F.col("name")).otherwise(F.lit(heir)).alias("_chain"), "idx", raw.alias("raw"), digits.alias("digits"))
-    folded = rows.groupBy(group, "_chain").agg(F.sort_array(F.collect_list(F.struct("idx", "raw", "digits"))).alias("all"))
-    empty = F.struct(F.lit(None).cast("long").alias("prev"), F.array().cast("array<struct<idx: bigint, num: bigint, num_fixed: boolean>>").alias("out"))
-
-    def step(acc, x):
-        want = acc["prev"] + 1
-        whole = x["raw"].try_cast("long")
-        cut = F.exists(F.sequence(F.lit(1), F.greatest(F.length(x["raw"]) - 1, F.lit(1))), lambda k: (k < F.length(x["raw"])) & (F.substring(x["raw"], F.lit(1), k).try_cast("long") == want))
-        cut = F.coalesce(cut & (whole != want), F.lit(False))
-        num = F.when(x["raw"].isNull(), None).when(~x["digits"] | cut, want).otherwise(whole)
-        fixed = F.coalesce(~x["digits"] | cut, F.lit(False))
-        row = F.struct(x["idx"].cast("long").alias("idx"), num.alias("num"), fixed.alias("num_fixed"))
-        return F.struct(F.coalesce(num, acc["prev"]).alias("prev"), F.concat(acc["out"], F.array(row)).alias("out"))
+    chain_of = F.when(raw.isNull() | digits, F.col("name")).otherwise(F.lit(heir))
+    rows = df.select(group, chain_of.alias("_chain"), F.col("idx").cast("long").alias("idx"), raw.alias("raw"), F.when(digits, raw.try_cast("long")).alias("whole"))
+
+    def step(prev, x):
+        want = None if prev is None else prev + 1
+        row = {group: x[group], "idx": x["idx"], "num": None, "num_fixed": False}
+        if x["raw"] is None:
+            return prev, row
+        if not x["raw"].isdigit():
+            row |= {"num": want, "num_fixed": True}
+        elif want is not None and x["whole"] != want and any(int(x["raw"][:k]) == want for k in range(1, min(len(x["raw"]), 19))):
+            row |= {"num": want, "num_fixed": True}
+        else:
+            row["num"] = x["whole"]
+        return prev if row["num"] is None else row["num"], row
 
-    return folded.select(group, F.explode(F.aggregate("all", empty, step, lambda acc: acc["out"])).alias("x")).select(group, "x.*")
+    kind = df.schema[group].dataType.simpleString()
+    return _fold(rows, [group, "_chain"], "idx", f"`{group}` {kind}, idx long, num long, num_fixed boolean", step)
 
 
 def blobs(cells: DataFrame, page: str) -> DataFrame:
@@ -219,19 +253,16 @@ def blobs(cells: DataFrame, page: str) -> DataFrame:
 
 
 def disjoint(df: DataFrame, group: str, length: str) -> DataFrame:
-    """Per group, in order of idx, the rows whose stretch [idx, idx + length) begins after the one taken before it ended.
-
-    A fold over each group's ordered rows, in the JVM.
-    """
-    empty = F.struct(F.lit(None).cast("long").alias("free"), F.array().cast("array<struct<idx: bigint, length: bigint>>").alias("taken"))
+    """Per group, in order of idx, the rows whose stretch [idx, idx + length) begins after the one taken before it ended."""
 
-    def step(acc, x):
-        ok = acc["free"].isNull() | (x["idx"] >= acc["free"])
-        return F.when(ok, F.struct((x["idx"] + x["length"]).alias("free"), F.concat(acc["taken"], F.array(x)).alias("taken"))).otherwise(acc)
+    def step(free, x):
+        if free is not None and x["idx"] < free:
+            return free, None
+        return x["idx"] + x["length"], x
 
-    row = F.struct(F.col("idx").cast("long").alias("idx"), F.col(length).cast("long").alias("length"))
-    picks = df.groupBy(group).agg(F.sort_array(F.collect_list(row)).alias("all"))
-    return picks.select(group, F.explode(F.aggregate("all", empty, step, lambda acc: acc["taken"])).alias("x")).select(group, "x.*")
+    kind = df.schema[group].dataType.simpleString()
+    rows = df.select(group, F.col("idx").cast("long").alias("idx"), F.col(length).cast("long").alias("length"))
+    return _fold(rows, [group], "idx", f"`{group}` {kind}, idx long, length long", step)
 
 
 def spaced(df: DataFrame, group: str, wanted: str, near: int = 2) -> DataFrame:

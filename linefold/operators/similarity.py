@@ -1,13 +1,16 @@
 """Set-similarity operators over character n-grams.
 
-A stated query set of at most ``MOST_QUERIES`` rows, which is counted first, is
-broadcast and intersected with every row's set.  Larger left sides meet right
-rows on a common n-gram (an inverted-index join) and are counted.
+The left side is a stated query set.  It is taken in blocks of at most
+``MOST_QUERIES`` rows, each of which is broadcast as an inverted index and
+counted against every right row in one pass: the work grows with left x right
+postings, but no n-gram, however common, becomes one join key.  With ``on``,
+pairs meet within a key (a tag or file) on a common n-gram.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,8 @@ from linefold.functions.text import grams
 
 
 MOST_QUERIES = 5_000
+#: Counts (right rows x queries) that a task holds at a time.
+CELLS = 4_000_000
 
 
 def gram_sets(df: DataFrame, key: list[str], text: str, n: int = 3) -> DataFrame:
@@ -35,8 +40,9 @@ def overlaps(left: DataFrame, right: DataFrame, left_key: list[str], right_key:
     written with operators only and runs where the pairs are counted.
     """
     on = on or []
-    if not on and left.count() <= MOST_QUERIES:
-        return _ratios(_against(left, right, left_key, right_key, keep))
+    if not on:
+        parts = [_against(left, rows, right, left_key, right_key, keep) for rows in _blocks(left.select(*left_key, "size", "grams"))]
+        return _ratios(reduce(DataFrame.union, parts))
     a = left.select(*left_key, F.col("size").alias("left_size"), F.explode("grams").alias("gram"))
     b = right.select(*right_key, F.col("size").alias("right_size"), F.explode("grams").alias("gram"))
     keys = [*left_key, *[k for k in right_key if k not in on]]
@@ -44,13 +50,24 @@ def overlaps(left: DataFrame, right: DataFrame, left_key: list[str], right_key:
     return _ratios(pairs.where(keep(F.col("inter"), F.col("left_size"), F.col("right_size"))))
 
 
-def _against(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], keep: Callable) -> DataFrame:
-    """Common n-grams of each right row with each of a bounded set of left rows: no shuffle, one pass over the right rows.
+def _blocks(left: DataFrame) -> Iterator[list]:
+    """The rows in blocks; the driver holds one at a time.  At least one block, if need be an empty one."""
+    held, sent = [], False
+    for row in left.toLocalIterator():
+        held.append(row)
+        if len(held) == MOST_QUERIES:
+            yield held
+            held, sent = [], True
+    if held or not sent:
+        yield held
 
-    An inverted index of the left sets is broadcast; each batch of right rows is counted in one
+
+def _against(left: DataFrame, rows: list, right: DataFrame, left_key: list[str], right_key: list[str], keep: Callable) -> DataFrame:
+    """Common n-grams of each right row with each of a block of left rows: no shuffle, one pass over the right rows.
+
+    Batches of right rows are cut so that at most ``CELLS`` counts are held, and counted in one
     vectorised step, where set functions would build a hash set for every pair.
     """
-    rows = left.select(*left_key, "size", "grams").collect()  # counted: at most MOST_QUERIES
     posts = np.array(sorted((g, i) for i, r in enumerate(rows) for g in r["grams"]), np.int64).reshape(-1, 2)
     vocab, first = np.unique(posts[:, 0], return_index=True)
     index = (vocab, np.append(first, len(posts)), posts[:, 1])
@@ -61,7 +78,8 @@ def _against(left: DataFrame, right: DataFrame, left_key: list[str], right_key:
 
     def run(batches):
         (vocab, first, items), keys, sizes = shared.value
-        for b in batches:
+        step = max(1, CELLS // max(1, len(sizes)))
+        for b in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
             grams = b.column("grams")
             flat = grams.flatten().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(b.num_rows), pc.fill_null(pc.list_value_length(grams), 0).to_numpy())

@@ -185,11 +185,11 @@ def agg18(spark, d):
 
 @query(
     "agg19_pattern_hits",
-    f"WITH {MARKED_SQL} SELECT name, count(*) AS n, percentile_disc(0.5) WITHIN GROUP (ORDER BY idx DESC) AS mid, min(doc_id * 100000 + idx) AS example FROM marked WHERE name IS NOT NULL GROUP BY name",
+    f"WITH {MARKED_SQL} SELECT name, count(*) AS n, percentile_disc(0.5) WITHIN GROUP (ORDER BY idx DESC) AS mid, min(doc_id * 33554432 + idx) AS example FROM marked WHERE name IS NOT NULL GROUP BY name",
 )
 def agg19(spark, d):
     m = marked(spark, d).where("name is not null")
-    return m.groupBy("name").agg(F.count("*").alias("n"), X.upper_median("idx").cast("long").alias("mid"), F.min(F.col("doc_id") * 100000 + F.col("idx")).alias("example"))
+    return m.groupBy("name").agg(F.count("*").alias("n"), X.upper_median("idx").cast("long").alias("mid"), F.min(F.col("doc_id") * (1 << 25) + F.col("idx")).alias("example"))
 
 
 @query(

@@ -164,6 +164,8 @@ def jon12(spark, d):
 
 #: Items of a stated query set that may be broadcast.
 MOST_ITEMS = 5_000
+#: A document has fewer lines than this.
+MOST_LINES = 1 << 25
 
 
 def _refs(spark, d):
@@ -171,14 +173,13 @@ def _refs(spark, d):
 
 
 def _exts(spark, d):
-    """Distinct document lines that are about as long as an item, numbered by (doc, line)."""
-    long = lines(spark, d).where(F.length("text") >= 60)
+    """Distinct document lines, numbered by (doc, line)."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # comparing costs far more than the bytes tell: no coalescing
-    one = long.repartition(n, "text").groupBy("text").agg(F.min(F.struct("doc_id", "idx")).alias("at"))
-    return similarity.gram_sets(one.select((F.col("at.doc_id") * 100000 + F.col("at.idx")).alias("line_id"), "text"), ["line_id"], "text")
+    one = lines(spark, d).repartition(n, "text").groupBy("text").agg(F.min(F.struct("doc_id", "idx")).alias("at"))
+    return similarity.gram_sets(one.select((F.col("at.doc_id") * MOST_LINES + F.col("at.idx")).alias("line_id"), "text"), ["line_id"], "text")
 
 
-_SIM_SQL = f"""{LINES_SQL}, one AS (SELECT text, min(doc_id * 100000 + idx) AS line_id FROM lines WHERE length(text) >= 60 GROUP BY text),
+_SIM_SQL = f"""{LINES_SQL}, one AS (SELECT text, min(doc_id * 33554432 + idx) AS line_id FROM lines GROUP BY text),
     a AS (SELECT item_id, len(g) AS n, unnest(g) AS gram FROM (SELECT item_id, {GRAMS_SQL} AS g FROM (SELECT item_id, text AS s FROM benchmark))),
     b AS (SELECT line_id, len(g) AS m, unnest(g) AS gram FROM (SELECT line_id, {GRAMS_SQL} AS g FROM (SELECT line_id, text AS s FROM one))),
     p AS (SELECT item_id, line_id, n, m, count(*) AS inter FROM a JOIN b USING (gram) GROUP BY ALL)"""
@@ -239,14 +240,22 @@ def jon19(spark, d):
     return p.join(table(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("stem")), "stem").select("page_id", "doc_id")
 
 
-@query("jon20_kept_first")
+#: Turns in order, each with the n-gram sets kept so far.
+_KEPT_SQL = f"""RECURSIVE t AS (SELECT conv_id, turn AS idx, {GRAMS_SQL} AS g, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM (SELECT conv_id, turn, text AS s FROM conversations)),
+    r AS (SELECT conv_id, idx, k, [g] AS sets, TRUE AS kept FROM t WHERE k = 1
+    UNION ALL SELECT conv_id, idx, k, CASE WHEN ok THEN list_append(sets, g) ELSE sets END, ok FROM (
+        SELECT t.*, r.sets, len(list_filter(r.sets, lambda x: len(x) > 0 AND len(t.g) > 0 AND len(list_intersect(x, t.g)) >= CAST(0.85 AS DOUBLE) * least(len(x), len(t.g)))) = 0 AS ok
+        FROM r JOIN t ON t.conv_id = r.conv_id AND t.k = r.k + 1))"""
+
+
+@query("jon20_kept_first", f"WITH {_KEPT_SQL} SELECT conv_id, idx FROM r WHERE kept")
 def jon20(spark, d):
     """Greedy removal of turns contained in an earlier kept turn of their conversation."""
     c = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("idx"), X.grams("text").alias("grams"))
     return matching.first_kept(c, "conv_id").where("kept").select("conv_id", "idx")
 
 
-@query("mtc5_first_kept")
+@query("mtc5_first_kept", f"WITH {_KEPT_SQL} SELECT conv_id, idx, kept FROM r")
 def mtc5(spark, d):
     """Each turn of a conversation with whether it is kept: not contained in an earlier kept one."""
     c = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("idx"), X.grams("text").alias("grams"))
@@ -331,13 +340,32 @@ def mtc7(spark, d):
     return _pairs(spark, d, alike).select("line_id").distinct()
 
 
-@query("mtc8_blobs")
+@query(
+    "mtc8_blobs",
+    """WITH RECURSIVE c AS (SELECT DISTINCT user_id AS page, hour(ts) AS cx, CAST(floor(value / 4) AS BIGINT) AS cy FROM events WHERE event_type <> 'view'),
+    b AS (SELECT user_id AS page, min(hour(ts)) AS x0, max(hour(ts)) AS x1, CAST(floor(min(value) / 4) AS BIGINT) AS y0, CAST(floor(max(value) / 8) AS BIGINT) AS y1 FROM events WHERE event_type = 'view' GROUP BY 1),
+    free AS (SELECT page, CAST(cx AS BIGINT) AS cx, cy FROM c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.page = c.page AND cx BETWEEN x0 AND x1 AND cy BETWEEN y0 AND y1)),
+    reach AS (SELECT page, cx, cy, cx AS rx, cy AS ry FROM free
+    UNION SELECT r.page, r.cx, r.cy, f.cx, f.cy FROM reach r JOIN free f ON f.page = r.page AND abs(f.cx - r.rx) <= 1 AND abs(f.cy - r.ry) <= 1),
+    root AS (SELECT page, cx, cy, min(rx * 1000000 + ry) AS root FROM reach GROUP BY ALL)
+    SELECT page, dense_rank() OVER (PARTITION BY page ORDER BY root) - 1 AS blob, count(*) AS cells, min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM root GROUP BY page, root""",
+)
 def mtc8(spark, d):
     """Connected cells of each page, with their boxes."""
     return matching.blobs(jon21(spark, d), "page")
 
 
-@query("win10_repaired_numbers")
+@query(
+    "win10_repaired_numbers",
+    """WITH RECURSIVE e AS (SELECT user_id, event_type, event_id AS idx, CAST(floor(value) AS BIGINT) || CAST(event_id % 10 AS VARCHAR) AS raw,
+        row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events),
+    r AS (SELECT user_id, event_type, idx, k, CAST(raw AS BIGINT) AS num, FALSE AS num_fixed FROM e WHERE k = 1
+    UNION ALL SELECT user_id, event_type, idx, k, CASE WHEN cut THEN want ELSE whole END, cut FROM (
+        SELECT e.*, r.num + 1 AS want, CAST(e.raw AS BIGINT) AS whole,
+            starts_with(e.raw, CAST(r.num + 1 AS VARCHAR)) AND length(e.raw) > length(CAST(r.num + 1 AS VARCHAR)) AS cut
+        FROM r JOIN e ON e.user_id = r.user_id AND e.event_type = r.event_type AND e.k = r.k + 1))
+    SELECT user_id, idx, num, num_fixed FROM r""",
+)
 def win10(spark, d):
     """Numbers read together with the text that follows, cut so that they continue their chain."""
     raw = F.concat(F.floor("value").cast("string"), (F.col("event_id") % 10).cast("string"))

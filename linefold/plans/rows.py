@@ -291,7 +291,15 @@ def flt5(spark, d):
     return e.where((F.col("event_type") == "click") & F.coalesce(F.col("head") < 20, F.lit(True))).select("event_id")
 
 
-@query("flt6_spaced_picks")
+def _picked_sql(rows: str, length: str) -> str:
+    """Of ``rows`` (doc_id, idx, ...), in order, those that begin when the stretch taken before has ended."""
+    return f"""RECURSIVE {rows}, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS k FROM w),
+    r AS (SELECT doc_id, idx, k, {length} AS length, idx + {length} AS free, TRUE AS taken FROM o WHERE k = 1
+    UNION ALL SELECT o.doc_id, o.idx, o.k, {length.replace("take", "o.take")}, CASE WHEN o.idx >= r.free THEN o.idx + {length.replace("take", "o.take")} ELSE r.free END, o.idx >= r.free
+        FROM r JOIN o ON o.doc_id = r.doc_id AND o.k = r.k + 1)"""
+
+
+@query("flt6_spaced_picks", f"WITH {_picked_sql(MARKED_SQL + ', w AS (SELECT doc_id, idx FROM marked WHERE name IN (' + chr(39) + 'title' + chr(39) + ', ' + chr(39) + 'list' + chr(39) + '))', '3')} SELECT doc_id, idx FROM r WHERE taken")
 def flt6(spark, d):
     """Lines taken one after another, each more than 2 lines from the one taken before (order dependent)."""
     return matching.spaced(marked(spark, d), "doc_id", "name in ('title', 'list')", 2)
@@ -354,7 +362,10 @@ def flt15(spark, d):
     return lines(spark, d).where(F.contains(F.substring("text", 1, 14), F.lit("the")) | F.col("text").rlike("^[0-9 ]+$")).select("doc_id", "idx")
 
 
-@query("flt16_negative_blocks")
+_TAKE_SQL = r"CASE WHEN regexp_matches(text, '^(The|Der|La|El)([^\pL\pN_]|$)') THEN 5 WHEN regexp_matches(text, 'tion[.]\s*$') THEN 3 END"
+
+
+@query("flt16_negative_blocks", f"WITH {_picked_sql(LINES_SQL + ', w AS (SELECT doc_id, idx, take FROM (SELECT doc_id, idx, ' + _TAKE_SQL + ' AS take FROM lines) WHERE take IS NOT NULL)', 'take')} SELECT doc_id, idx, length FROM r WHERE taken")
 def flt16(spark, d):
     """Blocks of lines that are no tasks: five from a head, three up to an ending, none overlapping an earlier one."""
     t = F.col("text")

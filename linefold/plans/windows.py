@@ -95,6 +95,33 @@ def win11(spark, d):
     return ordered.missing_between(o, ["k"], "v", 12)
 
 
+@query(
+    "win11_sequence_check",
+    """WITH e AS (SELECT user_id, ts, event_id, CAST(floor(value) AS BIGINT) AS v FROM events),
+    x AS (SELECT *, lag(v) OVER w AS p FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    r AS (SELECT *, CAST(sum(CASE WHEN v <= p THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS run FROM x),
+    g AS (SELECT user_id, run, unnest(range(p + 1, v)) AS missing FROM r WHERE v - p > 1),
+    f AS (SELECT user_id, run, list(missing ORDER BY missing)[1:12] AS missing, count(*) AS n_missing FROM g GROUP BY 1, 2)
+    SELECT user_id, run, min(v) AS first, max(v) AS last, count(*) AS n, coalesce(any_value(n_missing), 0) AS n_missing, coalesce(array_to_string(any_value(f.missing), ','), '') AS missing
+    FROM r LEFT JOIN f USING (user_id, run) GROUP BY 1, 2""",
+)
+def win11_check(spark, d):
+    """Runs that a number not above its predecessor breaks, and of each run the first 12 numbers missing between its first and its last."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    e = table(spark, d, "events").select("user_id", "ts", "event_id", F.floor("value").alias("v")).withColumn("p", F.lag("v").over(order))
+    e = e.withColumn("fall", F.coalesce((F.col("v") <= F.col("p")).cast("int"), F.lit(0))).withColumn("run", F.sum("fall").over(order))
+    # within a run numbers rise, so what is missing lies between neighbours; of one gap no more than 12 can be among the first
+    gap = F.greatest(F.col("v") - F.col("p") - 1, F.lit(0))
+    e = e.withColumn("gap", F.coalesce(gap, F.lit(0)))
+    most = F.when(F.col("gap") > 0, F.sequence(F.col("p") + 1, F.least(F.col("v") - 1, F.col("p") + 12)))
+    before = F.sum("gap").over(Window.partitionBy("user_id", "run").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1))
+    e = e.withColumn("some", F.when(F.coalesce(before, F.lit(0)) < 12, most))
+    out = e.groupBy("user_id", "run").agg(
+        F.min("v").alias("first"), F.max("v").alias("last"), F.count("*").alias("n"), F.sum("gap").alias("n_missing"), F.array_sort(F.flatten(F.collect_list("some"))).alias("all")
+    )
+    return out.select("user_id", "run", "first", "last", "n", "n_missing", F.array_join(F.slice("all", 1, 12), ",").alias("missing"))
+
+
 @query(
     "win11b_restarts",
     "SELECT user_id, CAST(sum(CASE WHEN v <= p THEN 1 ELSE 0 END) + 1 AS BIGINT) AS runs FROM (SELECT user_id, floor(value) AS v, lag(floor(value)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY 1",

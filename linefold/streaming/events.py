@@ -79,10 +79,13 @@ def run_split(events: DataFrame) -> DataFrame:
     rows = events.select("event_id", F.when(F.col("event_type") == "error", "error").otherwise("done").alias("state"))
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").partitionBy("state").parquet(f"{base}/out/part_{number}")
+        batch.persist()
+        for x in ("done", "error"):  # both, so that a feed without errors has a table of none
+            batch.where(F.col("state") == x).write.mode("overwrite").parquet(f"{base}/{x}/part_{number}")
+        batch.unpersist()
 
     rows.writeStream.foreachBatch(save).option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start().awaitTermination()
-    done, failed = (spark.read.schema("event_id long").parquet(f"{base}/out/part_*/state={x}").withColumn("state", F.lit(x)) for x in ("done", "error"))
+    done, failed = (spark.read.schema("event_id long, state string").parquet(f"{base}/{x}/part_*") for x in ("done", "error"))
     return done.unionByName(failed)
 
 
