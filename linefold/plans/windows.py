@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from linefold.functions import text as X
-from linefold.operators import ordered
+from linefold.operators import merging, ordered
 from linefold.operators.extract import ENDED_SQL, ends
 from linefold.plans.groups import _GAP_SQL, gaps
 from linefold.plans.registry import query
@@ -224,6 +224,28 @@ def win19(spark, d):
     return c.groupBy("conv_id", "unit").agg(F.min("role").alias("role"), X.ordered_concat(["turn"], "text", " ").alias("merged"))
 
 
+@query(
+    "win19_units",
+    f"""WITH {LINES_SQL}, k AS (SELECT *, CASE WHEN contains(text, '|') THEN 'figure' WHEN regexp_matches(text, '^[0-9]') THEN 'box' ELSE 'text' END AS kind,
+        CASE WHEN regexp_matches(text, '^[a-z]') THEN ' ' END AS glue, regexp_matches(text, '^(th|de)') AS particle FROM lines),
+    s AS (SELECT *, CASE WHEN kind = 'figure' THEN NULL WHEN kind = 'box' THEN ' ' WHEN glue IS NOT NULL THEN CASE WHEN particle THEN '' ELSE glue END
+        WHEN text <> '' AND lag(kind) OVER w = 'box' AND idx % 3 <> 0 THEN CASE WHEN particle THEN '' ELSE ' ' END END AS sep FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
+    u AS (SELECT *, sum(CASE WHEN sep IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx) AS unit, CASE WHEN kind = 'box' THEN '□' ELSE text END AS t FROM s WHERE kind <> 'figure'),
+    f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit, t <> '' ORDER BY idx) = 1 AS is_first FROM u)
+    SELECT doc_id, min(idx) AS first, 'text' AS kind, coalesce(string_agg(CASE WHEN is_first THEN t ELSE coalesce(sep, '') || t END, '' ORDER BY idx) FILTER (t <> ''), '') AS text, count(*) AS n FROM f GROUP BY doc_id, unit
+    UNION ALL SELECT doc_id, idx, 'figure', text, 1 FROM k WHERE kind = 'figure'""",
+)
+def win19_units(spark, d):
+    """Lines of a document put together: continuations, boxes and what stands beside them; figures are skipped over."""
+    t = F.col("text")
+    kind = F.when(F.contains("text", F.lit("|")), "figure").when(t.rlike("^[0-9]"), "box").otherwise("text")
+    # every third line stands lower than the box before it reaches
+    y = F.col("idx") * 20.0 + F.when(F.col("idx") % 3 == 0, 100.0).otherwise(0.0)
+    rows = lines(spark, d).select("doc_id", "idx", "text", kind.alias("kind"), F.when(t.rlike("^[a-z]"), " ").alias("glue"), F.lit(1).alias("page"), y.alias("y"), F.lit(15.0).alias("height"))
+    rows = rows.withColumn("y", F.when(F.col("kind") == "box", F.col("idx") * 20.0).otherwise(F.col("y")))
+    return merging.units(rows, "doc_id", t.rlike("^(th|de)"))
+
+
 @query(
     "win20_next_kind",
     "SELECT event_id, first_value(CASE WHEN event_type <> 'error' THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_kind FROM events",
