@@ -45,6 +45,11 @@ _WARRANTY = (
     "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
     "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
+_MIT_GRANT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+)
 _BSD_2 = (
     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
     "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
@@ -65,15 +70,13 @@ TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     (
         "MIT",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
-        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        _MIT_GRANT + "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
         'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
         "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
         "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
         "IN THE SOFTWARE.",
     ),
+    ("MIT", _MIT_GRANT),
     (
         "ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
@@ -90,6 +93,7 @@ TEMPLATES = [
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
     ("BSD-2-Clause", _BSD_2 + _WARRANTY),
+    ("BSD-2-Clause", _BSD_2),
     (
         "BSD-3-Clause",
         _BSD_2 + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "

@@ -29,6 +29,8 @@ def test_full_texts_and_long_documents():
     full = {n: max((t for k, t in L.TEMPLATES if k == n), key=len) for n in names}
     text = "word " * 50_000 + " end. ".join(full.values()) + " word" * 50_000
     assert [m["license"] for m in L.find(INDEX, [text])[0]] == names
+    grant = full["MIT"].split("The above")[0]
+    assert [(m["license"], m["coverage"]) for m in L.find(INDEX, [f"so {grant} and so on"])[0]] == [("MIT", 1.0)]
     assert L.find(INDEX, ["", "two words", "x" * 300_000]) == [[], [], []]
 
 
