@@ -8,11 +8,13 @@ length and is committed after the shards are closed, so that a retried task
 leaves at most shards that nothing refers to.  A digest that several tasks
 stored is read from the smallest (shard, offset).
 
-``header_columns`` fills width, height and sample bits from the first bytes of
-each stored image alone, by ranges; ``read_back`` reads the whole images,
-decodes them and computes features.  Both go to one place for each digest.
-Copies of a payload in the shards of other tasks stay there unused: one shard
-place for each digest would take a shuffle of all texts before writing.  All files lie in the shared folder and are reached with
+``located`` gives one place for each digest.  There ``header_columns`` fills
+width, height and sample bits from the first bytes of each stored image alone,
+by ranges, and ``read_back`` reads the whole images, decodes them and computes
+features; the two can follow each other without a shuffle.  Copies of a payload
+in the shards of other tasks stay there unused: one shard place for each digest
+would take a shuffle of all texts before writing.  Digests are 32 bytes until
+they are shown.  All files lie in the shared folder and are reached with
 ``pyarrow.fs``, so any store that it knows will do.
 
 Null and empty texts are one row of blanks.
@@ -31,6 +33,8 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from linefold.llm.common import shared_dir, slices, texts_of
 
@@ -94,10 +98,10 @@ class _Shard:
         self.path, self.size, self.places = f"{folder}/{uuid.uuid4().hex}.tar", 0, {}
         self.out = fs.open_output_stream(self.path)
 
-    def put(self, digest: str, payload: bytes) -> tuple[int, int]:
+    def put(self, digest: bytes, payload: bytes) -> tuple[int, int]:
         if digest not in self.places:
             data = png(payload)
-            info = tarfile.TarInfo(f"{digest}.png")
+            info = tarfile.TarInfo(f"{digest.hex()}.png")
             info.size = len(data)
             self.places[digest] = (self.size + 512, len(data))
             block = info.tobuf(tarfile.USTAR_FORMAT) + data + b"\0" * (-len(data) % 512)
@@ -126,19 +130,19 @@ def store(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 rows = []
                 for t in texts_of(part):
                     payload, n = payload_of(t)
-                    digest = hashlib.sha256(payload).hexdigest()
+                    digest = hashlib.sha256(payload).digest()
                     if shard and shard.size > SHARD_BYTES:
                         shard.close()
                         shard = None
                     shard = shard or _Shard(fs, folder)
                     rows.append((n, len(payload), digest, shard.path.rsplit("/", 1)[1], *shard.put(digest, payload)))
                 cols = list(zip(*rows))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([part.column(id_col)] + [pa.array(c, k) for c, k in zip(cols, kinds)], names)
         if shard:
             shard.close()
 
-    out = docs.select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, payload_bytes long, digest string, shard string, offset long, length long")
+    out = docs.select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, payload_bytes long, digest binary, shard string, offset long, length long")
     out.write.parquet(f"{base}/rows")
     return spark.read.schema(out.schema).parquet(f"{base}/rows").withColumn("folder", F.lit(f"{base}/shards"))
 
@@ -148,51 +152,47 @@ def places(rows: DataFrame) -> DataFrame:
     return rows.groupBy("folder", "digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("folder", "digest", "at.*")
 
 
-def _in_order(at: DataFrame) -> DataFrame:
-    """Stretches of shards dealt over the tasks, each read from front to back."""
-    at = at.withColumn("stretch", F.floor(F.col("offset") / READ_BYTES))
-    return at.repartition("shard", "stretch").sortWithinPartitions("shard", "offset")
+def located(rows: DataFrame) -> DataFrame:
+    """The places in stretches of shards dealt over the tasks, each to be read from front to back."""
+    return places(rows).repartition("shard", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("shard", "offset")
 
 
-def _read(batches, names, kinds, fn):
-    handle, opened = None, None
-    for b in batches:
-        rows = []
-        for folder, shard, offset, length in zip(*(b.column(c).to_pylist() for c in ("folder", "shard", "offset", "length"))):
-            if opened != (folder, shard):
-                if handle:
-                    handle.close()
-                fs, path = pafs.FileSystem.from_uri(f"{folder}/{shard}")
-                handle, opened = fs.open_input_file(path), (folder, shard)
-            rows.append(fn(handle, offset, length))
-        cols = list(zip(*rows)) or [[]] * len(kinds)
-        yield pa.RecordBatch.from_arrays([b.column("digest")] + [pa.array(c, k) for c, k in zip(cols, kinds)], names)
-    if handle:
-        handle.close()
+def _ranged(at: DataFrame, new: str, fn) -> DataFrame:
+    """Append the columns ``new``, which ``fn(file, offset, length)`` takes from each stored image; rows stay where they are."""
+    fresh = T._parse_datatype_string(new)
+    kinds = [to_arrow_type(f.dataType) for f in fresh]
+    schema = T.StructType([*at.schema, *fresh])
 
+    def run(batches):
+        handle, opened = None, None
+        for b in batches:
+            rows = []
+            for folder, shard, offset, length in zip(*(b.column(c).to_pylist() for c in ("folder", "shard", "offset", "length"))):
+                if opened != (folder, shard):
+                    if handle:
+                        handle.close()
+                    fs, path = pafs.FileSystem.from_uri(f"{folder}/{shard}")
+                    handle, opened = fs.open_input_file(path), (folder, shard)
+                rows.append(fn(handle, offset, length))
+            cols = list(zip(*rows)) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(c, k) for c, k in zip(cols, kinds)]], schema.names)
+        if handle:
+            handle.close()
 
-def header_columns(rows: DataFrame) -> DataFrame:
-    """digest, width, height, sample_bits, from ranged reads of the headers alone."""
-    names = ["digest", "width", "height", "sample_bits"]
+    return at.mapInArrow(run, schema)
 
-    def run(batches):
-        return _read(batches, names, [pa.int32()] * 3, lambda f, offset, length: header(f.read_at(HEADER_BYTES, offset)))
 
-    return _in_order(places(rows)).mapInArrow(run, "digest string, width int, height int, sample_bits int")
+def header_columns(at: DataFrame) -> DataFrame:
+    """Append width, height and sample_bits to ``located`` rows, from ranged reads of the headers alone."""
+    return _ranged(at, "width int, height int, sample_bits int", lambda f, offset, length: header(f.read_at(HEADER_BYTES, offset)))
 
 
-def read_back(rows: DataFrame) -> DataFrame:
-    """digest and what the stored bytes give: payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
-    names = ["digest", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+def read_back(at: DataFrame) -> DataFrame:
+    """Append to ``located`` rows what the stored bytes give: payload_sha256 (binary), tail_crc32, media_bytes, media_sha256 (binary), feature."""
 
     def one(f, offset, length):
         data = f.read_at(length, offset)
         payload = samples(data)
-        return hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature(payload)
-
-    def run(batches):
-        return _read(batches, names, kinds, one)
+        return hashlib.sha256(payload).digest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).digest(), feature(payload)
 
-    schema = "digest string, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return _in_order(places(rows)).mapInArrow(run, schema)
+    return _ranged(at, "payload_sha256 binary, tail_crc32 long, media_bytes long, media_sha256 binary, feature string", one)

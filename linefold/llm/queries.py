@@ -74,12 +74,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = media_columns.store(read(spark, sf_dir, "documents"))
-    heads = media_columns.header_columns(rows)  # reads no more than the headers
+    heads = media_columns.header_columns(media_columns.located(rows))  # reads no more than the headers
+    new = ["payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height"]
     # as a table, so that the join with the rows may split the copies of one text
-    found = written(media_columns.read_back(rows).join(heads, "digest"), "media-columns")
-    return rows.select("doc_id", "n_bytes", "payload_bytes", "digest").join(found, "digest").select(
-        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height"
-    )
+    found = written(media_columns.read_back(heads).select("digest", *new), "media-columns")
+    out = rows.select("doc_id", "n_bytes", "payload_bytes", "digest").join(found, "digest")
+    shown = [F.lower(F.hex(c)).alias(c) if c.endswith("sha256") else c for c in new]
+    return out.select("doc_id", "n_bytes", "payload_bytes", *shown)
 
 
 QUERIES = {
