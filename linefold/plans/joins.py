@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from linefold.functions import text as X
-from linefold.operators import matching, ordered, similarity
+from linefold.operators import matching, ordered, similarity, verbatim
 from linefold.plans.registry import query
 from linefold.plans.rows import GRAMS_SQL, MARKED_SQL, marked
 from linefold.sources.tables import LINES_SQL, lines, table
@@ -50,41 +50,11 @@ def jon5(spark, d):
     return table(spark, d, "part").join(used, "p_partkey", "left_anti").select("p_partkey")
 
 
-def _short_hits(b, docs):
-    """Ids of the items of few words that a document holds: windows as long as the longest item meet items on their first eight characters or fewer."""
-    own = b.select("item_id", "text", F.least(F.length("text"), F.lit(8)).alias("q"))
-    sizes = own.agg(F.collect_set("q").alias("q"), F.max(F.length("text")).alias("longest")).first()
-    if not sizes["q"]:
-        return own.select("item_id")
-    own = own.withColumn("key", F.left("text", "q"))
-    at = F.sequence(F.lit(1), F.greatest(F.length("body"), F.lit(1)))
-    windows = docs.select(F.explode(F.transform(at, lambda i: F.substring("body", i, F.lit(sizes["longest"])))).alias("window"))
-    windows = windows.select("window", F.explode(F.array(*map(F.lit, sorted(sizes["q"])))).alias("q")).withColumn("key", F.left("window", "q"))
-    return windows.join(own, ["q", "key"]).where(F.startswith("window", "text")).select("item_id")
-
-
 @query("jon6_missed", "SELECT item_id FROM benchmark b WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.text))")
 def jon6(spark, d):
-    """Items that no document holds verbatim.
-
-    A stated set of at most ``MOST_ITEMS`` items, which is counted first, is
-    broadcast and searched in every document.  More items meet only the
-    documents that hold the item's first three words in a row; items of three
-    words or fewer, which may begin and end within words, meet on their first
-    characters.
-    """
+    """Items that no document holds verbatim: a stated query set, in blocks, against all texts."""
     b = table(spark, d, "benchmark")
-    docs = table(spark, d, "documents").select(F.col("text").alias("body")).where("body is not null")
-    if b.count() <= MOST_ITEMS:
-        hit = docs.join(F.broadcast(b), F.contains("body", "text")).select("item_id").distinct()
-    else:
-        words = F.split("body", "[ \n]")
-        starts = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " "))
-        anchored = docs.select("body", F.explode(F.array_distinct(starts)).alias("anchor"))
-        n_words = F.size(F.split("text", "[ \n]"))
-        own = b.where(n_words > 3).withColumn("anchor", F.array_join(F.slice(F.split("text", "[ \n]"), 1, 3), " "))
-        hit = anchored.join(own, F.endswith(anchored["anchor"], own["anchor"]) & (F.substring_index(anchored["anchor"], " ", -2) == F.substring_index(own["anchor"], " ", -2))).where(F.contains("body", "text")).select("item_id")
-        hit = hit.union(_short_hits(b.where(n_words <= 3), docs)).distinct()
+    hit = verbatim.held(b, "item_id", "text", table(spark, d, "documents"), "text")
     return b.join(hit, "item_id", "left_anti").select("item_id")
 
 
@@ -162,8 +132,6 @@ def jon12(spark, d):
     return table(spark, d, "events").select("event_id", before.alias("before"), after.alias("after"))
 
 
-#: Items of a stated query set that may be broadcast.
-MOST_ITEMS = 5_000
 #: A document has fewer lines than this.
 MOST_LINES = 1 << 25
 
