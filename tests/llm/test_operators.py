@@ -428,3 +428,21 @@ def test_against_sql(spark, name):
     df = queries.QUERIES[name](spark, d)
     cols = sorted(df.columns)
     assert sorted(map(tuple, df.select(*cols).collect())) == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE_SQL[name]})").fetchall())
+
+
+def test_bpe_stretches_share_one_replay(spark, docs, library, monkeypatch):
+    monkeypatch.setattr(bpe, "STRETCH_ROWS", 4)
+    rows = docs.where("doc_id is not null").withColumn("stretch", F.lit(1)).withColumn("word", F.col("lang")).repartition(3).select("doc_id", "text", "stretch", "word")
+    got = bpe.encode(rows, queries.VOCABULARY, queries.PATTERN).collect()
+    assert len(got) == rows.count()
+    for r in got:
+        assert r["stretch"] == 1 and r["ids"] == library.encode_ordinary(r["text"] or "") and r["n_tokens"] == len(r["ids"])
+
+
+def test_bpe_words_are_replayed_once(spark, ranks):
+    words = spark.createDataFrame([(s, w) for s in range(5) for w in (" tokens", " of", " words", str(s))], "stretch long, word string")
+    got = bpe._with_ids(words, spark.sparkContext.broadcast(ranks)).collect()
+    want = {w: i for w, i in zip([r["word"] for r in got], bpe.replay(ranks, [r["word"].encode() for r in got]))}
+    assert sorted((r["stretch"], r["word"]) for r in got) == sorted(map(tuple, words.collect()))
+    assert all(bytes(r["word_ids"]) == want[r["word"]] for r in got)
+    assert all(len({r["word_ids"] for r in got if r["word"] == w}) == 1 for w in want)
