@@ -1,24 +1,25 @@
 """Byte-level BPE by corpus-level merge replay.
 
 The corpus is taken in stretches of ``STRETCH_ROWS`` rows.  A first pass lists
-the distinct words (matches of the split pattern) of every stretch; these rows
-are shuffled and sorted by word, so that each distinct word of the whole corpus
-is laid out once.  There an inverted index from merged token to the positions
-of its pairs drives the replay: merges are applied in rank order, each at all
-its positions at once, and only the neighbours of merged positions get new
-index entries.  The ids return to the stretches that hold the word, where a
-second pass joins them into the ids of the documents.  Token ids are ranks.
+the distinct words (matches of the split pattern) of every stretch and counts
+in how many stretches each word is.  Words of two or more form the corpus'
+table, ``MOST_SHARED`` at most: the most widespread, by the counts of the whole
+corpus.  They are laid out as one array of byte tokens, partition by partition
+of the table.  An inverted index from merged token to the positions of its
+pairs drives the replay: merges are applied in rank order, each at all its
+positions at once, and only the neighbours of merged positions get new index
+entries.  The table with its ids is broadcast.  Token ids are ranks.
+
+A second pass looks words up.  Words that are not in the table, those of one
+stretch and the less widespread ones beyond its bound, are replayed in the same
+way where they are met: the bound decides where a word is replayed, not what
+comes out.
 
 Replaying by rank equals merging the lowest rank of each word first, its
 leftmost pair first.  A token that ranks above some token it is a part of
 (``Ranks.turning``) can make a pair of lower rank, which has to go first: its
 merges are applied to one pair of a word at a time.
 
-Stretches are numbered by partition and row, so ``docs`` should be a table or a
-narrow step over one; where a second evaluation numbers rows otherwise, and for
-words beyond ``MAX_WORDS`` in a stretch, the missing words are replayed where
-they are met: the ids are the same.
-
 Null and empty texts have no tokens.
 """
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,19 +36,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from linefold.llm.common import slices, texts_of
+from linefold.llm.common import map_texts, slices
+from linefold.session import Workspace
 
-#: Words that a worker remembers.
-MAX_WORDS = 500_000
+#: Words of the broadcast table.
+MOST_SHARED = 250_000
+#: Further words that a worker remembers.
+MAX_WORDS = 150_000
 #: Rows of a stretch; a power of two.
 STRETCH_ROWS = 8_192
+#: Distinct words of a stretch that are held at a time.
+STRETCH_WORDS = 500_000
 #: Characters of text that a step holds at a time.
 STEP_CHARS = 2_500_000
-#: Rows (stretch, word) and bytes of words that are replayed together.
-REPLAY_ROWS, REPLAY_BYTES = 500_000, 8_000_000
 NEVER = np.int32(2**31 - 1)
 
 
@@ -162,16 +165,19 @@ def replay(ranks: Ranks, words: list[bytes]) -> list[bytes]:
 
 
 class Encoder:
-    def __init__(self, ranks: Ranks):
-        self.ranks, self.split, self.known = ranks, regex.compile(ranks.pattern).findall, {}
+    """Knows the words of ``table`` and remembers further ones."""
+
+    def __init__(self, ranks: Ranks, table: tuple[list[str], list[bytes]] = ((), ())):
+        self.ranks, self.split, self.table = ranks, regex.compile(ranks.pattern).findall, table
+        self.known = dict(zip(*table))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
         split = [self.split(t) for t in texts]
         new = set().union(*split).difference(self.known) if split else set()
-        if len(self.known) + len(new) > 2 * MAX_WORDS:
-            self.known.clear()
-            new = set().union(*split)
+        if len(self.known) + len(new) > len(self.table[0]) + MAX_WORDS:
+            self.known = dict(zip(*self.table))
+            new = set().union(*split).difference(self.known)
         new = list(new)
         self.known.update(zip(new, replay(self.ranks, [w.encode("utf-8", "surrogatepass") for w in new])))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
@@ -180,19 +186,30 @@ class Encoder:
         return b"".join(map(self.ranks.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(name: str, ranks, table) -> Encoder:
+    """One a worker, so that later tasks know the words of earlier ones."""
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = Encoder(ranks.value, table.value)
+    return _encoders[name]
+
+
 def _words(docs: DataFrame, pattern: str) -> DataFrame:
-    """(stretch, word): the distinct words of each stretch; of one with more than ``MAX_WORDS`` some more than once."""
+    """(word): the distinct words of each stretch; one with more than ``STRETCH_WORDS`` counts as several."""
 
     def run(batches):
         split, held, seen = regex.compile(pattern).findall, None, set()
 
         def found():
-            return pa.RecordBatch.from_arrays([pa.array([held] * len(seen), pa.int64()), pa.array(list(seen), pa.string())], ["stretch", "word"])
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["word"])
 
         for batch in batches:
             for part in slices(batch, "text", STEP_CHARS):
-                for stretch, _, rows in _runs(part, part.column("stretch").to_numpy()):
-                    if seen and (stretch != held or len(seen) > MAX_WORDS):
+                for stretch, rows in _runs(part):
+                    if seen and (stretch != held or len(seen) > STRETCH_WORDS):
                         yield found()
                         seen = set()
                     held = stretch
@@ -201,75 +218,59 @@ def _words(docs: DataFrame, pattern: str) -> DataFrame:
         if seen:
             yield found()
 
-    return docs.mapInArrow(run, "stretch long, word string")
+    return docs.mapInArrow(run, "word string")
 
 
-def _runs(batch: pa.RecordBatch, *keys: np.ndarray):
-    """(first key, last key, rows) of each run of rows with equal keys."""
-    change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-    for at, end in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
-        if end > at:
-            yield keys[0][at].item(), keys[-1][at].item(), batch.slice(at, end - at)
+def _runs(batch: pa.RecordBatch):
+    """(stretch, rows) of each run of rows of one stretch."""
+    stretch = batch.column("stretch").to_numpy()
+    change = (np.flatnonzero(stretch[1:] != stretch[:-1]) + 1).tolist()
+    for at, end in zip([0, *change], [*change, batch.num_rows]):
+        yield stretch[at].item(), batch.slice(at, end - at)
 
 
-def _with_ids(words: DataFrame, ranks) -> DataFrame:
-    """(stretch, word, word_ids): the replay over the distinct words of the corpus, each in one place."""
+def shared_words(docs: DataFrame, ranks, pattern: str, text: str = "text") -> tuple[list[str], list[bytes]]:
+    """The corpus' table: words of two or more stretches and their ids, at most ``MOST_SHARED``, the most widespread first.
+
+    Words of the same class of counts (equal ones up to 64, ratios of 2 ** (1 / 8) above) come in or stay out together.
+    """
+    stretch = F.shiftright(F.monotonically_increasing_id(), STRETCH_ROWS.bit_length() - 1).alias("stretch")
+    words = _words(docs.select(stretch, F.col(f"`{text}`").alias("text")), pattern)
+    with Workspace(docs.sparkSession, "words") as space:
+        counted = words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+        wide = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.log2("n") * 8) + 16).alias("wide")
+        table = space.written(counted.select("word", wide), "shared")
+        least, held = None, 0
+        for row in sorted(table.groupBy("wide").count().collect(), reverse=True):  # some 300 classes at most
+            held += row["count"]
+            if held > MOST_SHARED:
+                break
+            least = row["wide"]
+        if least is None:
+            return [], []
+        rows = _with_ids(table.where(F.col("wide") >= least).select("word"), ranks).collect()
+    return [r["word"] for r in rows], [bytes(r["word_ids"]) for r in rows]
+
 
-    def made(held):
-        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        coded = rows.column("word").dictionary_encode()
-        ids = pa.array(replay(ranks.value, coded.dictionary.cast(pa.binary()).to_pylist()), pa.binary())
-        return pa.RecordBatch.from_arrays([rows.column("stretch"), rows.column("word"), ids.take(coded.indices)], ["stretch", "word", "word_ids"])
+def _with_ids(words: DataFrame, ranks) -> DataFrame:
+    """(word, word_ids): one replay over all words of a partition of the table."""
 
     def run(batches):
-        held, rows, size = [], 0, 0
-        for b in batches:
-            if b.num_rows:
-                held.append(b)
-                rows, size = rows + b.num_rows, size + b.column("word").nbytes
-            if rows >= REPLAY_ROWS or size >= REPLAY_BYTES:
-                yield made(held)
-                held, rows, size = [], 0, 0
-        if held:
-            yield made(held)
+        rows = [b.column("word") for b in batches if b.num_rows]
+        if rows:
+            word = pa.chunked_array(rows)
+            ids = replay(ranks.value, [w.encode("utf-8", "surrogatepass") for w in word.to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(word.chunks), pa.array(ids, pa.binary())], ["word", "word_ids"])
 
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "stretch long, word string, word_ids binary")
+    return words.mapInArrow(run, "word string, word_ids binary")
 
 
 def _apply(docs: DataFrame, path: str, pattern: str, new: str, fn, keep, text="text") -> DataFrame:
-    """Append the columns ``new``, which ``fn`` makes with an encoder that knows the words of the stretch."""
-    ranks = docs.sparkSession.sparkContext.broadcast(load(path, pattern))  # as large as the vocabulary
-    out_new = T._parse_datatype_string(new)
-    fresh = {f.name for f in out_new}
-    stay = [f for f in docs.schema if f.name not in fresh and (keep is None or f.name in keep)]
-    schema = T.StructType(stay + list(out_new))
-    kinds = [to_arrow_type(f.dataType) for f in out_new]
-    stretch = F.shiftright(F.monotonically_increasing_id(), STRETCH_ROWS.bit_length() - 1).alias("stretch")
-    body = F.col(f"`{text}`").alias("text")
-    words = _with_ids(_words(docs.select(stretch, body), pattern), ranks).withColumn("is_doc", F.lit(False))
-    carried = [f.name for f in stay if f.name != text]
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carried)], F.lit(True).alias("there"))
-    texts = docs.select(stretch, F.lit(True).alias("is_doc"), body, row.alias("row"))
-    both = texts.unionByName(words, allowMissingColumns=True).repartition("stretch").sortWithinPartitions("stretch", "is_doc")
-
-    def run(batches):
-        enc, held = Encoder(ranks.value), None
-        for batch in batches:
-            for at, is_doc, rows in _runs(batch, batch.column("stretch").to_numpy(), batch.column("is_doc").to_numpy(zero_copy_only=False)):
-                if at != held:
-                    held = at
-                    enc.known.clear()
-                if not is_doc:
-                    if len(enc.known) < MAX_WORDS:
-                        enc.known.update(zip(rows.column("word").to_pylist(), rows.column("word_ids").to_pylist()))
-                    continue
-                for part in slices(rows, "text", STEP_CHARS):
-                    held_cols = dict(zip(carried, part.column("row").flatten())) | {text: part.column("text")}
-                    cols = [held_cols[f.name] for f in stay]
-                    made = [pa.array(c, k) for c, k in zip(fn(enc, texts_of(part)), kinds)]
-                    yield pa.RecordBatch.from_arrays(cols + made, schema.names)
-
-    return both.mapInArrow(run, schema)
+    context = docs.sparkSession.sparkContext
+    ranks = context.broadcast(load(path, pattern))  # as large as the vocabulary
+    table = context.broadcast(shared_words(docs, ranks, pattern, text))
+    name = uuid.uuid4().hex
+    return map_texts(docs, new, lambda: lambda values: fn(_encoder(name, ranks, table), values), keep=keep, max_chars=STEP_CHARS, text=text)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = None) -> DataFrame:

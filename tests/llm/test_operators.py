@@ -430,19 +430,31 @@ def test_against_sql(spark, name):
     assert sorted(map(tuple, df.select(*cols).collect())) == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE_SQL[name]})").fetchall())
 
 
-def test_bpe_stretches_share_one_replay(spark, docs, library, monkeypatch):
+@pytest.mark.parametrize("most", [250_000, 300])
+def test_bpe_shared_words(spark, docs, library, ranks, monkeypatch, most):
     monkeypatch.setattr(bpe, "STRETCH_ROWS", 4)
+    monkeypatch.setattr(bpe, "MOST_SHARED", most)
     rows = docs.where("doc_id is not null").withColumn("stretch", F.lit(1)).withColumn("word", F.col("lang")).repartition(3).select("doc_id", "text", "stretch", "word")
+    words, ids = bpe.shared_words(rows, spark.sparkContext.broadcast(ranks), queries.PATTERN)
+    assert 0 < len(words) <= most and len(set(words)) == len(words)
+    for w, i in zip(words, ids):
+        assert np.frombuffer(i, "<u4").tolist() == library.encode_ordinary(w)
     got = bpe.encode(rows, queries.VOCABULARY, queries.PATTERN).collect()
     assert len(got) == rows.count()
     for r in got:
         assert r["stretch"] == 1 and r["ids"] == library.encode_ordinary(r["text"] or "") and r["n_tokens"] == len(r["ids"])
 
 
-def test_bpe_words_are_replayed_once(spark, ranks):
-    words = spark.createDataFrame([(s, w) for s in range(5) for w in (" tokens", " of", " words", str(s))], "stretch long, word string")
-    got = bpe._with_ids(words, spark.sparkContext.broadcast(ranks)).collect()
-    want = {w: i for w, i in zip([r["word"] for r in got], bpe.replay(ranks, [r["word"].encode() for r in got]))}
-    assert sorted((r["stretch"], r["word"]) for r in got) == sorted(map(tuple, words.collect()))
-    assert all(bytes(r["word_ids"]) == want[r["word"]] for r in got)
-    assert all(len({r["word_ids"] for r in got if r["word"] == w}) == 1 for w in want)
+def test_bpe_table_holds_what_stretches_share(spark, ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "STRETCH_ROWS", 2)
+    rows = spark.createDataFrame([("one two",), ("two three",), ("two four",), (None,), ("four five",), ("",)], "text string").coalesce(1)
+    words, _ = bpe.shared_words(rows, spark.sparkContext.broadcast(ranks), queries.PATTERN)
+    assert words and sorted(words) == sorted(_shared(rows, ranks))
+
+
+def _shared(rows, ranks):
+    """Words of two or more stretches of two rows, by a loop."""
+    texts = [r["text"] or "" for r in rows.collect()]
+    split = bpe.regex.compile(ranks.pattern).findall
+    seen = [set(split(a)) | set(split(b)) for a, b in zip(texts[::2], texts[1::2])]
+    return [w for w in set().union(*seen) if sum(w in s for s in seen) > 1]
