@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import bpe, chat_format, decontaminate, language_id, license_scan, media_columns, near_dedup, quality_knn, secret_scan, toxicity
+from linefold.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    hard_negatives,
+    language_id,
+    license_scan,
+    media_columns,
+    near_dedup,
+    quality_knn,
+    quality_rules,
+    secret_scan,
+    source_divergence,
+    toxicity,
+)
 from linefold.llm.common import held_out, read, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,6 +97,29 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", *shown)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that every row shows are columns; the further rules measure only what the base rules leave."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    shown = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    have = quality_rules.Measures("text", ("n_words", *shown))
+    known = quality_rules.profile(docs, quality_rules.FURTHER, quality_rules.Measures("text"))
+    order = quality_rules.ordered(quality_rules.FURTHER, known)
+    rows = quality_rules.measured(docs, ["n_words", *shown])
+    failed = [r.fails(have) for r in quality_rules.BASE]
+    rows = rows.withColumn("base_failed", failed[0] | failed[1])
+    base = quality_rules.Rule("base", lambda m: F.col("base_failed"))
+    return quality_rules.cascade(rows, [base, *order], have).select("doc_id", "n_words", *shown, "base_failed", "kept")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,6 +133,9 @@ QUERIES = {
         op8_language_id,
         op9_byte_bpe,
         op10_media_columns,
+        op11_source_divergence,
+        op12_quality_rules,
+        op13_hard_negatives,
     )
 }
 
@@ -144,4 +184,54 @@ ORACLE_SQL: dict[str, str] = {
         reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
         c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
+    "op11_source_divergence": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+        k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+        c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v FROM k GROUP BY ALL),
+        whole AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+        p AS (
+            SELECT *, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+                   1 + (1000000000::HUGEINT * (sum(n) OVER (PARTITION BY lang, term) + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+            FROM whole JOIN v USING (lang)),
+        two AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN two ON two.lang = a.lang AND two.source = a.source AND two.item = b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 10""",
+    "op12_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+        win AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g FROM w, unnest(range(1, len(w) - 6)) AS u(i)),
+        twice AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+        again AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS q FROM twice) GROUP BY r),
+        m AS (
+            SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines, length(regexp_replace(t, '[^!?]', '', 'g')) AS n_shouts,
+                   length(t) - length(regexp_replace(t, '\p{L}', '', 'g')) AS n_letters, length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_capitals,
+                   length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits, len(list_filter(w, lambda x: length(x) >= 200)) AS n_long_runs
+            FROM w LEFT JOIN again USING (r)),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 100 * n_symbols > 30 * n_words OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_shouts > 50 * n_words OR 100 * n_capitals > 70 * n_letters
+                    OR 100 * n_digits > 50 * word_chars OR 100 * n_letters < 30 * word_chars OR 10 * n_long_runs > n_words) AS kept
+        FROM b""",
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+            FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+        n AS (
+            SELECT p.a AS anchor_id, p.b AS positive_id, s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+            FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+        SELECT *, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank FROM n QUALIFY rank <= 3""",
 }
