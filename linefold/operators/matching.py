@@ -1,15 +1,18 @@
 """Order-dependent matching: alignment, rescue, greedy choices, chains, components.
 
-These depend on the order in which earlier choices were made.  Number repair
-and spaced picks run as one pass over rows sorted by group; the others take a
-group (a tag, document or page, of bounded size) in one call of
-``applyInPandas``.  Groups are dealt over the cluster.
+These depend on the order in which earlier choices were made.  Keep-first runs
+in parallel rounds over a sparse graph; alignment takes the sparse pairs of a
+tag; number repair and spaced picks run as one pass over rows sorted by group;
+chains and blobs take a group in one call of ``applyInPandas``.  Groups are dealt
+over the cluster.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from difflib import SequenceMatcher
+from itertools import accumulate, groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -18,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from linefold.operators.similarity import overlaps
+from linefold.session import Workspace, written
+
 MIN_SIM, RESCUE_SIM, RESCUE_ORDER_SIM = 0.35, 0.45, 0.38
 CONTAIN_SIM, CONTAIN_LEAST = 0.6, 10
 
@@ -27,79 +33,129 @@ def jaccard(a: frozenset, b: frozenset) -> float:
     return both / (len(a) + len(b) - both) if both else 0.0
 
 
-def align(refs: list[frozenset], exts: list[frozenset], least: float = MIN_SIM) -> list[tuple[int, int, float]]:
-    """The order-preserving pairing with the greatest summed similarity; a pair is taken only if that is strictly more."""
-    best = [[0.0] * (len(exts) + 1)]
-    step: list[list[str]] = []
-    for r in refs:
-        row, moves = [0.0], [""]
-        above = best[-1]
-        for j, e in enumerate(exts):
-            value, move = (above[j + 1], "up") if above[j + 1] >= row[j] else (row[j], "left")
-            s = jaccard(r, e)
-            if s >= least and above[j] + s > value:
-                value, move = above[j] + s, "pair"
-            row.append(value)
-            moves.append(move)
-        best.append(row)
-        step.append(moves)
-    out, i, j = [], len(refs), len(exts)
-    while i and j:
-        move = step[i - 1][j]
-        if move == "pair":
-            out.append((i - 1, j - 1, jaccard(refs[i - 1], exts[j - 1])))
-        i, j = i - (move != "left"), j - (move != "up")
+def heaviest(pairs: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+    """The order-preserving choice of (ref, ext, similarity) with the greatest sum; time p log p in the pairs.
+
+    A Fenwick tree over the exts holds, for all refs before, the best sum that a
+    chain ending there reaches.  Of equal sums the one whose last pair has the
+    smaller ref counts, then the smaller ext.
+    """
+    slot = {j: k + 1 for k, j in enumerate(sorted({p[1] for p in pairs}))}
+    tree: list[tuple | None] = [None] * (len(slot) + 1)
+    ends: list[tuple[tuple[int, int, float], int]] = []  # a pair and the place of the one before it
+
+    def best_before(k: int) -> tuple | None:
+        best = None
+        while k:
+            if tree[k] and (best is None or tree[k] > best):
+                best = tree[k]
+            k -= k & -k
+        return best
+
+    for _, row in groupby(sorted(pairs), key=lambda p: p[0]):
+        made = []
+        for i, j, s in row:
+            before = best_before(slot[j] - 1)
+            made.append(((before[0] if before else 0.0) + s, -i, -j, len(ends)))
+            ends.append(((i, j, s), before[3] if before else -1))
+        for entry in made:  # only now: two pairs of one ref exclude each other
+            k = slot[-entry[2]]
+            while k <= len(slot):
+                if tree[k] is None or entry > tree[k]:
+                    tree[k] = entry
+                k += k & -k
+    last, out = best_before(len(slot)), []
+    at = last[3] if last else -1
+    while at >= 0:
+        pair, at = ends[at]
+        out.append(pair)
     return out[::-1]
 
 
-def rescue(pairs: list[tuple[int, int, float]], refs: list[frozenset], exts: list[frozenset]) -> list[tuple[int, int, float, str]]:
-    """Adds pairs that the order left out: by similarity, then by place between neighbours, then by containment."""
+def rescued(pairs: list[tuple[int, int, float]], near: list[tuple[int, int, float, float]]) -> list[tuple[int, int, float, str]]:
+    """Adds pairs that the order left out: by similarity, then by place between neighbours, then by containment.
+
+    ``near`` has (ref, ext, similarity, containment) of every pair that can matter; containment is 0 where it does not count.
+    """
     out = [(*p, "order") for p in pairs]
-    free_r = set(range(len(refs))) - {p[0] for p in pairs}
-    free_e = set(range(len(exts))) - {p[1] for p in pairs}
+    used_r, used_e = {p[0] for p in pairs}, {p[1] for p in pairs}
 
     def take(i: int, j: int, s: float, how: str) -> None:
-        free_r.discard(i)
-        free_e.discard(j)
+        used_r.add(i)
+        used_e.add(j)
         out.append((i, j, s, how))
 
     def greedy(scored: list[tuple], how: str) -> None:
         for *_, sim, i, j in sorted(scored, reverse=True):
-            if i in free_r and j in free_e:
+            if i not in used_r and j not in used_e:
                 take(i, j, sim, how)
 
-    close = [(s, i, j) for i in free_r for j in free_e if (s := jaccard(refs[i], exts[j])) >= RESCUE_SIM]
-    greedy(close, "similar")
-    for j in sorted(free_e):
-        low = max((i for i, e, *_ in out if e < j), default=-1)
-        high = min((i for i, e, *_ in out if e > j), default=len(refs))
-        scored = [(jaccard(refs[i], exts[j]), -i) for i in range(low + 1, high) if i in free_r]
-        sim, i = max(scored, default=(0.0, 0))
-        if sim >= RESCUE_ORDER_SIM:
-            take(-i, j, sim, "place")
-    inside = []
-    for i in free_r:
-        for j in free_e:
-            both = len(refs[i] & exts[j])
-            if both >= CONTAIN_LEAST and both >= CONTAIN_SIM * min(len(refs[i]), len(exts[j])):
-                inside.append((both / min(len(refs[i]), len(exts[j])), jaccard(refs[i], exts[j]), i, j))
-    greedy(inside, "contained")
+    greedy([(s, i, j) for i, j, s, _ in near if s >= RESCUE_SIM], "similar")
+    # the refs of pairs with earlier exts end below, those with later ones begin above
+    placed = sorted((e, i) for i, e, *_ in out)
+    above = list(accumulate((i for _, i in reversed(placed)), min))[::-1]
+    by_ext: dict[int, list] = {}
+    for i, j, s, _ in near:
+        if s >= RESCUE_ORDER_SIM and j not in used_e:
+            by_ext.setdefault(j, []).append((s, -i))
+    low, at = -math.inf, 0
+    for j in sorted(by_ext):
+        while at < len(placed) and placed[at][0] < j:
+            low = max(low, placed[at][1])
+            at += 1
+        high = above[at] if at < len(placed) else math.inf
+        s, i = max((x for x in by_ext[j] if low < -x[1] < high and -x[1] not in used_r), default=(0.0, 0))
+        if s:
+            take(-i, j, s, "place")
+            low = max(low, -i)
+    greedy([(c, s, i, j) for i, j, s, c in near if c and i not in used_r and j not in used_e], "contained")
     return sorted(out)
 
 
 def aligned(refs: DataFrame, exts: DataFrame, tag: str) -> DataFrame:
-    """Per tag the pairs (ref_idx, ext_idx, sim, how); inputs have (tag, idx, grams), ordered by idx."""
+    """Per tag the pairs (ref_idx, ext_idx, sim, how); inputs have (tag, idx, grams), idx unique within a tag.
+
+    Only pairs that are similar or contained enough are made, in blocks; a tag's
+    choice then takes time and memory by their number, not by refs x exts.
+    """
     kind = refs.schema[tag].dataType.simpleString()
 
-    def one(key, r: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        r, e = r.sort_values("idx"), e.sort_values("idx")
-        rg, eg = [frozenset(g) for g in r["grams"]], [frozenset(g) for g in e["grams"]]
-        ri, ei = r["idx"].tolist(), e["idx"].tolist()
-        rows = [(key[0], ri[i], ei[j], s, how) for i, j, s, how in rescue(align(rg, eg), rg, eg)]
+    def side(df: DataFrame, name: str) -> DataFrame:
+        hashed = F.transform("grams", lambda g: F.xxhash64(g))
+        return df.select(tag, F.col("idx").cast("long").alias(name), hashed.alias("grams"), F.size("grams").cast("long").alias("size"))
+
+    can = lambda inter, a, b: (inter / (a + b - inter) >= MIN_SIM) | ((inter >= CONTAIN_LEAST) & ((inter >= CONTAIN_SIM * a) | (inter >= CONTAIN_SIM * b)))
+    near = overlaps(side(refs, "ref_idx"), side(exts, "ext_idx"), [tag, "ref_idx"], [tag, "ext_idx"], on=[tag], keep=can)
+
+    def one(key, f: pd.DataFrame) -> pd.DataFrame:
+        least = f[["left_size", "right_size"]].min(axis=1)
+        inside = (f["inter"] / least).where((f["inter"] >= CONTAIN_LEAST) & (f["inter"] >= CONTAIN_SIM * least), 0.0)
+        near = list(zip(f["ref_idx"].tolist(), f["ext_idx"].tolist(), f["jaccard"].tolist(), inside.tolist()))
+        rows = [(key[0], *r) for r in rescued(heaviest([p[:3] for p in near if p[2] >= MIN_SIM]), near)]
         return pd.DataFrame(rows, columns=[tag, "ref_idx", "ext_idx", "sim", "how"])
 
-    pick = [tag, "idx", "grams"]
-    return refs.select(*pick).groupBy(tag).cogroup(exts.select(*pick).groupBy(tag)).applyInPandas(one, f"`{tag}` {kind}, ref_idx long, ext_idx long, sim double, how string")
+    return near.groupBy(tag).applyInPandas(one, f"`{tag}` {kind}, ref_idx long, ext_idx long, sim double, how string")
+
+
+def _all_near(refs: list[frozenset], exts: list[frozenset], least: float) -> list[tuple[int, int, float, float]]:
+    out = []
+    for i, r in enumerate(refs):
+        for j, e in enumerate(exts):
+            both, small = len(r & e), min(len(r), len(e))
+            inside = both / small if both >= CONTAIN_LEAST and both >= CONTAIN_SIM * small else 0.0
+            if (s := jaccard(r, e)) >= least or inside:
+                out.append((i, j, s, inside))
+    return out
+
+
+def align(refs: list[frozenset], exts: list[frozenset], least: float = MIN_SIM) -> list[tuple[int, int, float]]:
+    """``heaviest`` of two short lists of sets."""
+    return heaviest([p[:3] for p in _all_near(refs, exts, least) if p[2] >= least])
+
+
+def rescue(pairs: list[tuple[int, int, float]], refs: list[frozenset], exts: list[frozenset]) -> list[tuple[int, int, float, str]]:
+    """``rescued`` of two short lists of sets."""
+    return rescued(pairs, _all_near(refs, exts, RESCUE_ORDER_SIM))
 
 
 def matched_share(a: str, b: str) -> tuple[float, float]:
@@ -122,22 +178,60 @@ def overlap(df: DataFrame, left: str, right: str) -> DataFrame:
     return df.drop("recall", "precision").mapInPandas(run, schema)
 
 
-def first_kept(df: DataFrame, group: str, least: float = 0.85) -> DataFrame:
-    """Per group, in order of idx, the rows not contained (share of the smaller set >= least) in a row kept before."""
+#: Rounds of a parallel choice before one pass takes what is left.
+ROUNDS = 8
 
-    def one(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("idx")
-        kept: list[frozenset] = []
-        flags = []
-        for g in map(frozenset, f["grams"]):
-            ok = not any(g and k and len(g & k) >= least * min(len(g), len(k)) for k in kept)
-            flags.append(ok)
-            if ok:
-                kept.append(g)
-        return f.assign(kept=flags)[[group, "idx", "kept"]]
 
-    kind = df.schema[group].dataType.simpleString()
-    return df.select(group, "idx", "grams").groupBy(group).applyInPandas(one, f"`{group}` {kind}, idx long, kept boolean")
+def first_kept(df: DataFrame, group: str, least: float = 0.85) -> DataFrame:
+    """Per group, in order of idx, the rows not contained (share of the smaller set >= least) in a row kept before.
+
+    idx is unique within a group.  Of equal sets only the first can be kept, so
+    one stands for all.  Among those, pairs that contain one another are edges
+    from the earlier to the later row.  In a round, every row that no undecided
+    row precedes is kept, and whatever it precedes goes; decided rows leave.
+    Long dependences are left after ``ROUNDS`` rounds to one pass over the
+    remaining edges in order, which remembers a group's rows that went.
+    """
+    spark = df.sparkSession
+    with Workspace(spark, "first-kept") as work:
+        hashed = F.sort_array(F.transform(F.coalesce("grams", F.array()), lambda g: F.xxhash64(g)))
+        rows = df.select(F.struct(F.col(group).alias("g"), F.col("idx").cast("long").alias("idx")).alias("k"), hashed.alias("grams"))
+        same = [F.col("k.g").alias("g"), F.xxhash64("grams").alias("h"), F.hash("grams").alias("h2"), F.size("grams").cast("long").alias("size")]
+        sets = work.written(rows.where("size(grams) > 0").groupBy(*same).agg(F.min("k.idx").alias("idx"), F.any_value("grams").alias("grams")), "sets")
+        near = overlaps(sets.withColumnRenamed("idx", "i"), sets.withColumnRenamed("idx", "j"), ["g", "i"], ["g", "j"], on=["g"], keep=lambda inter, a, b: (inter >= least * a) | (inter >= least * b))
+        key = lambda c: F.struct("g", F.col(c).alias("idx")).alias(c)
+        edges, left = work.counted(near.where("i < j").select(key("i"), key("j")), "edges")
+        gone = edges.select(F.col("j").alias("k")).limit(0)
+        for _ in range(ROUNDS):
+            if not left:
+                break
+            heads = edges.select("i").distinct().join(edges.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
+            heads = work.written(heads, "heads")
+            out = work.written(edges.join(heads, "i").select(F.col("j").alias("k")).distinct(), "gone")
+            gone = gone.unionByName(out)
+            decided = heads.select(F.col("i").alias("k")).unionByName(out)
+            rest = edges.join(decided.withColumnRenamed("k", "i"), "i", "left_anti").join(out.withColumnRenamed("k", "j"), "j", "left_anti")
+            edges, left = work.counted(rest.select("i", "j"), "edges")
+        if left:
+            gone = gone.unionByName(_gone_in_order(edges, df.schema[group].dataType.simpleString()))
+        kept = sets.select(F.struct("g", "idx").alias("k")).join(gone.distinct(), "k", "left_anti")
+        kept = kept.unionByName(rows.where("size(grams) = 0").select("k")).withColumn("kept", F.lit(True))
+        out = rows.select("k").join(kept, "k", "left").select(F.col("k.g").alias(group), F.col("k.idx").alias("idx"), F.coalesce("kept", F.lit(False)).alias("kept"))
+        return written(out, "first-kept")
+
+
+def _gone_in_order(edges: DataFrame, kind: str) -> DataFrame:
+    """k of the rows that go: one pass over the edges by their later row."""
+    rows = edges.groupBy("j").agg(F.collect_list("i.idx").alias("earlier")).select("j.g", "j.idx", "earlier")
+
+    def step(out, x):
+        out = set() if out is None else out
+        if all(i in out for i in x["earlier"]):
+            return out, None
+        out.add(x["idx"])
+        return out, {"g": x["g"], "idx": x["idx"]}
+
+    return _fold(rows, ["g"], "idx", f"g {kind}, idx long", step).select(F.struct("g", "idx").alias("k"))
 
 
 def chain(numbers: list[tuple[int, int]], most: int = 3) -> list[int]:

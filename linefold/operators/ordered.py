@@ -6,10 +6,13 @@ task.  A group is a file, document, user or the like, never the whole input.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linefold.functions.text import upper_median
+from linefold.session import written
 
 
 def order(group: list[str], by: list) -> Window:
@@ -20,6 +23,27 @@ def numbered(df: DataFrame, group: list[str], by: list, name: str = "idx") -> Da
     return df.withColumn(name, F.row_number().over(order(group, by)).cast("long"))
 
 
+def numbered_wide(df: DataFrame, group: list[str], by: list, name: str = "idx") -> DataFrame:
+    """As ``numbered``, for groups of any size: no task holds more of a group than a range of it.
+
+    Rows are dealt by ranges of (group, order) and numbered within each range;
+    the sizes of a group's earlier ranges are added.  The dealt rows are a
+    table, so that both passes see the same ranges.  Rows that are equal in
+    group and order are dealt too, by their place in the input.
+    """
+    rows = df.withColumn("_tie", F.monotonically_increasing_id())
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(n, *group, *by, "_tie").withColumn("_range", F.spark_partition_id())
+    dealt = written(dealt, "ranges")
+    key = [*group, "_range"]
+    sizes = dealt.groupBy(*key).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(order(group, ["_range"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(*[F.col(k).alias(f"_of_{k}") for k in key], before.alias("_before"))
+    place = dealt.withColumn("_place", F.row_number().over(order(key, [*by, "_tie"])))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key])
+    return place.join(sizes, same).select(*df.columns, (F.col("_before") + F.col("_place")).alias(name))
+
+
 def keep_first(df: DataFrame, key: list[str], by: list, when: Column | None = None) -> DataFrame:
     """One row per key, the first by ``by``; rows for which ``when`` is false are all kept."""
     rn = F.row_number().over(order(key, by))

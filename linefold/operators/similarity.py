@@ -1,30 +1,32 @@
 """Set-similarity operators over character n-grams.
 
-The left side is a stated query set.  It is taken in blocks of at most
-``MOST_QUERIES`` rows, each of which is broadcast as an inverted index and
-counted against every right row in one pass: the work grows with left x right
-postings, but no n-gram, however common, becomes one join key.  With ``on``,
-pairs meet within a key (a tag or file) on a common n-gram.
+Both sides are dealt by hash into blocks that meet in one task each, where the
+common n-grams of all their pairs are counted in one vectorised step.  Nothing
+is gathered on the driver or broadcast, and no n-gram, however common, becomes a
+join key.  Without ``on``, rows meet only within classes of size that can be
+similar enough; with it, within a key (a tag or file), of which a large one is
+cut into blocks of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from linefold.functions.text import grams
 
-
-MOST_QUERIES = 5_000
-#: Counts (right rows x queries) that a task holds at a time.
+#: Left rows of a batch; right rows of a block, where a key has more.
+BATCH, BLOCK = 5_000, 20_000
+#: Counts (right rows x left rows) that a task holds at a time.
 CELLS = 4_000_000
+#: Sizes are told apart by powers of two up to this one.
+CLASSES = 24
 
 
 def gram_sets(df: DataFrame, key: list[str], text: str, n: int = 3) -> DataFrame:
@@ -37,68 +39,102 @@ def overlaps(left: DataFrame, right: DataFrame, left_key: list[str], right_key:
 
     ``on`` names columns (part of both keys) that must be equal as well.
     ``keep(inter, left_size, right_size)`` says which pairs matter; it is
-    written with operators only and runs where the pairs are counted.
+    written with operators only, runs where the pairs are counted, and holds the
+    rather the nearer two sizes are and the more n-grams are common.
     """
     on = on or []
-    if not on:
-        parts = [_against(left, rows, right, left_key, right_key, keep) for rows in _blocks(left.select(*left_key, "size", "grams"))]
-        return _ratios(reduce(DataFrame.union, parts))
-    a = left.select(*left_key, F.col("size").alias("left_size"), F.explode("grams").alias("gram"))
-    b = right.select(*right_key, F.col("size").alias("right_size"), F.explode("grams").alias("gram"))
-    keys = [*left_key, *[k for k in right_key if k not in on]]
-    pairs = a.join(b, [*on, "gram"]).groupBy(*keys, "left_size", "right_size").agg(F.count("*").alias("inter"))
-    return _ratios(pairs.where(keep(F.col("inter"), F.col("left_size"), F.col("right_size"))))
-
-
-def _blocks(left: DataFrame) -> Iterator[list]:
-    """The rows in blocks; the driver holds one at a time.  At least one block, if need be an empty one."""
-    held, sent = [], False
-    for row in left.toLocalIterator():
-        held.append(row)
-        if len(held) == MOST_QUERIES:
-            yield held
-            held, sent = [], True
-    if held or not sent:
-        yield held
-
-
-def _against(left: DataFrame, rows: list, right: DataFrame, left_key: list[str], right_key: list[str], keep: Callable) -> DataFrame:
-    """Common n-grams of each right row with each of a block of left rows: no shuffle, one pass over the right rows.
-
-    Batches of right rows are cut so that at most ``CELLS`` counts are held, and counted in one
-    vectorised step, where set functions would build a hash set for every pair.
-    """
-    posts = np.array(sorted((g, i) for i, r in enumerate(rows) for g in r["grams"]), np.int64).reshape(-1, 2)
-    vocab, first = np.unique(posts[:, 0], return_index=True)
-    index = (vocab, np.append(first, len(posts)), posts[:, 1])
-    keys = [pa.array([r[k] for r in rows]) for k in left_key]
-    sizes = np.array([r["size"] for r in rows], np.int64)
-    shared = left.sparkSession.sparkContext.broadcast((index, keys, sizes))
-    out = T.StructType([*[left.schema[k] for k in left_key], *[right.schema[k] for k in right_key]]).add("left_size", "long").add("right_size", "long").add("inter", "long")
-
-    def run(batches):
-        (vocab, first, items), keys, sizes = shared.value
-        step = max(1, CELLS // max(1, len(sizes)))
-        for b in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
-            grams = b.column("grams")
-            flat = grams.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(b.num_rows), pc.fill_null(pc.list_value_length(grams), 0).to_numpy())
-            if not len(vocab) or not len(flat):
-                continue
-            at = np.minimum(np.searchsorted(vocab, flat), len(vocab) - 1)
-            hit = vocab[at] == flat
-            at, row = at[hit], row[hit]
-            n = first[at + 1] - first[at]
-            item = items[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            count = np.bincount(np.repeat(row, n) * len(sizes) + item, minlength=b.num_rows * len(sizes))
-            cell = np.flatnonzero(count)
-            right_size = b.column("size").to_numpy(zero_copy_only=False)
-            cell = cell[keep(count[cell], sizes[cell % len(sizes)], right_size[cell // len(sizes)])]
-            i, r = cell % len(sizes), pa.array(cell // len(sizes))
-            cols = [k.take(pa.array(i)) for k in keys] + [b.column(k).take(r) for k in right_key]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes[i]), b.column("size").take(r), pa.array(count[cell])], out.names)
-
-    return right.select(*right_key, "size", "grams").mapInArrow(run, out)
+    a = left.select(*left_key, F.col("size").cast("long").alias("size"), "grams")
+    b = right.select(*[F.col(k).alias(k) for k in right_key], F.col("size").cast("long").alias("size"), F.col("grams").alias("grams"))  # named anew: both sides may be one table
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = _by_key(a, b, left_key, right_key, on) if on else _by_size(a, b, left_key, right_key, keep, n)
+    group = [F.pmod(F.xxhash64("_tag"), F.lit(4 * n)).alias("_bin"), "_block", "_batch"]
+    others = [k for k in right_key if k not in on]
+    out = T.StructType([*[left.schema[k] for k in left_key], *[right.schema[k] for k in others]]).add("left_size", "long").add("right_size", "long").add("inter", "long")
+
+    def run(rows: pa.Table, against: pa.Table) -> pa.Table:
+        found = [pa.table([*[rows.column(k).take(i) for k in left_key], *[against.column(k).take(r) for k in others], size_a, size_b, inter], out.names) for i, r, size_a, size_b, inter in _counted(rows, against, keep)]
+        return pa.concat_tables(found) if found else None
+
+    empty = [f.dataType for f in out]
+
+    def one(key, rows: pa.Table, against: pa.Table) -> pa.Table:
+        made = run(rows, against) if rows.num_rows and against.num_rows else None
+        return made if made is not None else pa.table([pa.array([], to_arrow_type(t)) for t in empty], out.names)
+
+    return _ratios(a.groupBy(*group).cogroup(b.groupBy(*group)).applyInArrow(one, out))
+
+
+def _dealt(key: list[str], parts: Column) -> Column:
+    return F.pmod(F.xxhash64(*key), parts).cast("int")
+
+
+def _every(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), (parts - 1).cast("int")))
+
+
+def _by_key(a: DataFrame, b: DataFrame, left_key: list[str], right_key: list[str], on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of a key meet; a key with many rows is cut into batches x blocks.  The counts read the keys alone."""
+    tag = F.xxhash64(*on).alias("_tag")
+    parts = lambda df, most, name: df.groupBy(tag).agg(F.ceil(F.count("*") / most).alias(name))
+    both = parts(a, BATCH, "_batches").join(parts(b, BLOCK, "_blocks"), "_tag")
+    a = a.withColumn("_tag", tag).join(both, "_tag").withColumn("_batch", _dealt(left_key, F.col("_batches"))).withColumn("_block", _every(F.col("_blocks")))
+    b = b.withColumn("_tag", tag).join(both, "_tag").withColumn("_block", _dealt(right_key, F.col("_blocks"))).withColumn("_batch", _every(F.col("_batches")))
+    return a.drop("_batches", "_blocks"), b.drop("_batches", "_blocks")
+
+
+def _by_size(a: DataFrame, b: DataFrame, left_key: list[str], right_key: list[str], keep: Callable, n: int) -> tuple[DataFrame, DataFrame]:
+    """Rows meet within each pair of classes of size in which ``keep`` can hold; the right rows are cut into as many blocks as tasks."""
+    ends = [(1 << c, (1 << (c + 1)) - 1 if c < CLASSES else 1 << 62) for c in range(CLASSES + 1)]
+    can = [[any(bool(keep(np.float64(min(x, y)), np.float64(x), np.float64(y))) for x in p for y in q) or c == d for d, q in enumerate(ends)] for c, p in enumerate(ends)]
+    batches, blocks = F.lit(max(1, -(-a.count() // BATCH))), F.lit(2 * n)
+    size_class = F.least(F.length(F.bin("size")) - 1, F.lit(CLASSES))
+
+    def with_tags(df: DataFrame, partners: list[list[int]], tag: Callable) -> DataFrame:
+        df = df.where("size > 0").withColumn("_own", size_class).withColumn("_other", F.explode(F.get(F.array(*[F.array(*map(F.lit, p)) for p in partners]), F.col("_own"))))
+        return df.withColumn("_tag", tag(F.col("_own"), F.col("_other")).cast("long")).drop("_own", "_other")
+
+    a = with_tags(a, [[d for d in range(CLASSES + 1) if can[c][d]] for c in range(CLASSES + 1)], lambda own, other: own * 64 + other)
+    b = with_tags(b, [[c for c in range(CLASSES + 1) if can[c][d]] for d in range(CLASSES + 1)], lambda own, other: other * 64 + own)
+    a = a.withColumn("_batch", _dealt(left_key, batches)).withColumn("_block", _every(blocks))
+    return a, b.withColumn("_block", _dealt(right_key, blocks)).withColumn("_batch", _every(batches))
+
+
+def _flat(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each n-gram, mixed with its row's tag so that only rows of one tag share it; its row; and the tags."""
+    grams = rows.column("grams").combine_chunks()
+    n = np.diff(grams.offsets.to_numpy()) if grams.null_count == 0 else np.array([len(g or ()) for g in grams.to_pylist()])
+    tag = rows.column("_tag").to_numpy()
+    row = np.repeat(np.arange(rows.num_rows), n)
+    return grams.flatten().to_numpy(zero_copy_only=False).astype(np.int64) ^ tag[row], row, tag
+
+
+def _counted(rows: pa.Table, against: pa.Table, keep: Callable):
+    """Places (in either table), sizes and common n-grams of the pairs that are kept, step by step over the right rows."""
+    gram, item, tag_a = _flat(rows)
+    order = np.argsort(gram, kind="stable")
+    items = item[order]
+    vocab, first = np.unique(gram[order], return_index=True)
+    first = np.append(first, len(items))
+    sizes_a, sizes_b = (t.column("size").to_numpy() for t in (rows, against))
+    flat, row, tag_b = _flat(against)
+    if not len(vocab) or not len(flat):
+        return
+    at = np.minimum(np.searchsorted(vocab, flat), len(vocab) - 1)
+    hit = vocab[at] == flat
+    at, row = at[hit], row[hit]
+    width, step = len(sizes_a), max(1, CELLS // len(sizes_a))
+    for begin in range(0, against.num_rows, step):
+        lo, hi = np.searchsorted(row, (begin, begin + step))
+        here, mine = at[lo:hi], row[lo:hi] - begin
+        n = first[here + 1] - first[here]
+        item = items[np.repeat(first[here] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        count = np.bincount(np.repeat(mine, n) * width + item, minlength=1)
+        cell = np.flatnonzero(count)
+        i, r = cell % width, cell // width + begin
+        good = keep(count[cell], sizes_a[i], sizes_b[r]) & (tag_a[i] == tag_b[r])
+        i, r, inter = i[good], r[good], count[cell[good]]
+        if len(i):
+            yield pa.array(i), pa.array(r), pa.array(sizes_a[i]), pa.array(sizes_b[r]), pa.array(inter)
 
 
 def _ratios(pairs: DataFrame) -> DataFrame:

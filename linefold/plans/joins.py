@@ -257,6 +257,29 @@ def mtc1(spark, d):
     return matching.aligned(_turn_grams(spark, d, "user"), _turn_grams(spark, d, "assistant"), "conv_id").withColumn("sim", F.round("sim", 6))
 
 
+#: A document's pairs one after the other by ref and ext, each with the best chain that it ends.
+_CHAIN_SQL = f"""RECURSIVE {LINES_SQL}, g AS (SELECT doc_id, idx, {GRAMS_SQL} AS g FROM (SELECT doc_id, idx, lower(text) AS s FROM lines)),
+    e AS (SELECT doc_id, idx, len(g) AS n, unnest(g) AS gram FROM g),
+    p AS (SELECT a.doc_id, a.idx AS i, b.idx AS j, count(*) AS inter, a.n + b.n AS n FROM e a JOIN e b ON a.doc_id = b.doc_id AND a.gram = b.gram AND a.idx % 2 = 1 AND b.idx % 2 = 0 GROUP BY ALL),
+    q AS (SELECT doc_id, i, j, inter / (n - inter) AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS k FROM p WHERE inter / (n - inter) >= CAST(0.35 AS DOUBLE)),
+    best AS (SELECT doc_id, k, [{{'sum': s, 'i': -i, 'j': -j, 'path': [{{'i': i, 'j': j, 's': s}}]}}] AS ends FROM q WHERE k = 1
+    UNION ALL SELECT doc_id, k, list_append(ends, {{'sum': coalesce(top['sum'], CAST(0 AS DOUBLE)) + s, 'i': -i, 'j': -j, 'path': list_append(coalesce(top['path'], []), {{'i': i, 'j': j, 's': s}})}}) FROM (
+        SELECT q.*, best.ends, list_sort(list_filter(best.ends, lambda x: -x['i'] < q.i AND -x['j'] < q.j), 'DESC')[1] AS top
+        FROM best JOIN q ON q.doc_id = best.doc_id AND q.k = best.k + 1))"""
+
+
+@query(
+    "mtc1_ordered_pairs",
+    f"""WITH {_CHAIN_SQL}, whole AS (SELECT doc_id, unnest(list_sort(ends, 'DESC')[1]['path']) AS x FROM best QUALIFY k = max(k) OVER (PARTITION BY doc_id))
+    SELECT doc_id, x['i'] AS ref_idx, x['j'] AS ext_idx, round(x['s'], 6) AS sim FROM whole""",
+)
+def mtc1_ordered(spark, d):
+    """A document's odd lines against its even ones: the heaviest order-preserving pairs, without rescue."""
+    g = lines(spark, d).select("doc_id", "idx", X.grams(F.lower("text")).alias("grams"))
+    found = matching.aligned(g.where("idx % 2 = 1"), g.where("idx % 2 = 0"), "doc_id")
+    return found.where("how = 'order'").select("doc_id", "ref_idx", "ext_idx", F.round("sim", 6).alias("sim"))
+
+
 @query("mtc2_rescued")
 def mtc2(spark, d):
     """The pairs that only rescue found: by similarity out of order, by place, or by containment."""

@@ -8,13 +8,8 @@ that it finished are not read again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from linefold.session import shared_dir
 
@@ -54,24 +49,6 @@ def tumbling(events: DataFrame, length: str, slide: str | None = None) -> DataFr
     return n.select(F.unix_micros("window.start").alias("start_us"), "event_type", "n")
 
 
-def _count_inversions(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    new = pd.concat(frames)
-    ids, values = new["event_id"].to_numpy("int64"), new["value"].to_numpy("float64")
-    if state.exists:
-        ids, values = (np.concatenate([np.frombuffer(old, own.dtype), own]) for old, own in zip(state.get, (ids, values)))
-    order = np.argsort(ids, kind="stable")
-    ids, values = ids[order], values[order]
-    state.update((ids.tobytes(), values.tobytes()))
-    yield pd.DataFrame({"user_id": [key[0]], "inversions": [int((values[1:] < values[:-1]).sum())]})
-
-
-def inversions(events: DataFrame) -> DataFrame:
-    """How often a key's value falls, in the order of event_id; files may come in any order, so the state holds the key's ids and values."""
-    return events.select("user_id", "event_id", "value").groupBy("user_id").applyInPandasWithState(
-        _count_inversions, "user_id long, inversions long", "ids binary, vals binary", "update", GroupStateTimeout.NoTimeout
-    )
-
-
 def run_split(events: DataFrame) -> DataFrame:
     """Each batch into a table of done rows and one of error rows, whose union is returned."""
     spark = events.sparkSession
