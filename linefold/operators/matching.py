@@ -2,9 +2,9 @@
 
 These depend on the order in which earlier choices were made.  Keep-first runs
 in parallel rounds over a sparse graph; alignment takes the sparse pairs of a
-tag; number repair and spaced picks run as one pass over rows sorted by group;
-chains and blobs take a group in one call of ``applyInPandas``.  Groups are dealt
-over the cluster.
+tag; number repair and spaced picks are folds whose large groups are cut into
+chunks; blobs are labelled by tiles; chains take a group in one call of
+``applyInPandas``.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from linefold.operators.blobs import blobs  # noqa: F401
+from linefold.operators.folds import Numbers, Stretches, fold, next_number, wide_fold
 from linefold.operators.similarity import overlaps
 from linefold.session import Workspace, written
 
@@ -231,7 +233,7 @@ def _gone_in_order(edges: DataFrame, kind: str) -> DataFrame:
         out.add(x["idx"])
         return out, {"g": x["g"], "idx": x["idx"]}
 
-    return _fold(rows, ["g"], "idx", f"g {kind}, idx long", step).select(F.struct("g", "idx").alias("k"))
+    return fold(rows, ["g"], "idx", f"g {kind}, idx long", step).select(F.struct("g", "idx").alias("k"))
 
 
 def chain(numbers: list[tuple[int, int]], most: int = 3) -> list[int]:
@@ -264,32 +266,6 @@ def chains(df: DataFrame, group: str, most: int = 3) -> DataFrame:
     return df.select(group, "idx", "num", "shown").groupBy(group).applyInPandas(one, f"`{group}` {kind}, idx long, num long")
 
 
-def _fold(df: DataFrame, group: list[str], order: str, new: str, step: Callable) -> DataFrame:
-    """One pass over the rows of each group in order: ``step(state, row)`` returns the next state and a row of ``new`` or None.
-
-    Rows come sorted by group within partitions, so a group takes time linear in its rows and no memory.
-    """
-    schema = T._parse_datatype_string(new)
-    kinds = to_arrow_schema(schema)
-    names = df.columns
-
-    def run(batches):
-        last, state = None, None
-        for b in batches:
-            out = []
-            for values in zip(*(b.column(c).to_pylist() for c in names)):
-                row = dict(zip(names, values))
-                key = tuple(row[g] for g in group)
-                if key != last:
-                    last, state = key, None
-                state, made = step(state, row)
-                if made is not None:
-                    out.append(made)
-            yield pa.RecordBatch.from_pylist(out, kinds)
-
-    return df.repartition(*group).sortWithinPartitions(*group, order).mapInArrow(run, schema)
-
-
 def repaired(df: DataFrame, group: str, heir: str | None = None) -> DataFrame:
     """num and num_fixed of (name, raw), per group and name in order of idx.
 
@@ -304,46 +280,11 @@ def repaired(df: DataFrame, group: str, heir: str | None = None) -> DataFrame:
     rows = df.select(group, chain_of.alias("_chain"), F.col("idx").cast("long").alias("idx"), raw.alias("raw"), F.when(digits, raw.try_cast("long")).alias("whole"))
 
     def step(prev, x):
-        want = None if prev is None else prev + 1
-        row = {group: x[group], "idx": x["idx"], "num": None, "num_fixed": False}
-        if x["raw"] is None:
-            return prev, row
-        if not x["raw"].isdigit():
-            row |= {"num": want, "num_fixed": True}
-        elif want is not None and x["whole"] != want and any(int(x["raw"][:k]) == want for k in range(1, min(len(x["raw"]), 19))):
-            row |= {"num": want, "num_fixed": True}
-        else:
-            row["num"] = x["whole"]
-        return prev if row["num"] is None else row["num"], row
+        state, (num, fixed) = next_number(prev, x)
+        return state, {group: x[group], "idx": x["idx"], "num": num, "num_fixed": fixed}
 
     kind = df.schema[group].dataType.simpleString()
-    return _fold(rows, [group, "_chain"], "idx", f"`{group}` {kind}, idx long, num long, num_fixed boolean", step)
-
-
-def blobs(cells: DataFrame, page: str) -> DataFrame:
-    """Connected cells (8 neighbours) of each page: blob number, cells, bounding box."""
-
-    def one(f: pd.DataFrame) -> pd.DataFrame:
-        left = set(zip(f["cx"], f["cy"]))
-        rows = []
-        for start in sorted(left):
-            if start not in left:
-                continue
-            left.discard(start)
-            todo, seen = [start], [start]
-            while todo:
-                x, y = todo.pop()
-                for near in [(x + dx, y + dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]:
-                    if near in left:
-                        left.discard(near)
-                        todo.append(near)
-                        seen.append(near)
-            xs, ys = [c[0] for c in seen], [c[1] for c in seen]
-            rows.append((f[page].iloc[0], len(rows), len(seen), min(xs), min(ys), max(xs), max(ys)))
-        return pd.DataFrame(rows, columns=[page, "blob", "cells", "x0", "y0", "x1", "y1"])
-
-    kind = cells.schema[page].dataType.simpleString()
-    return cells.select(page, "cx", "cy").groupBy(page).applyInPandas(one, f"`{page}` {kind}, blob long, cells long, x0 long, y0 long, x1 long, y1 long")
+    return wide_fold(rows, [group, "_chain"], "idx", f"`{group}` {kind}, idx long, num long, num_fixed boolean", step, Numbers)
 
 
 def disjoint(df: DataFrame, group: str, length: str) -> DataFrame:
@@ -356,7 +297,7 @@ def disjoint(df: DataFrame, group: str, length: str) -> DataFrame:
 
     kind = df.schema[group].dataType.simpleString()
     rows = df.select(group, F.col("idx").cast("long").alias("idx"), F.col(length).cast("long").alias("length"))
-    return _fold(rows, [group], "idx", f"`{group}` {kind}, idx long, length long", step)
+    return wide_fold(rows, [group], "idx", f"`{group}` {kind}, idx long, length long", step, Stretches, {"longest": F.max("length")})
 
 
 def spaced(df: DataFrame, group: str, wanted: str, near: int = 2) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from linefold.functions import text as X
-from linefold.operators import matching, ordered, similarity, verbatim
+from linefold.operators import blobs, matching, ordered, similarity, verbatim
 from linefold.plans.registry import query
 from linefold.plans.rows import GRAMS_SQL, MARKED_SQL, marked
 from linefold.sources.tables import LINES_SQL, lines, table
@@ -331,19 +331,33 @@ def mtc7(spark, d):
     return _pairs(spark, d, alike).select("line_id").distinct()
 
 
-@query(
-    "mtc8_blobs",
-    """WITH RECURSIVE c AS (SELECT DISTINCT user_id AS page, hour(ts) AS cx, CAST(floor(value / 4) AS BIGINT) AS cy FROM events WHERE event_type <> 'view'),
+#: The free cells of a page, each with the least cell that it reaches.
+_BLOB_SQL = """RECURSIVE c AS (SELECT DISTINCT user_id AS page, hour(ts) AS cx, CAST(floor(value / 4) AS BIGINT) AS cy FROM events WHERE event_type <> 'view'),
     b AS (SELECT user_id AS page, min(hour(ts)) AS x0, max(hour(ts)) AS x1, CAST(floor(min(value) / 4) AS BIGINT) AS y0, CAST(floor(max(value) / 8) AS BIGINT) AS y1 FROM events WHERE event_type = 'view' GROUP BY 1),
     free AS (SELECT page, CAST(cx AS BIGINT) AS cx, cy FROM c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.page = c.page AND cx BETWEEN x0 AND x1 AND cy BETWEEN y0 AND y1)),
     reach AS (SELECT page, cx, cy, cx AS rx, cy AS ry FROM free
     UNION SELECT r.page, r.cx, r.cy, f.cx, f.cy FROM reach r JOIN free f ON f.page = r.page AND abs(f.cx - r.rx) <= 1 AND abs(f.cy - r.ry) <= 1),
-    root AS (SELECT page, cx, cy, min(rx * 1000000 + ry) AS root FROM reach GROUP BY ALL)
+    root AS (SELECT page, cx, cy, min(rx * 1000000 + ry) AS root FROM reach GROUP BY ALL)"""
+
+
+@query(
+    "mtc8_blobs",
+    f"""WITH {_BLOB_SQL}
     SELECT page, dense_rank() OVER (PARTITION BY page ORDER BY root) - 1 AS blob, count(*) AS cells, min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM root GROUP BY page, root""",
 )
 def mtc8(spark, d):
     """Connected cells of each page, with their boxes."""
-    return matching.blobs(jon21(spark, d), "page")
+    return blobs.blobs(jon21(spark, d), "page")
+
+
+@query(
+    "mtc8_large_blobs",
+    f"""WITH {_BLOB_SQL}, b AS (SELECT page, root, count(*) AS cells, min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM root GROUP BY page, root)
+    SELECT page, row_number() OVER (PARTITION BY page ORDER BY root) - 1 AS blob, * EXCLUDE (page, root) FROM b WHERE cells >= 12 AND (x1 - x0 + 1) * (y1 - y0 + 1) * 40 * 40 >= 120 * 120""",
+)
+def mtc8_large(spark, d):
+    """Suspicious regions: blobs of at least 12 cells (of side 40) and an area of 120 x 120."""
+    return blobs.blobs(jon21(spark, d), "page", 12, 40, 120 * 120)
 
 
 @query(
