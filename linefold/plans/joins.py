@@ -352,8 +352,8 @@ def mtc8(spark, d):
 
 @query(
     "mtc8_large_blobs",
-    f"""WITH {_BLOB_SQL}, b AS (SELECT page, root, count(*) AS cells, min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM root GROUP BY page, root)
-    SELECT page, row_number() OVER (PARTITION BY page ORDER BY root) - 1 AS blob, * EXCLUDE (page, root) FROM b WHERE cells >= 12 AND (x1 - x0 + 1) * (y1 - y0 + 1) * 40 * 40 >= 120 * 120""",
+    f"""WITH {_BLOB_SQL}, whole AS (SELECT page, root, count(*) AS cells, min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM root GROUP BY page, root)
+    SELECT page, row_number() OVER (PARTITION BY page ORDER BY root) - 1 AS blob, * EXCLUDE (page, root) FROM whole WHERE cells >= 12 AND (x1 - x0 + 1) * (y1 - y0 + 1) * 40 * 40 >= 120 * 120""",
 )
 def mtc8_large(spark, d):
     """Suspicious regions: blobs of at least 12 cells (of side 40) and an area of 120 x 120."""
