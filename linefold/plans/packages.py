@@ -1,4 +1,4 @@
-"""Queries over zip packages, which are written from the documents and read back (SRC-8, SRC-14, LINT)."""
+"""Queries over zip packages, which are written from the documents and read back (SRC-8, SRC-14, LINT), and over kept results (SRC-11)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from linefold.operators import package_checks
 from linefold.plans.registry import query
 from linefold.session import shared_dir
 from linefold.sources import packages as P
+from linefold.sources import reuse
 from linefold.sources.tables import table
 
 #: Documents of a package; the kind of package goes by its number.
@@ -94,3 +95,24 @@ def lint_packages(spark, d):
     """Violations in packages: broken parts, dangling references, pictures without media, layout and formulas."""
     parts = P.packages(spark, _written(spark, _book(table(spark, d, "documents"))))
     return package_checks.checks(parts).select("check", _number("key").alias("package"), "detail")
+
+
+@query(
+    "src11_reused_parse",
+    """SELECT doc_id, len(l) AS n_lines, list_max(list_transform(l, lambda x: length(x))) AS longest, CASE WHEN doc_id % 10 = 3 THEN 1 ELSE 0 END AS run, (SELECT count(*) FROM documents WHERE doc_id % 10 = 3) AS parsed
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)""",
+)
+def src11(spark, d):
+    """Documents parsed once, a tenth of them changed, and parsed again: the second run takes the changed ones alone."""
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    before = docs.withColumn("text", F.when(F.col("doc_id") % 10 == 3, F.concat("text", F.lit("\nold"))).otherwise(F.col("text")))
+    with_digest = lambda df: df.withColumn("digest", F.sha2("text", 256))
+
+    def parse(df):
+        parts = F.split("text", "\n", -1)
+        return df.select("doc_id", F.size(parts).cast("long").alias("n_lines"), F.array_max(F.transform(parts, lambda x: F.length(x))).cast("long").alias("longest"))
+
+    store = shared_dir(spark, "parsed")
+    reuse.reused(with_digest(before), "doc_id", ["digest"], parse, store)
+    rows, parsed = reuse.reused(with_digest(docs), "doc_id", ["digest"], parse, store)
+    return rows.select("doc_id", "n_lines", "longest", F.col("run").cast("int").alias("run"), F.lit(parsed).cast("long").alias("parsed"))
