@@ -80,8 +80,12 @@ def awkward_texts():
 
 
 @pytest.mark.parametrize("most", [2_000_000, 5])
-def test_divergence_by_loops(spark, most):
-    """Awkward texts, langs and sources; with a small bound, terms in several blocks."""
+def test_divergence_by_loops(spark, monkeypatch, most):
+    """Awkward texts, langs and sources; with a small bound, terms in several blocks, and sums handed on early."""
+    if most == 5:
+        monkeypatch.setattr(source_divergence, "PROBE", 1)
+        monkeypatch.setattr(source_divergence, "MOST_SUMS", 3)
+        monkeypatch.setattr(source_divergence, "CELLS", 7)
     rows = awkward_texts()
     docs = spark.createDataFrame(documents(rows), DOCS).repartition(4)
     got = source_divergence.audit(docs, least_docs=3, top_terms=4, most_terms=most)
@@ -89,6 +93,23 @@ def test_divergence_by_loops(spark, most):
     assert sorted(map(tuple, got.collect())) == divergence(rows, 3, 4)
 
 
+def test_vectors_are_those_of_the_fitted_model(spark):
+    """Texts of one language against ``transform`` of the model, terms split by a regular expression."""
+    import re
+
+    import pyarrow as pa
+    from pyspark.ml.feature import CountVectorizer
+
+    texts = [(r[0] or "") for r in awkward_texts()]
+    terms = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "i int, terms array<string>")
+    model = CountVectorizer(inputCol="terms", outputCol="v", minDF=3.0, vocabSize=2**31 - 1).fit(df)
+    want = [(r["i"], int(k), int(v)) for r in model.transform(df).orderBy("i").collect() for k, v in zip(r["v"].indices, r["v"].values)]
+    kept = pa.array([t.encode() for t in model.vocabulary], pa.binary())
+    got = source_divergence.vectors(pa.array([t.encode() for t in texts], pa.binary()), kept, np.arange(len(kept), dtype=np.int32))
+    assert list(zip(*(x.tolist() for x in got))) == want
+
+
 def test_divergence_without_terms(spark):
     none = spark.createDataFrame([], DOCS)
     assert source_divergence.audit(none).count() == 0
