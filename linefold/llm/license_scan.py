@@ -1,9 +1,12 @@
-"""License scanning: winnowed fingerprints, then banded alignment.
-
-Templates and documents are sequences of lower-cased words (``\\w+``).  Of the
-hashes of all ``GRAM`` consecutive words, winnowing keeps the smallest of each
-``WINNOW`` consecutive ones (the last among equals), so any common run of
-``GRAM + WINNOW - 1`` = 5 words leaves a common fingerprint.  The fingerprints
+r"""License scanning: winnowed fingerprints, then banded alignment.
+
+Templates and documents are sequences of lower-cased words (``\w+``).  Of the
+hashes of all consecutive ``gram`` words of a template, winnowing keeps the
+smallest of each ``window`` consecutive ones (the last among equals); of a
+document all are looked up, so any common run of ``gram + window - 1`` words is a
+common fingerprint.  Both are chosen for each template: if some of its words are
+changed or left out, and ``LEAST_COVERAGE`` of them still match, then a run of so
+many is certain to be left.  The fingerprints
 of the templates form an inverted index; each (template, diagonal) of a
 document's fingerprints in it is a candidate, so every place of a repeated
 notice has its own.  The whole template is aligned word by word within ``BAND``
@@ -20,6 +23,7 @@ comes up.  Null and empty texts have no match.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -31,7 +35,8 @@ from pyspark.sql import functions as F
 
 from linefold.llm.common import map_texts
 
-GRAM, WINNOW = 3, 3
+#: Words of a fingerprint at most.
+GRAM = 3
 BAND = 8
 LEAST_COVERAGE = 0.8
 #: Candidates that are aligned at a time.
@@ -109,56 +114,74 @@ def _words(text: str) -> list[str]:
     return [w.lower() for w in WORD.findall(text)]
 
 
-def fingerprints(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the winnowed word grams."""
+def unbroken(n: int) -> int:
+    """Words that are sure to stand in a row if ``LEAST_COVERAGE`` of ``n`` words are left."""
+    gone = n - math.ceil(LEAST_COVERAGE * n)
+    return math.ceil((n - gone) / (gone + 1))
+
+
+def grams(words: list[str], n: int) -> np.ndarray:
+    """Hashes of all runs of n words."""
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    if len(h) < GRAM:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    g = np.zeros(len(h) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
+    return _runs(h, n)
+
+
+def _runs(h: np.ndarray, n: int) -> np.ndarray:
+    g = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    for k in range(n):
         g = g * np.uint64(0x9E3779B97F4A7C15) + h[k : k + len(g)]
-    g ^= g >> np.uint64(29)
-    if len(g) <= WINNOW:
-        at = np.array([len(g) - 1 - int(np.argmin(g[::-1]))])
-        return at, g[at]
-    views = np.stack([g[k : len(g) - WINNOW + 1 + k] for k in range(WINNOW)])
-    at = np.unique(np.arange(views.shape[1]) + WINNOW - 1 - views[::-1].argmin(0))
-    return at, g[at]
+    return g ^ (g >> np.uint64(29))
+
+
+def winnowed(g: np.ndarray, window: int) -> np.ndarray:
+    """The hashes that winnowing keeps: of each ``window`` in a row the smallest."""
+    if len(g) <= window:
+        return g.min(keepdims=True) if len(g) else g
+    return np.unique(np.stack([g[k : len(g) - window + 1 + k] for k in range(window)]).min(0))
 
 
 class Index:
-    """Inverted index from fingerprint to (template, position)."""
+    """Inverted index from fingerprint to (template, position), for each number of words of a fingerprint."""
 
     def __init__(self, templates: list[tuple[str, str]]):
         self.names = [n for n, _ in templates]
         self.words = [_words(t) for _, t in templates]
-        self.posts: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        if any(len(w) > MOST_WORDS for w in self.words):
+            raise ValueError(f"a template has more than {MOST_WORDS} words")
+        posts: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for k, w in enumerate(self.words):
-            h = np.concatenate([fingerprints(w[i:])[1] for i in range(WINNOW)]) if len(w) > GRAM else fingerprints(w)[1]
-            own = set(h.tolist())
-            for p in range(len(w) - GRAM + 1):
-                for x in fingerprints(w[p : p + GRAM])[1].tolist():
-                    if x in own:
-                        self.posts[x].append((k, p))
-        self.keys = np.array(sorted(self.posts), np.uint64)
+            if not w:
+                continue
+            run = unbroken(len(w))
+            gram = min(GRAM, run)
+            g = grams(w, gram)
+            own = set(winnowed(g, run - gram + 1).tolist())
+            for p, x in enumerate(g.tolist()):
+                if x in own:
+                    posts.setdefault(gram, defaultdict(list))[x].append((k, p))
+        self.posts = {n: (np.array(sorted(own), np.uint64), dict(own)) for n, own in posts.items()}
         vocabulary = sorted({w for words in self.words for w in words})
         self.number = {w: n for n, w in enumerate(vocabulary, 1)}  # 0: a word of no template, or taken
         self.numbers = [np.array([self.number[w] for w in words], np.int64) for words in self.words]
 
     def candidates(self, words: list[str]) -> list[tuple[int, int]]:
         """Each (template, diagonal) of the hits."""
-        at, h = fingerprints(words)
-        if not len(at) or not len(self.keys):
-            return []
-        slot = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        hit = self.keys[slot] == h
-        return sorted({(k, p - q) for p, x in zip(at[hit].tolist(), h[hit].tolist()) for k, q in self.posts[x]})
+        h, out = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), set()
+        for n, (keys, posts) in self.posts.items():
+            g = _runs(h, n)
+            if not len(g):
+                continue
+            at = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, g), len(keys) - 1)] == g)
+            out.update((k, p - q) for p, x in zip(at.tolist(), g[at].tolist()) for k, q in posts[x])
+        return sorted(out)
 
 
 #: An alignment in one number, compared as a whole: its score, matched words, and the first and the last matched word in the window.
-_SCORE, _MATCHED, _FIRST = 1 << 44, 1 << 30, 1 << 15
-_FIELD = _FIRST - 1
+_SCORE, _MATCHED, _FIRST = 1 << 46, 1 << 30, 1 << 15
+_FIELD, _MOST_MATCHED = _FIRST - 1, _SCORE // _MATCHED - 1
 _OUT = -(1 << 61)
+#: Words of a template at most: its places and those of the band fill a field.
+MOST_WORDS = _FIELD - 2 * BAND
 
 
 def align(template: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,7 +197,7 @@ def align(template: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.nda
     for i, w in enumerate(template.tolist()):
         at = np.arange(i, i + 2 * band + 1)
         same = windows[:, i : i + 2 * band + 1] == w
-        fresh = (best >> 30) & (_MATCHED // _FIRST // 2 - 1) == 0
+        fresh = (best >> 30) & _MOST_MATCHED == 0
         first = np.where(fresh, at, (best >> 15) & _FIELD)
         hit = (best >> 30 << 30) + _SCORE + _MATCHED + first * _FIRST + at + 1
         row = np.where(same, hit, best - _SCORE)
@@ -184,7 +207,7 @@ def align(template: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.nda
     score = best >> 30
     top = np.where(score == score.max(1, keepdims=True), -near, _OUT).argmax(1)
     got = np.take_along_axis(best, top[:, None], 1)[:, 0]
-    return (got >> 30) & (_MATCHED // _FIRST // 2 - 1), (got >> 15) & _FIELD, got & _FIELD
+    return (got >> 30) & _MOST_MATCHED, (got >> 15) & _FIELD, got & _FIELD
 
 
 def _free(starts: list[tuple[int, int]], a: int, b: int) -> bool:

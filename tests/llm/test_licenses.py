@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from linefold.llm import license_scan as L
 
@@ -77,3 +78,44 @@ def test_candidates_are_found_by_brute_force_too():
         for _, t in picks:
             words = L._words(t)
             assert any(" ".join(words[:3]) in " ".join(L._words(s)) or L._words(s) == words for _, s in found)
+
+
+def edited(words, changed, rnd):
+    """``changed`` words replaced, or, as far as the band reaches, left out."""
+    out = list(words)
+    for k, p in enumerate(rnd.sample(range(len(words)), changed)):
+        out[p] = rnd.choice(["", f"other{rnd.randrange(50)}"]) if k < L.BAND else f"other{rnd.randrange(50)}"
+    return " ".join(w for w in out if w)
+
+
+def test_edited_notices_are_found():
+    """As many words changed as the coverage allows: every template is found wherever it covers enough, short ones too."""
+    rnd = random.Random(9)
+    for k, (name, text) in enumerate(L.TEMPLATES):
+        words = L._words(text)
+        most = len(words) - -(-8 * len(words) // 10)
+        assert most == 0 or L.unbroken(len(words)) >= 2
+        found = 0
+        for _ in range(60):
+            body = f"some words before {edited(words, rnd.randrange(1, most + 1), rnd)} and after it"
+            found += any(m["license"] == name or m["matched"] >= 0.8 * len(words) for m in L.find(INDEX, [body])[0])
+        assert found >= 0.9 * 60, (name, k, found)
+
+
+def test_a_run_is_certain():
+    """However the allowed number of words is struck out, a run of the promised length is left."""
+    from itertools import combinations
+
+    for n in range(1, 16):
+        gone = n - -(-8 * n // 10)
+        least = min(max(map(len, "".join("x" if p in out else "." for p in range(n)).split("x"))) for out in map(set, combinations(range(n), gone)))
+        assert least >= L.unbroken(n)
+
+
+def test_long_templates():
+    words = [f"w{i % 7000}" for i in range(20_000)]
+    index = L.Index([("long", " ".join(words))])
+    found = L.find(index, ["before " + " ".join(words) + " after"])[0]
+    assert [(m["license"], m["coverage"]) for m in found] == [("long", 1.0)]
+    with pytest.raises(ValueError):
+        L.Index([("too long", "w " * (L.MOST_WORDS + 1))])
