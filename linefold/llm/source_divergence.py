@@ -42,7 +42,7 @@ TOP_TERMS = 10
 #: Kept terms of a block, and so of one vocabulary, by estimate; the part of the terms that it comes from.
 MOST_TERMS, PROBE = 2_000_000, 64
 #: Sums of vectors that a task holds at a time; indices of a piece of them; bytes of text of a step.
-MOST_SUMS, PIECE, STEP_BYTES = 4_000_000, 4_096, 4_000_000
+MOST_SUMS, PIECE, STEP_BYTES = 2_000_000, 4_096, 3_000_000
 #: Terms x sources of one step of the pair evaluation.
 CELLS = 200_000
 #: Between language and term; no term holds it.
@@ -68,7 +68,7 @@ def split(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first[cut] |= inside[cut]  # a text begins a term of its own
     starts = np.flatnonzero(first)
     row = np.searchsorted(ends, starts, side="right") - 1
-    kept = np.cumsum(inside)
+    kept = np.cumsum(inside, dtype=np.int32)
     return data[inside], np.append(kept[starts[1:] - 1] if len(starts) > 1 else kept[:0], kept[-1:] if len(starts) else kept[:0]), row
 
 
@@ -87,8 +87,8 @@ def _splitter():
     def prefixed(texts: pa.BinaryArray, mark: bytes) -> tuple[pa.Array, pa.Array]:
         data, ends, row = split(texts)
         n, lengths = len(texts), np.diff(ends, prepend=0)
-        term = np.repeat(np.arange(len(ends)), lengths)
-        place = np.arange(len(data)) - (ends - lengths)[term]
+        term = np.repeat(np.arange(len(ends), dtype=np.int32), lengths)
+        place = np.arange(len(data), dtype=np.int32) - (ends - lengths).astype(np.int32)[term]
         whole = np.empty(len(data) + len(mark) * len(ends), np.uint8)
         begin = ends - lengths + len(mark) * np.arange(len(ends))
         whole[begin[:, None] + np.arange(len(mark))] = np.frombuffer(mark, np.uint8)
@@ -123,7 +123,7 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 def term_rows(docs: DataFrame) -> DataFrame:
     """lang, terms (each behind its language), probe."""
-    return map_texts(_plain(docs), "terms array<string>, probe array<string>", _splitter, keep=["lang"], rows=True, max_chars=STEP_BYTES)
+    return map_texts(_plain(docs), "terms array<string>, probe array<string>", _splitter, keep=["lang"], rows=True)
 
 
 def vocabulary(rows: DataFrame, least_docs: int) -> tuple[dict[str, pa.Array], list[str]]:
