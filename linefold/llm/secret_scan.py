@@ -62,6 +62,8 @@ MAX_TRAIN_DOCS, MAX_TRAIN_RUNS = 20_000, 5_000
 EPOCHS = 10
 #: Planted findings and decoys of one document.
 PLANTED, DECOYS = 24, 3
+#: Other runs of one document, of each kind, that may be among the examples.
+PLAIN_RUNS = 16
 #: Values from this length on are planted elsewhere, cut to no less.
 LEAST_PLANTED = 20
 #: Names before planted findings that the fixed patterns do not know, and alphabets that they are written in.
@@ -344,10 +346,11 @@ def _made(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Windows of planted findings and decoys of the texts, and which is which; the same for the same text."""
     snippets = []
     for t in texts:
-        words = t[:4000].split()[:400] or ["x"]  # surroundings only; every value of the text is used
-        long = [t[a:b] for a, b in values(t) if b - a >= LEAST_PLANTED]
         r = np.random.default_rng(xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")))
-        snippets += [(*planted(long[k % len(long)], words, r), True) for k in range(PLANTED if long else 0)]
+        words = t.split() or ["x"]  # surroundings are drawn from the whole text
+        long = [t[a:b] for a, b in values(t) if b - a >= LEAST_PLANTED]
+        drawn = r.permutation(len(long))  # of more values than are planted, as many by chance
+        snippets += [(*planted(long[drawn[k % len(long)]], words, r), True) for k in range(PLANTED if long else 0)]
         snippets += [(*decoy(words, r), False) for _ in range(DECOYS)]
     codes, at = joined_codes([x[0] for x in snippets])
     s, e, _ = windows_of(*runs_of(codes))
@@ -363,7 +366,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
 
     At most ``max_runs`` windows each of other runs without digits (0), with
     digits (1), of findings (2), runs near a finding (3), planted findings (4)
-    and decoys (5), the first by a hash of what the network sees.
+    and decoys (5), the first by a hash of what the network sees.  Of a text,
+    ``PLAIN_RUNS`` windows of kinds 0 and 1 stand for all, and at most ``PLANTED``
+    of its values are planted, drawn by a hash of the text; all else is offered
+    whole, so the sample does not depend on how texts are dealt.
     """
     sample = thinned(docs.select(id_col, "text"), docs.select(id_col).count(), max_docs, id_col)
 
@@ -391,12 +397,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
             kind = np.concatenate([kind[ok], np.where(secret, 4, 5)])
             h = (rows.astype(np.uint64) * _WEIGHTS).sum(1, dtype=np.uint64)
             h = ((h ^ (h >> np.uint64(29))) * _WEIGHTS[0]).view(np.int64)
-            pick = []
-            for k in range(6):
-                own = np.flatnonzero(kind == k)
-                _, first = np.unique(h[own], return_index=True)
-                # plenty of other runs everywhere: those of one stretch need not fill the sample
-                pick += own[first[: max_runs if k in (2, 3, 4) else max(1000, max_runs // 10)]].tolist()
+            # of other runs there are plenty: of each text the first by hash, however texts are dealt
+            text_of = np.concatenate([np.searchsorted(at, s[ok], side="right") - 1, np.full(len(more), -1)])
+            plain = np.flatnonzero(kind <= 1)
+            plain = plain[np.lexsort((h[plain], kind[plain], text_of[plain]))]
+            group = text_of[plain] * 2 + kind[plain]
+            begin = np.flatnonzero(np.diff(group, prepend=-1))
+            place = np.arange(len(plain)) - np.repeat(begin, np.diff(np.append(begin, len(plain))))
+            pick = [*plain[place < PLAIN_RUNS].tolist(), *np.flatnonzero(kind >= 2).tolist()]
             out = [{"y": int(kind[j]), "h": int(h[j]), "codes": rows[j].tobytes()} for j in pick]
             return [[out if i == 0 else [] for i in range(len(texts))]]
 
