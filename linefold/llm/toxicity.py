@@ -13,8 +13,9 @@ A transducer's arcs carry weights; ``compose`` joins what one writes to what the
 next one reads and multiplies the weights.  A clause's score is the summed
 weight of all accepting paths of the composition, hence that of all its marks;
 clauses without an insult or threat have none and are never looked at further.
-A document's score is a logistic function of its matched clauses, fitted on
-labelled documents.
+A document's score is a logistic function of its matched clauses.  Its
+coefficients and the weights of target, threat, negation and report are learnt
+together on labelled documents.
 
 The insult stems are learnt from a bounded sample of labelled documents that
 are not held out: words and word prefixes that occur in toxic documents nearly
@@ -26,10 +27,11 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
-from dataclasses import dataclass
-from functools import cache
+from dataclasses import dataclass, fields, replace
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -40,21 +42,46 @@ from pyspark.sql import functions as F
 from linefold.llm.common import labelled, map_texts, texts_of
 
 #: Closed-class words of the grammar.
-THREATS = "kill murder destroy hurt stab shoot töten umbringen tuer matar".split()
+#: Stems of threats, each with the endings that make a word of it.
+THREAT_STEMS = {
+    "kill murder destroy hurt stab stabb shoot": " s ed ing er ers",
+    "töt umbring": "e en est et t end te ten",
+    "tu assassin": "er é ée és ées erai eras era erons erez eront ez ant",
+    "mat asesin": "ar o as a an amos ado ada aré arás ará aremos arán ando",
+}
+THREATS = sorted({stem + end for stems, ends in THREAT_STEMS.items() for stem in stems.split() for end in ends.split(" ")} - {"tué", "mat"} | {"tué", "umgebracht", "shot"})
 TARGETS = "you your yours he she they him her them these those this that du ihr sie dich tu vous toi il elle tú usted ustedes él ella".split()
 NEGATIONS = "not never no nor isn't aren't don't nicht kein keine nie niemals ne pas jamais nunca jamás".split()
 REPORTS = "said says saying called quote quoted wrote claims claimed sagte sagt schrieb dit disait écrit dijo dice escribió".split()
 
 THREAT_WEIGHT = 1.0
-NEGATED, REPORTED = 0.5, 0.7
 NEGATION_SPAN = 3
-#: Weight of a clause's pattern.
+#: What the transducers weigh before anything is learnt, and where the labels say nothing.
+NEGATED, REPORTED = 0.5, 0.7
 PATTERNS = {("INSULT", True): 1.2, ("INSULT", False): 1.0, ("THREAT", True): 1.2, ("THREAT", False): 0.8}
+
+
+@dataclass(frozen=True)
+class Weights:
+    """The weights that are learnt: of a mark in reach of a negation or report, and of a clause by what it holds."""
+
+    negated: float = NEGATED
+    reported: float = REPORTED
+    insult: float = PATTERNS["INSULT", False]
+    insult_target: float = PATTERNS["INSULT", True]
+    threat: float = PATTERNS["THREAT", False]
+    threat_target: float = PATTERNS["THREAT", True]
+
+
+#: Factors that a step of learning tries, the pull back to the first weights, and rounds over all of them.
+FACTORS, PULL, ROUNDS = (0.25, 0.5, 0.8, 1.25, 2.0), 3.0, 3
 SYMBOLS = ("INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "OTHER")
 MARKS = {"INSULT": "*INSULT", "THREAT": "*THREAT"}
 #: Bound of the labelled sample, by a hash of the id.
 MAX_TRAIN_DOCS = 8_000
 MIN_TOXIC, MIN_PRECISION = 8, 0.9
+#: Toxic documents with a stem in each half of the sample.
+MIN_HALF = 2
 STEM = (4, 10)
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.,;:!?\n|]")
@@ -107,24 +134,24 @@ def hit() -> Transducer:
     return Transducer("before", arcs, {"after": 1.0})
 
 
-def negation() -> Transducer:
+def negation(weights: Weights = Weights()) -> Transducer:
     arcs = {}
     for left in range(NEGATION_SPAN + 1):
         for x in (*SYMBOLS, *MARKS.values()):
             to = NEGATION_SPAN if x == "NEGATION" else max(0, left - 1)
-            arcs[left, x] = [(to, x, NEGATED if left and x in MARKS.values() else 1.0)]
+            arcs[left, x] = [(to, x, weights.negated if left and x in MARKS.values() else 1.0)]
     return Transducer(0, arcs, dict.fromkeys(range(NEGATION_SPAN + 1), 1.0))
 
 
-def reported() -> Transducer:
+def reported(weights: Weights = Weights()) -> Transducer:
     arcs = {}
     for said in (False, True):
         for x in (*SYMBOLS, *MARKS.values()):
-            arcs[said, x] = [(said or x == "REPORT", x, REPORTED if said and x in MARKS.values() else 1.0)]
+            arcs[said, x] = [(said or x == "REPORT", x, weights.reported if said and x in MARKS.values() else 1.0)]
     return Transducer(False, arcs, {False: 1.0, True: 1.0})
 
 
-def pattern() -> Transducer:
+def pattern(weights: Weights = Weights()) -> Transducer:
     kinds = {mark: kind for kind, mark in MARKS.items()}
     arcs = {}
     for kind in (None, *kinds.values()):
@@ -132,18 +159,20 @@ def pattern() -> Transducer:
             for x in (*SYMBOLS, *kinds):
                 if kind is None or x not in kinds:
                     arcs[(kind, target), x] = [((kinds.get(x, kind), target or x == "TARGET"), x, 1.0)]
-    return Transducer((None, False), arcs, dict(PATTERNS))
+    final = {(kind, target): getattr(weights, kind.lower() + "_target" * target) for kind in kinds.values() for target in (False, True)}
+    return Transducer((None, False), arcs, final)
 
 
-@cache
-def composed() -> Transducer:
-    return compose(compose(compose(hit(), negation()), reported()), pattern())
+@lru_cache(512)
+def composed(weights: Weights = Weights()) -> Transducer:
+    return compose(compose(compose(hit(), negation(weights)), reported(weights)), pattern(weights))
 
 
 @dataclass
 class Grammar:
     stems: dict[str, float]
     coef: tuple[float, ...] = (0.0, 0.0, 0.0)
+    weights: Weights = Weights()
 
     def __post_init__(self):
         self.closed = dict.fromkeys(TARGETS, "TARGET") | dict.fromkeys(NEGATIONS, "NEGATION") | dict.fromkeys(REPORTS, "REPORT") | dict.fromkeys(THREATS, "THREAT")
@@ -153,7 +182,7 @@ class Grammar:
         self.scan.make_automaton()
 
     def __getstate__(self):
-        return {"stems": self.stems, "coef": self.coef}
+        return {"stems": self.stems, "coef": self.coef, "weights": self.weights}
 
     def __setstate__(self, state):
         self.__init__(**state)
@@ -170,7 +199,10 @@ class Grammar:
 
     def clause_score(self, clause: str) -> float:
         """The weight that the composed transducers give to a lower-cased clause."""
-        return composed().weight([self.symbol(w) for w in WORD.findall(clause)])
+        return composed(self.weights).weight(self.symbols(clause))
+
+    def symbols(self, clause: str) -> list[tuple[str, float]]:
+        return [self.symbol(w) for w in WORD.findall(clause)]
 
     def clauses(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, score) of the clauses with a match, in code points of the text."""
@@ -195,15 +227,19 @@ class Grammar:
                 out.append((left, done, s))
         return out
 
-    def features(self, text: str) -> list[float]:
-        found = [s for _, _, s in self.clauses(text)]
-        return [1.0, math.log1p(sum(found)), max(found, default=0.0)]
-
     def score(self, text: str) -> float:
-        z = sum(a * b for a, b in zip(self.coef, self.features(text)))
+        return self.rating([s for *_, s in self.clauses(text)])
+
+    def rating(self, found: list[float]) -> float:
+        """The score of a text from those of its clauses."""
+        z = sum(a * b for a, b in zip(self.coef, features(found)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def features(found: list[float]) -> list[float]:
+    return [1.0, math.log1p(sum(found)), max(found, default=0.0)]
+
+
 def _prefixes(text: str) -> set[str]:
     return {w[:n] for w in set(WORD.findall(text.lower())) for n in range(STEM[0], min(len(w), STEM[1]) + 1)}
 
@@ -218,7 +254,42 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(map(float, w))
 
 
+def learnt(examples: list[tuple[int, list]], weights: Weights = Weights()) -> tuple[Weights, tuple[float, ...]]:
+    """Weights of the transducers, and the logistic function over them, that make the labels likeliest.
+
+    ``examples`` are (label, symbols of each matched clause).  One weight at a
+    time is tried at a few factors; the pull towards the first weights keeps
+    those for which the labels say nothing.
+    """
+    y = np.array([label for label, _ in examples], float)
+
+    def fitted(w: Weights) -> tuple[float, tuple[float, ...]]:
+        machine = composed(w)
+        x = np.array([features([machine.weight(c) for c in clauses]) for _, clauses in examples])
+        coef = _logistic(x, y)
+        z = np.clip(x @ np.array(coef), -30, 30)
+        pull = sum(math.log(getattr(w, f.name) / f.default) ** 2 for f in fields(Weights))
+        return float((y * z - np.logaddexp(0, z)).sum()) - PULL * pull, coef
+
+    best, coef = fitted(weights)
+    for _ in range(ROUNDS):
+        before = best
+        for f in fields(Weights):
+            for factor in FACTORS:
+                other = replace(weights, **{f.name: getattr(weights, f.name) * factor})
+                got, c = fitted(other)
+                if got > best + 1e-6:
+                    best, coef, weights = got, c, other
+        if best - before < 1e-3:
+            break
+    return weights, coef
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Grammar:
+    """Stems, weights of the transducers and the logistic function, from at most ``max_docs`` labelled documents.
+
+    A stem has to hold in both halves of the sample, dealt by a hash of the text.
+    """
     sample = labelled(docs, labels, "toxic", max_docs).persist()
     try:
         size = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -227,21 +298,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> G
 
         def count(batches):
             seen = (Counter(), Counter())
+            half = Counter()  # toxic texts of the first half
             for b in batches:
                 for t, y in zip(texts_of(b), b.column("y").to_pylist()):
-                    seen[y].update(_prefixes(t))
+                    own = _prefixes(t)
+                    seen[y].update(own)
+                    if y and zlib.crc32(t.encode("utf-8", "surrogatepass")) % 2:
+                        half.update(own)
             words = [w for w in seen[1]] + [w for w in seen[0] if w not in seen[1]]
             for i in range(0, len(words), 50_000):
                 part = words[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.array([seen[y][w] for w in part], pa.int64()) for y in (1, 0)]], ["stem", "toxic", "clean"])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.array([c[w] for w in part], pa.int64()) for c in (seen[1], seen[0], half)]], ["stem", "toxic", "clean", "half"])
 
         # as if both classes had as many documents
         ratio = size.get(0, 0) / size[1] if size.get(0) else 1.0
         stems = (
-            sample.mapInArrow(count, "stem string, toxic long, clean long")
+            sample.mapInArrow(count, "stem string, toxic long, clean long, half long")
             .groupBy("stem")
-            .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+            .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("half").alias("half"))
             .where((F.col("toxic") >= F.lit(MIN_TOXIC)) & (F.col("toxic") * ratio >= MIN_PRECISION * (F.col("toxic") * ratio + F.col("clean"))) & (F.col("clean") <= 0.1 * F.col("toxic")))
+            .where(F.col("half").between(MIN_HALF, F.col("toxic") - MIN_HALF))
             .collect()
         )  # from a bounded sample, MIN_TOXIC documents each
         by = {r["stem"]: r for r in stems}
@@ -253,9 +329,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> G
             if any(w[:n] in by for n in range(STEM[0], len(w))):
                 del by[w]  # a shorter stem says more
         grammar = Grammar({w: math.log((r["toxic"] + 1) * ratio / (r["clean"] + 1)) for w, r in by.items()})
-        x = map_texts(sample, "f array<double>", lambda: lambda texts: [[grammar.features(t) for t in texts]], keep=["y"]).collect()
-        grammar.coef = _logistic(np.array([r["f"] for r in x]), np.array([r["y"] for r in x]))
-        return grammar
+
+        def matched(texts):
+            return [[[[{"s": s, "w": w} for s, w in grammar.symbols(t[a:b].lower())] for a, b, _ in grammar.clauses(t)] for t in texts]]
+
+        x = map_texts(sample, "c array<array<struct<s: string, w: double>>>", lambda: matched, keep=["y"]).collect()
+        examples = [(r["y"], [[tuple(s) for s in c] for c in r["c"]]) for r in x]
+        weights, coef = learnt(examples)
+        return Grammar(grammar.stems, coef, weights)
     finally:
         sample.unpersist()
 
@@ -266,6 +347,11 @@ def detect(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) ->
 
     def make():
         g = shared.value
-        return lambda texts: [[g.score(t) for t in texts], [[{"start": a, "end": b, "score": s} for a, b, s in g.clauses(t)] for t in texts]]
+
+        def fn(texts):
+            found = [g.clauses(t) for t in texts]
+            return [[g.rating([s for *_, s in c]) for c in found], [[{"start": a, "end": b, "score": s} for a, b, s in c] for c in found]]
+
+        return fn
 
     return map_texts(docs, "score double, clauses array<struct<start: int, end: int, score: double>>", make, keep=keep)

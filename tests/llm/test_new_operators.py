@@ -274,3 +274,10 @@ def test_bounds_shrink_the_candidates():
     whole = a @ cols
     assert (score == whole[rows]).all() and set(np.argsort(-whole)[:5]) <= set(rows)
     assert seen == sorted(seen, reverse=True) and seen[-2] < 1500
+
+
+def test_held_out_is_never_null(spark):
+    from linefold.llm.common import held_out
+
+    got = spark.createDataFrame([(None,), (1,), (3,)], "doc_id long").select("doc_id", held_out().alias("h")).collect()
+    assert all(r["h"] is not None for r in got) and [r["h"] for r in got if r["doc_id"] is None] == [False]
