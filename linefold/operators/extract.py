@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from linefold.functions.text import first_text, match_marker
 from linefold.operators import matching, ordered
-from linefold.plans.markers_sql import ENDED_SQL  # noqa: F401
 from linefold.session import written
 from linefold.operators.patterns import (
     ACTIVITY_INTRO,
     BODY_TYPES,
+    CHOICE_HEAD,
+    CHOICE_ITEM,
     CONCEPT_HEAD,
     CONTAINER_TYPES,
     CONTINUE_SUBTYPES,
@@ -28,7 +29,6 @@ from linefold.operators.patterns import (
     FIGURE_REF,
     FIGURE_TYPES,
     INTRO_CORNER,
-    ITEM_BOX,
     ORDER_END,
     ORDER_END_ANY,
     PREP_HEAD,
@@ -87,28 +87,6 @@ def segment_exits(rows: DataFrame, group: list[str], solution_kinds: list[str],
     return out.select(*group, "start", end.alias("end"), F.coalesce("cut.reason", F.lit("다음문제")).alias("reason"))
 
 
-def ends(lines: DataFrame) -> DataFrame:
-    """The segment ends of plain text lines, with markers of the synthetic texts in the parts of a book's."""
-    from linefold.plans.rows import MARKERS
-
-    m = lines.withColumn("name", match_marker("text", MARKERS)["name"])
-    m = m.withColumn("start", ordered.carried(F.when(F.col("name").isin("title", "number", "license"), F.col("idx")), ["doc_id"], ["idx"])).where("start is not null")
-    t = F.col("text")
-    flags = {
-        "page": F.floor(F.col("idx") / 10),
-        "is_head_line": F.coalesce(F.col("name") == "license", F.lit(False)) & (F.col("idx") != F.col("start")),
-        "far": F.length(t) > 900,
-        "passive": t == "",
-        "joined": t.rlike("^[a-z]"),
-        "order_end": t.rlike(r"tion[.]\s*$"),
-        "rider": F.contains(t, F.lit(", the")),
-        "sub": F.coalesce(F.col("name") == "list", F.lit(False)),
-        "solution": F.coalesce(F.col("name") == "shout", F.lit(False)),
-        "kind": F.first("name").over(Window.partitionBy("doc_id", "start").orderBy("idx")),
-    }
-    return segment_exits(m.withColumns(flags), ["doc_id"], ["title"], max_lines=12)
-
-
 def _is_image(t: Column) -> Column:
     return t.startswith("![](") | F.contains(t, F.lit("\\includegraphics"))
 
@@ -237,7 +215,7 @@ def extract(rows: DataFrame, per_file_dedup: bool = False, with_unmarked: bool =
         "passive": F.coalesce(F.col("type").isin(*FIGURE_TYPES, "math"), F.lit(False)) | t.startswith("\\[") | t.startswith("$$") | (t == ""),
         "joined": F.coalesce(F.col("subtype").isin(*CONTINUE_SUBTYPES), F.lit(False)),
         "order_end": t.rlike(ORDER_END),
-        "rider": t.rlike(PROVISO) | t.rlike(ITEM_BOX),
+        "rider": t.rlike(PROVISO) | t.rlike(CHOICE_HEAD) | t.rlike(CHOICE_ITEM),
         "sub": t.rlike(SUB_ITEM),
         "solution": t.rlike(SOLUTION),
     }

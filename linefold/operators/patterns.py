@@ -59,7 +59,8 @@ REVIEW_CORNER = r"(?U)스스로\s*준\W{0,2}비|준\W{0,2}비\W{0,2}학\W{0,2}
 PREP_HEAD = r"(?U)준[^가-힣]{0,2}비[^가-힣]{0,2}학[^가-힣]{0,2}습|준\s*비\s*하\s*기"
 INTRO_CORNER = r"(?U)^\s*(준\s*비\s*하\s*기|다\s*가\s*서\s*기)\s*$"
 SUB_ITEM = r"(?U)^\s*[(（\[]\s*\d{1,2}\s*[)）\]]|^\s*[①-⑳]|^\s*[⑴-⒇]"
-ITEM_BOX = r"(?U)^[\[|]?\s*보\s?기\s*[\]|]?$|^\s*[ㄱ-ㅎᄀ-ᄒ]\s*[.．)]"
+CHOICE_HEAD = r"(?U)^[\[|]?\s*보\s?기\s*[\]|]?$"
+CHOICE_ITEM = r"(?U)^\s*[ㄱ-ㅎᄀ-ᄒ]\s*[.．)]"
 PROVISO = r"(?U)^\s*[(（]?\s*(단|주의|참고로)\s*[,，]"
 SOLUTION = r"(?U)^\s*(풀이|풀OI|답|정답|증명|정명|증멍|해설|해답|참고)"
 FIGURE_REF = r"(?U)(오른쪽|아래|위의|다음)\s*(그림|표|도형)|그림과\s*같이|그림에서|그림은|정팔면체|정사면체|직육면체|정육면체"

@@ -37,14 +37,20 @@ def gram_sets(df: DataFrame, key: list[str], text: str, n: int = 3) -> DataFrame
 def overlaps(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], on: list[str] | None = None, keep: Callable = lambda inter, a, b: inter > 0) -> DataFrame:
     """Pairs with a common n-gram: keys, inter, left_size, right_size, jaccard, containment.
 
-    ``on`` names columns (part of both keys) that must be equal as well.
-    ``keep(inter, left_size, right_size)`` says which pairs matter; it is
-    written with operators only, runs where the pairs are counted, and holds the
-    rather the nearer two sizes are and the more n-grams are common.
+    n-grams are 64-bit hashes, or are hashed here.  ``on`` names columns (part
+    of both keys) that must be equal as well.  ``keep(inter, left_size,
+    right_size)`` says which pairs matter; it is written with operators only,
+    runs where the pairs are counted, and holds the rather the nearer two sizes
+    are and the more n-grams are common.
     """
     on = on or []
-    a = left.select(*left_key, F.col("size").cast("long").alias("size"), "grams")
-    b = right.select(*[F.col(k).alias(k) for k in right_key], F.col("size").cast("long").alias("size"), F.col("grams").alias("grams"))  # named anew: both sides may be one table
+
+    def side(df: DataFrame, key: list[str]) -> DataFrame:
+        hashed = F.col("grams") if df.schema["grams"].dataType == T.ArrayType(T.LongType(), df.schema["grams"].dataType.containsNull) else F.transform("grams", lambda g: F.xxhash64(g))
+        # named anew: both sides may be one table
+        return df.select(*[F.col(k).alias(k) for k in key], F.col("size").cast("long").alias("size"), hashed.alias("grams"))
+
+    a, b = side(left, left_key), side(right, right_key)
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a, b = _by_key(a, b, left_key, right_key, on) if on else _by_size(a, b, left_key, right_key, keep, n)
     group = [F.pmod(F.xxhash64("_tag"), F.lit(4 * n)).alias("_bin"), "_block", "_batch"]

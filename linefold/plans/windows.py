@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from linefold.functions import text as X
 from linefold.operators import merging, ordered
-from linefold.operators.extract import ENDED_SQL, ends
+from linefold.operators.extract import segment_exits
 from linefold.plans.groups import _GAP_SQL, gaps
 from linefold.plans.registry import query
-from linefold.plans.rows import MARKED_SQL, marked
+from linefold.plans.markers_sql import ENDED_SQL
+from linefold.plans.rows import MARKED_SQL, MARKERS, marked
 from linefold.sources.tables import LINES_SQL, lines, table
 
 
@@ -68,10 +69,30 @@ def win7(spark, d):
     return t.groupBy("doc_id", "segment").agg(F.min("idx").alias("first"), F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("chars"))
 
 
+def _ends(lines):
+    """The segment ends of plain text lines, with markers of the synthetic texts in the parts of a book's."""
+    m = lines.withColumn("name", X.match_marker("text", MARKERS)["name"])
+    m = m.withColumn("start", ordered.carried(F.when(F.col("name").isin("title", "number", "license"), F.col("idx")), ["doc_id"], ["idx"])).where("start is not null")
+    t = F.col("text")
+    flags = {
+        "page": F.floor(F.col("idx") / 10),
+        "is_head_line": F.coalesce(F.col("name") == "license", F.lit(False)) & (F.col("idx") != F.col("start")),
+        "far": F.length(t) > 900,
+        "passive": t == "",
+        "joined": t.rlike("^[a-z]"),
+        "order_end": t.rlike(r"tion[.]\s*$"),
+        "rider": F.contains(t, F.lit(", the")),
+        "sub": F.coalesce(F.col("name") == "list", F.lit(False)),
+        "solution": F.coalesce(F.col("name") == "shout", F.lit(False)),
+        "kind": F.first("name").over(Window.partitionBy("doc_id", "start").orderBy("idx")),
+    }
+    return segment_exits(m.withColumns(flags), ["doc_id"], ["title"], max_lines=12)
+
+
 @query("win8_segment_ends", ENDED_SQL)
 def win8(spark, d):
     """Where each segment ends and why: the first line with an exit reason, reasons in priority order."""
-    return ends(lines(spark, d))
+    return _ends(lines(spark, d))
 
 
 @query(
