@@ -116,6 +116,11 @@ def clean_tail(text):
     return scrub(t, TAIL_LAST)
 
 
+def label_in(tail):
+    """The block label that a text holds; of several the last listed."""
+    return F.coalesce(*[F.when(F.contains(tail, F.lit(x)), x) for x in reversed(BLOCK_LABELS)])
+
+
 def parse(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(problems, documents).  problems: file, idx, num, display, section, block, page, text, head, chars."""
     lines = kept_lines(pages)
@@ -143,7 +148,7 @@ def parse(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = ordered.asof(p, titles, ["file"], "page", "page", "title")
     p = p.join(by_number, "file").join(whole, "file")
     tail = F.substring(F.col("stream"), F.greatest(F.lit(1), F.col("start") - 119).cast("int"), F.least(F.lit(120), F.col("start")).cast("int"))
-    block = F.coalesce(*[F.when(F.contains(tail, F.lit(x)), x) for x in reversed(BLOCK_LABELS)])
+    block = label_in(tail)
     raw = F.substring(F.col("stream"), (F.col("end") + 1).cast("int"), (F.coalesce("next", F.length("stream").cast("long")) - F.col("end")).cast("int"))
     text = clean_tail(raw)
     problems = p.select(
