@@ -315,7 +315,20 @@ def mtc4(spark, d):
     return one.withColumn("pass", F.lit(1)).union(two.withColumn("pass", F.lit(2)))
 
 
-@query("mtc6_chain")
+#: A feed row by row: for each number the best chain that ends in it, and the best chain so far.
+_RISING_SQL = """RECURSIVE e AS (SELECT user_id, event_id AS idx, CAST(floor(value) AS BIGINT) AS num, CASE WHEN floor(value) = floor(value + 0.5) THEN 1.5 ELSE 1.0 END AS own, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+    r AS (SELECT user_id, k, [{'score': CAST(own AS DOUBLE), 'pos': -k, 'num': num, 'path': [{'idx': idx, 'num': num}]}] AS latest, {'score': CAST(own AS DOUBLE), 'pos': -k, 'num': num, 'path': [{'idx': idx, 'num': num}]} AS best FROM e WHERE k = 1
+    UNION ALL SELECT user_id, k, CASE WHEN old IS NULL THEN list_append(latest, made) WHEN made['score'] > old['score'] THEN list_append(list_filter(latest, lambda x: x['num'] <> num), made) ELSE latest END,
+        CASE WHEN made['score'] > best['score'] THEN made ELSE best END FROM (
+        SELECT *, {'score': CAST(own + coalesce(prev['score'], 0) AS DOUBLE), 'pos': -k, 'num': num, 'path': list_append(coalesce(prev['path'], []), {'idx': idx, 'num': num})} AS made FROM (
+            SELECT e.*, r.latest, r.best, list_filter(r.latest, lambda x: x['num'] = e.num)[1] AS old, list_sort(list_filter(r.latest, lambda x: x['num'] BETWEEN e.num - 3 AND e.num - 1), 'DESC')[1] AS prev
+            FROM r JOIN e ON e.user_id = r.user_id AND e.k = r.k + 1)))"""
+
+
+@query(
+    "mtc6_chain",
+    f"""WITH {_RISING_SQL}, whole AS (SELECT user_id, unnest(best['path']) AS x FROM r QUALIFY k = max(k) OVER (PARTITION BY user_id)) SELECT user_id, x['idx'] AS idx, x['num'] AS num FROM whole""",
+)
 def mtc6(spark, d):
     """The best rising chain of numbers within a feed."""
     e = table(spark, d, "events").select("user_id", F.col("event_id").alias("idx"), F.floor("value").alias("num"), F.floor(F.col("value") + 0.5).alias("shown"))
