@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +23,41 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later steps start from files that outlive executors."""
-    path = shared_dir(df.sparkSession, label)
+#: File system and path of the tables that this driver has written and not removed.
+_LEFT: dict[str, tuple] = {}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _LEFT.pop(path, None)
+
+
+@atexit.register
+def _tidy() -> None:
+    """When the driver ends, what ``written`` has left is removed; a driver that is killed leaves it."""
+    for files, at in _LEFT.values():
+        with contextlib.suppress(Py4JError, OSError):
+            files.delete(at, True)
+    _LEFT.clear()
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and read it back: later steps start from files that outlive executors.  Also its path.
+
+    The table lasts as long as the driver, or until ``remove``.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _LEFT[path] = (at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    return written_at(df, label)[0]
 
 
 class Workspace:
@@ -40,9 +73,7 @@ class Workspace:
         return self
 
     def __exit__(self, *_) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.path)
 
     def written(self, df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
         """As ``written``; by at most ``tasks`` tasks."""
