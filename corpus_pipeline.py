@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefold.llm import bpe, decontaminate, language_id, near_dedup, secret_scan
-from linefold.llm.common import read, written
+from linefold.llm.common import read
 from linefold.llm.queries import PATTERN, VOCABULARY
+from linefold.session import remove, written_at
 
 
 def _apart(docs: DataFrame) -> DataFrame:
@@ -73,7 +74,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs, path = written_at(stage(spark, docs, sf_dir), name)
+        if before:
+            remove(spark, before)  # the stage that read it is written
+        before = path
     return docs
