@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from linefold.llm.common import map_texts
 
-#: Words of a fingerprint at most.
-GRAM = 3
+#: Words of a fingerprint at most, and the window that long templates have with it.
+GRAM, WINNOW = 3, 2
 BAND = 8
 LEAST_COVERAGE = 0.8
 #: Candidates that are aligned at a time.
@@ -133,11 +133,15 @@ def _runs(h: np.ndarray, n: int) -> np.ndarray:
     return g ^ (g >> np.uint64(29))
 
 
-def winnowed(g: np.ndarray, window: int) -> np.ndarray:
-    """The hashes that winnowing keeps: of each ``window`` in a row the smallest."""
+def fingerprints(words: list[str], gram: int = GRAM, window: int = WINNOW) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the runs of ``gram`` words that winnowing keeps: of each ``window`` in a row the smallest, the last among equals."""
+    g = grams(words, gram)
     if len(g) <= window:
-        return g.min(keepdims=True) if len(g) else g
-    return np.unique(np.stack([g[k : len(g) - window + 1 + k] for k in range(window)]).min(0))
+        at = np.array([len(g) - 1 - int(np.argmin(g[::-1]))]) if len(g) else np.zeros(0, np.int64)
+        return at, g[at]
+    views = np.stack([g[k : len(g) - window + 1 + k] for k in range(window)])
+    at = np.unique(np.arange(views.shape[1]) + window - 1 - views[::-1].argmin(0))
+    return at, g[at]
 
 
 class Index:
@@ -155,7 +159,7 @@ class Index:
             run = unbroken(len(w))
             gram = min(GRAM, run)
             g = grams(w, gram)
-            own = set(winnowed(g, run - gram + 1).tolist())
+            own = set(fingerprints(w, gram, run - gram + 1)[1].tolist())
             for p, x in enumerate(g.tolist()):
                 if x in own:
                     posts.setdefault(gram, defaultdict(list))[x].append((k, p))
