@@ -6,6 +6,7 @@ import corpus_pipeline as P
 import pytest
 
 from linefold.llm import secret_scan
+from linefold.session import written
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     cols, seen = docs.columns, {}
     for name, stage in P.STAGES:
-        out = P.written(stage(spark, docs, folder), name)
+        out = written(stage(spark, docs, folder), name)
         seen[name] = out
         if name != P.STAGES[-1][0]:
             assert out.columns == cols and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
