@@ -1,9 +1,10 @@
 """How the sources of a language differ in their words: exact counts, pairs of sources, leading terms.
 
 ``CountVectorizer`` with a least document frequency and the greatest possible
-vocabulary counts the terms of every document; a term carries its language as a
-prefix, so that one fit gives each language a vocabulary of its own, whatever
-the number of languages.  Every document's sparse vector is made in the tasks
+vocabulary size fits the kept terms; a term carries its language as a prefix, so
+that one fit gives each language a vocabulary of its own, whatever the number of
+languages.  It is given each document's terms once, all that a document
+frequency needs.  Every document's sparse vector is made in the tasks
 from the fitted vocabulary, and summed for each (lang, source) where it is made.  Pairs are evaluated from the terms that occur: a term that
 neither source has adds the same constant to their sum.
 
@@ -51,7 +52,7 @@ _MARK = "\x00"
 
 #: Each byte as it counts: a small letter or part of a character beyond 127, or 32 if it is no part of a term.
 _BYTES = np.array([b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)], np.uint8)
-#: Odd factors of a term's bytes by their place, for the choice of the part of the terms that is looked at first.
+#: Odd factors of a term's bytes by their place: 64-bit hashes that tell the terms of a text apart.
 _FACTORS = np.random.default_rng(11).integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -82,26 +83,30 @@ def _texts(part: pa.RecordBatch) -> pa.BinaryArray:
 
 
 def _splitter():
-    """Each text's terms behind its language, and of those in one of ``PROBE`` parts by hash the distinct ones."""
+    """Each text's terms, once each and behind its language, and those of them in one of ``PROBE`` parts by hash."""
 
     def prefixed(texts: pa.BinaryArray, mark: bytes) -> tuple[pa.Array, pa.Array]:
         data, ends, row = split(texts)
         n, lengths = len(texts), np.diff(ends, prepend=0)
         term = np.repeat(np.arange(len(ends), dtype=np.int32), lengths)
         place = np.arange(len(data), dtype=np.int32) - (ends - lengths).astype(np.int32)[term]
-        whole = np.empty(len(data) + len(mark) * len(ends), np.uint8)
-        begin = ends - lengths + len(mark) * np.arange(len(ends))
+        hashed = np.add.reduceat(data.astype(np.uint64) * _FACTORS[place % 64], ends - lengths) if len(ends) else np.zeros(0, np.uint64)
+        once = np.zeros(len(ends), bool)  # a text's terms once each
+        once[np.unique(hashed ^ (row.astype(np.uint64) + np.uint64(1)) * _FACTORS[0], return_index=True)[1]] = True
+        mine = once[term]
+        data, place, lengths, row, hashed = data[mine], place[mine], lengths[once], row[once], hashed[once]
+        term = np.repeat(np.arange(len(row), dtype=np.int32), lengths)
+        begin = np.cumsum(lengths) - lengths + len(mark) * np.arange(len(row))
+        whole = np.empty(len(data) + len(mark) * len(row), np.uint8)
         whole[begin[:, None] + np.arange(len(mark))] = np.frombuffer(mark, np.uint8)
         whole[begin[term] + len(mark) + place] = data
-        terms = _binary(whole, ends + len(mark) * np.arange(1, len(ends) + 1), pa.string())
-        per_row = np.append(0, np.cumsum(np.bincount(row, minlength=n))).astype(np.int32)
-        out = pa.ListArray.from_arrays(pa.array(per_row), terms)
-        parts = np.add.reduceat(data.astype(np.uint64) * _FACTORS[place % 64], ends - lengths) if len(ends) else np.zeros(0, np.uint64)
-        chosen = np.flatnonzero((parts >> np.uint64(40)) % np.uint64(PROBE) == 0)
-        mine: list[set] = [set() for _ in range(n)]
-        for r, t in zip(row[chosen].tolist(), terms.take(pa.array(chosen)).to_pylist()):
-            mine[r].add(t)
-        return out, pa.array([list(x) for x in mine], pa.list_(pa.string()))
+        terms = _binary(whole, begin + len(mark) + lengths, pa.string())
+
+        def lists(rows: np.ndarray, values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(rows, minlength=n))).astype(np.int32)), values)
+
+        chosen = np.flatnonzero((hashed >> np.uint64(40)) % np.uint64(PROBE) == 0)
+        return lists(row, terms), lists(row[chosen], terms.take(pa.array(chosen)))
 
     def run(part: pa.RecordBatch) -> list:
         texts, lang = _texts(part), part.column("lang")
@@ -122,7 +127,7 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 
 def term_rows(docs: DataFrame) -> DataFrame:
-    """lang, terms (each behind its language), probe."""
+    """lang, terms (of each text once, behind its language), probe: all that a vocabulary by document frequency needs."""
     return map_texts(_plain(docs), "terms array<string>, probe array<string>", _splitter, keep=["lang"], rows=True)
 
 
