@@ -80,13 +80,14 @@ def jon7(spark, d):
 def jon8(spark, d):
     """Points within an hour of a one-minute span of the same user.
 
-    Time is cut into two-hour buckets; a span reaches at most two of them, and
-    each pair meets in the bucket of its point: an equi-join on (user, bucket).
+    Time is cut into two-hour buckets; a point looks into all that its two hours
+    and a minute reach, three at most, and each pair meets in the bucket of its
+    span: an equi-join on (user, bucket).
     """
     e = table(spark, d, "events").withColumn("t", F.unix_millis(F.col("ts").cast("timestamp")))
     hour = 3_600_000
     s = e.where("event_type = 'error'").select("user_id", "event_id", "t")
-    s = s.withColumn("bucket", F.explode(F.array_distinct(F.array(F.floor((F.col("t") - hour) / (2 * hour)), F.floor((F.col("t") + hour + 60000) / (2 * hour))))))
+    s = s.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("t") - hour) / (2 * hour)), F.floor((F.col("t") + hour + 60000) / (2 * hour)))))
     f = e.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("fig"), F.col("t").alias("ft")).withColumn("bucket", F.floor(F.col("ft") / (2 * hour)))
     distance = F.greatest(F.col("t") - F.col("ft"), F.col("ft") - F.col("t") - 60000, F.lit(0))
     return s.join(f, ["user_id", "bucket"]).withColumn("distance", distance).where(F.col("distance") <= hour).select("event_id", "fig", "distance")
