@@ -137,15 +137,10 @@ def jon12(spark, d):
 MOST_LINES = 1 << 25
 
 
-def _refs(spark, d):
-    return similarity.gram_sets(table(spark, d, "benchmark"), ["item_id"], "text")
-
-
 def _exts(spark, d):
     """Distinct document lines, numbered by (doc, line)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # comparing costs far more than the bytes tell: no coalescing
-    one = lines(spark, d).repartition(n, "text").groupBy("text").agg(F.min(F.struct("doc_id", "idx")).alias("at"))
-    return similarity.gram_sets(one.select((F.col("at.doc_id") * MOST_LINES + F.col("at.idx")).alias("line_id"), "text"), ["line_id"], "text")
+    at = F.col("doc_id") * MOST_LINES + F.col("idx")
+    return lines(spark, d).groupBy("text").agg(F.min(at).alias("line_id"))
 
 
 _SIM_SQL = f"""{LINES_SQL}, one AS (SELECT text, min(doc_id * 33554432 + idx) AS line_id FROM lines GROUP BY text),
@@ -155,7 +150,8 @@ _SIM_SQL = f"""{LINES_SQL}, one AS (SELECT text, min(doc_id * 33554432 + idx) AS
 
 
 def _pairs(spark, d, keep):
-    return similarity.overlaps(_refs(spark, d), _exts(spark, d), ["item_id"], ["line_id"], keep=keep)
+    most = lambda: table(spark, d, "documents").agg(F.sum(F.length("text"))).first()[0]
+    return similarity.overlaps(table(spark, d, "benchmark").select("item_id", "text"), _exts(spark, d), ["item_id"], ["line_id"], keep=keep, most=most)
 
 
 @query("jon13_jaccard_pairs", f"WITH {_SIM_SQL} SELECT item_id, line_id, inter, round(inter / (n + m - inter), 6) AS jaccard FROM p WHERE inter * 100 >= 35 * (n + m - inter)")

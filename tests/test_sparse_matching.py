@@ -118,6 +118,37 @@ def test_set_join_of_nothing(spark):
     assert similarity.overlaps(none, none.withColumnRenamed("i", "j"), ["i"], ["j"]).count() == 0
 
 
+def trigrams(t):
+    return {t[i : i + 3] for i in range(max(len(t) - 2, 1))} if t else set()
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_set_join_of_texts(spark, monkeypatch, wide):
+    """Texts as they are: short ones, NULs, characters beyond the basic plane, and an alphabet too large for packed numbers."""
+    monkeypatch.setattr(similarity, "BATCH", 9)
+    monkeypatch.setattr(similarity, "BLOCK_GRAMS", 300)
+    monkeypatch.setattr(similarity, "STEP_GRAMS", 50)
+    monkeypatch.setattr(similarity, "CELLS", 30)
+    rnd = random.Random(5)
+    letters = "ab\0é가😀" + ("".join(map(chr, range(0x4E00, 0x4E00 + 9000))) if wide else "")
+    make = lambda n, own: [(i, "".join(rnd.choice(letters[:4] if rnd.random() < 0.8 else letters) for _ in range(rnd.choice([0, 1, 2, 3, 4, 9, 30, 80])))) for i in range(n)] + [(n, None), (n + 1, own)]
+    left, right = make(30, letters), make(60, letters[::-1] + letters)
+    for keep in (lambda n, a, b: n / (a + b - n) >= 0.35, lambda n, a, b: (n >= 10) & ((n >= 0.6 * a) | (n >= 0.6 * b)), lambda n, a, b: n * 100 >= 55 * a):
+        got = similarity.overlaps(spark.createDataFrame(left, "i long, text string"), spark.createDataFrame(right, "j long, text string"), ["i"], ["j"], keep=keep, most=lambda: 40_000).collect()
+        sets = [(i, trigrams(t), j, trigrams(u)) for i, t in left for j, u in right]
+        want = [(i, j, n, len(a), len(b)) for i, a, j, b in sets if (n := len(a & b)) and keep(n, len(a), len(b))]
+        assert sorted((r["i"], r["j"], r["inter"], r["left_size"], r["right_size"]) for r in got) == sorted(want)
+
+
+def test_a_right_row_is_dealt_once(spark):
+    """Whatever sizes can be similar enough, a right row goes to one block of a batch; blocks follow the input."""
+    keep = lambda n, a, b: (n >= 10) & ((n >= 0.6 * a) | (n >= 0.6 * b))
+    right = spark.range(500).selectExpr("id as j", "repeat(cast(id as string), 5) as text")
+    a, b = similarity._in_blocks(spark.range(3).selectExpr("id as i", "'abcabc' as text"), right, ["i"], ["j"], lambda: 50 * similarity.BLOCK_GRAMS, 4)
+    assert b.count() == 500 and a.count() == 150
+    assert similarity.overlaps(a.select("i", "text"), right, ["i"], ["j"], keep=keep).count() == 0
+
+
 def kept_in_order(sets, least=0.85):
     kept, flags = [], []
     for g in sets:
