@@ -1,7 +1,7 @@
 """Ordered folds: a choice that depends on the one before, also within groups that no single task may hold.
 
-Small groups are one pass over rows sorted by group.  A group whose order column
-spans several chunks is cut: each chunk is summarised as a function from the
+Small groups are one pass over rows sorted by group.  A group of more rows than a
+chunk is cut by their places in it: each chunk is summarised as a function from the
 state before it to the state after it, the functions of a group are applied one
 after the other (a row a chunk), and then every chunk folds its rows from the
 state it now knows.  Chunks of one group run beside each other in both passes.
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Values of the order column in a chunk.
+from linefold.operators.ordered import numbered_wide
+
+#: Rows of a chunk.
 CHUNK = 1_000_000
 
 
@@ -54,6 +56,38 @@ def fold(df: DataFrame, group: list[str], order: str, new: str, step: Callable)
     return df.repartition(*group).sortWithinPartitions(*group, order).mapInArrow(run, schema)
 
 
+def by_group(df: DataFrame, group: list[str], order: list[str], new: str, made: Callable) -> DataFrame:
+    """``made(key, columns)`` of each group's rows in order, given as lists by name, returns rows of ``new`` as tuples.
+
+    Rows come sorted by group within partitions: one pass of Arrow batches, whatever the number of groups; a task holds one group at a time.
+    """
+    schema = T._parse_datatype_string(new)
+    kinds, names = to_arrow_schema(schema), df.columns
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        cols = zip(*rows) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kinds)], schema=kinds)
+
+    def run(batches):
+        last, held = None, []
+
+        def done():
+            return made(last, dict(zip(names, map(list, zip(*held))))) if held else []
+
+        for b in batches:
+            out = []
+            columns = [b.column(c).to_pylist() for c in names]
+            for key, row in zip(zip(*(columns[names.index(g)] for g in group)), zip(*columns)):
+                if key != last:
+                    out += done()
+                    last, held = key, []
+                held.append(row)
+            yield packed(out)
+        yield packed(done())
+
+    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema)
+
+
 def wide_fold(df: DataFrame, group: list[str], order: str, new: str, step: Callable, summary: Callable, known: dict[str, Column] | None = None) -> DataFrame:
     """As ``fold``; groups of more than one chunk are folded chunk by chunk.
 
@@ -64,13 +98,14 @@ def wide_fold(df: DataFrame, group: list[str], order: str, new: str, step: Calla
     """
     known = known or {}
     names, schema = df.columns, T._parse_datatype_string(new)
-    kinds, chunk = to_arrow_schema(schema), F.floor(F.col(order) / CHUNK).alias("_chunk")
-    spans = df.groupBy(*group).agg(F.min(chunk).alias("_low"), F.max(chunk).alias("_high"), *[v.alias(k) for k, v in known.items()])
-    spans = spans.where("_low < _high").select(*[F.col(g).alias(f"_of_{g}") for g in group], *known)
+    kinds = to_arrow_schema(schema)
+    spans = df.groupBy(*group).agg(F.count("*").alias("_n"), *[v.alias(k) for k, v in known.items()])
+    spans = spans.where(F.col("_n") > CHUNK).select(*[F.col(g).alias(f"_of_{g}") for g in group], *known)
     if not spans.take(1):
         return fold(df, group, order, new, step)
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group])
-    small, large = df.join(spans, same, "left_anti"), df.join(spans, same).select(*names, *known, chunk)
+    small, large = df.join(spans, same, "left_anti"), df.join(spans, same).select(*names, *known)
+    large = numbered_wide(large, group, [order], "_place").select(*names, *known, F.floor((F.col("_place") - 1) / CHUNK).alias("_chunk"))
     key, seen = [*group, "_chunk"], [*names, *known]
     of_key = T.StructType([large.schema[k] for k in key])
 
