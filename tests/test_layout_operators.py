@@ -95,3 +95,13 @@ def test_folds_against_loops(spark):
     assert [(r["idx"], r["num"], r["num_fixed"]) for r in sorted(got, key=lambda r: r["idx"])] == [
         (0, 3, False), (1, 4, True), (2, 5, False), (3, 6, True), (4, None, False), (5, 68, False), (6, 7, False), (7, None, False)
     ]
+
+
+def test_all_files_are_widened_in_one_pass(spark):
+    """Many small files are no calls of their own; long texts are cut before they are dealt; a file without problems gives no row."""
+    lines = spark.range(60).selectExpr("id div 3 as f", "id % 3 as idx", "repeat('x', 1000) as text", "9.0D as gap", "false as head")
+    problems = spark.range(1, 20).selectExpr("id as f", "1L as start", "1L as end", "true as open")
+    got = boundaries.refine(lines, problems, "f", lambda text: "1 2" if len(text) < 1300 else "no", 5.0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan
+    assert sorted(map(tuple, got.collect())) == [(f, 1, 0, 1, "widened") for f in range(1, 20)]
