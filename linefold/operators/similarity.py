@@ -43,9 +43,8 @@ def overlaps(
 ) -> DataFrame:
     """Pairs with a common n-gram: keys, inter, left_size, right_size, jaccard, containment.
 
-    Rows have ``grams`` (64-bit hashes, or hashed here) and their ``size``; without
-    ``on`` both sides may have ``text`` instead, whose trigrams are made where they
-    are counted.  ``on`` names columns (part of both keys) that must be equal as
+    Rows have ``grams`` (64-bit hashes, or hashed here) and their ``size``; or both
+    sides have ``text`` instead, whose trigrams are made where they are counted.  ``on`` names columns (part of both keys) that must be equal as
     well.  ``keep(inter, left_size, right_size)`` says which pairs matter; it is
     written with operators only, runs where the pairs are counted, and holds the
     rather the more n-grams are common.  ``most()`` tells how many n-grams the
@@ -55,8 +54,8 @@ def overlaps(
 
     def side(df: DataFrame, key: list[str]) -> DataFrame:
         named = [F.col(k).alias(k) for k in key]  # named anew: both sides may be one table
-        if "text" in df.columns and not on:
-            return df.where("text != ''").select(*named, "text")
+        if "text" in df.columns:
+            return df.where("text != ''").select(*named, F.col("text").alias("text"))
         hashed = F.col("grams") if df.schema["grams"].dataType == T.ArrayType(T.LongType(), df.schema["grams"].dataType.containsNull) else F.transform("grams", lambda g: F.xxhash64(g))
         return df.select(*named, F.col("size").cast("long").alias("size"), hashed.alias("grams"))
 
@@ -148,7 +147,7 @@ def _flat(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each n-gram, mixed with its row's tag, if any, so that only rows of one tag share it; its row; and the rows' sizes."""
     if "text" in rows.column_names:
         gram, row = _text_grams(rows.column("text").to_pylist())
-        return gram, row, np.bincount(row, minlength=rows.num_rows)
+        return gram ^ _tags(rows)[row], row, np.bincount(row, minlength=rows.num_rows)
     grams = rows.column("grams").combine_chunks()
     n = np.diff(grams.offsets.to_numpy()) if grams.null_count == 0 else np.array([len(g or ()) for g in grams.to_pylist()])
     row = np.repeat(np.arange(rows.num_rows), n)

@@ -246,16 +246,16 @@ def _free_cells(spark, d, page):
     return cells.join(box, hit, "left_anti")
 
 
-def _turn_grams(spark, d, role):
-    """Letters of every second turn, numbered within the conversation."""
+def _turns(spark, d, role):
+    """A role's turns in lower case, numbered within the conversation."""
     c = table(spark, d, "conversations").where(F.col("role") == role)
-    return c.select("conv_id", F.col("turn").alias("idx"), X.grams(F.lower("text")).alias("grams"))
+    return c.select("conv_id", F.col("turn").alias("idx"), F.lower("text").alias("text"))
 
 
 @query("mtc1_aligned")
 def mtc1(spark, d):
     """User turns against assistant turns of a conversation: order-preserving pairs, then rescued ones."""
-    return matching.aligned(_turn_grams(spark, d, "user"), _turn_grams(spark, d, "assistant"), "conv_id").withColumn("sim", F.round("sim", 6))
+    return matching.aligned(_turns(spark, d, "user"), _turns(spark, d, "assistant"), "conv_id").withColumn("sim", F.round("sim", 6))
 
 
 #: A document's pairs one after the other by ref and ext, each with the best chain that it ends.
@@ -276,7 +276,7 @@ _CHAIN_SQL = f"""RECURSIVE {LINES_SQL}, g AS (SELECT doc_id, idx, {GRAMS_SQL} AS
 )
 def mtc1_ordered(spark, d):
     """A document's odd lines against its even ones: the heaviest order-preserving pairs, without rescue."""
-    g = lines(spark, d).select("doc_id", "idx", X.grams(F.lower("text")).alias("grams"))
+    g = lines(spark, d).select("doc_id", "idx", F.lower("text").alias("text"))
     found = matching.aligned(g.where("idx % 2 = 1"), g.where("idx % 2 = 0"), "doc_id")
     return found.where("how = 'order'").select("doc_id", "ref_idx", "ext_idx", F.round("sim", 6).alias("sim"))
 

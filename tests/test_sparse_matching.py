@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from linefold.functions.text import grams
 from linefold.operators import matching, similarity
 
 
@@ -92,6 +93,18 @@ def test_aligned_groups_of_all_sizes(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_many_small_tags_are_no_calls_of_their_own(spark, monkeypatch):
+    """Tags are dealt into bins by their rows, and a choice is one pass over sorted pairs; texts give the same as their trigrams."""
+    monkeypatch.setattr(similarity, "BIN", 10)
+    rows = spark.range(120).selectExpr("id div 4 as t", "id % 4 as idx", "concat('some text of its own ', cast(id div 8 as string), repeat(cast(id % 3 as string), 9)) as text")
+    sides = lambda r: (r.where("idx % 2 = 0"), r.where("idx % 2 = 1"))
+    got = matching.aligned(*sides(rows), "t")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+    want = matching.aligned(*sides(rows.select("t", "idx", grams("text").alias("grams"))), "t")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
 @pytest.mark.parametrize("on", [None, ["g"]])
 def test_set_join_against_all_pairs(spark, monkeypatch, on):
     monkeypatch.setattr(similarity, "BATCH", 9)
