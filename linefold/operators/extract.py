@@ -54,13 +54,13 @@ FIG_MENTIONED, FIG_NEAR, FIG_SHARED = 400, 120, 60
 ORDER = ["page_", "line_", "y_", "ord"]
 
 
-def segment_exits(rows: DataFrame, group: list[str], solution_kinds: list[str], max_lines: int = MAX_LINES, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Cut each segment at its first line with an exit reason.
+def exit_reasons(rows: DataFrame, group: list[str], solution_kinds: list[str], max_lines: int = MAX_LINES, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Append ``reason``, why a segment would end before this line, if it would.
 
     ``rows``: group, idx, start (the head's idx), page, and the flags is_head_line
     (a section header), far, passive (figure, formula or empty), joined (a tight
     continuation), order_end, rider (belongs to the text even after its end), sub,
-    solution; kind of the head.  Returns group, start, end (exclusive), reason, n.
+    solution; kind of the head.
     """
     w = Window.partitionBy(*group, "start").orderBy("idx")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -80,11 +80,19 @@ def segment_exits(rows: DataFrame, group: list[str], solution_kinds: list[str],
         .when(plain & F.col("kind").isin(solution_kinds) & F.col("solution"), "풀이시작")
         .when(plain & F.col("seen"), "본문종료")
     )
-    r = r.withColumn("reason", reason)
+    return r.withColumn("reason", reason)
+
+
+def _cut(found: DataFrame, group: list[str], *more: Column) -> DataFrame:
+    """group, start, end (exclusive), reason of each segment, and ``more`` aggregates of its lines."""
     cut = F.min(F.when(F.col("reason").isNotNull(), F.struct("idx", "reason"))).alias("cut")
-    out = r.groupBy(*group, "start").agg(cut, F.max("idx").alias("last"))
-    end = F.coalesce(F.col("cut.idx"), F.col("last") + 1)
-    return out.select(*group, "start", end.alias("end"), F.coalesce("cut.reason", F.lit("다음문제")).alias("reason"))
+    out = found.groupBy(*group, "start").agg(cut, F.max("idx").alias("last"), *more)
+    return out.withColumns({"end": F.coalesce(F.col("cut.idx"), F.col("last") + 1), "reason": F.coalesce("cut.reason", F.lit("다음문제"))}).drop("cut", "last")
+
+
+def segment_exits(rows: DataFrame, group: list[str], solution_kinds: list[str], max_lines: int = MAX_LINES, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Cut each segment of ``rows`` (see ``exit_reasons``) at its first line with an exit reason: group, start, end (exclusive), reason."""
+    return _cut(exit_reasons(rows, group, solution_kinds, max_lines, max_pages), group).select(*group, "start", "end", "reason")
 
 
 def _is_image(t: Column) -> Column:
@@ -100,12 +108,21 @@ def marker_of(t: Column, font: Column) -> Column:
 
 
 def distinct_lines(rows: DataFrame, per_file: bool = False) -> DataFrame:
-    """Exact copies (type, text, place, page) go, the first in arrival order stays; without text all stay."""
-    key = ["type", "text", "region.top_left_y", "region.top_left_x", "page"] + (["file"] if per_file else [])
-    has = F.coalesce(F.col("text") != "", F.lit(False))
-    w = Window.partitionBy(*[F.col(k) for k in key]).orderBy("file", "ord")
-    firsts = rows.where(has).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return firsts.unionByName(rows.where(~has))
+    """Exact copies (type, text, place, page) go, the first in arrival order stays; without text all stay.  Dealt by file.
+
+    Lines meet the copies in other files as digests alone; where an earlier file
+    has one, a mark goes to the file, so that whole lines are shuffled once, by file.
+    """
+    place = {"_y": F.col("region.top_left_y"), "_x": F.col("region.top_left_x"), "_text": F.unhex(F.sha2("text", 256)), "_mark": F.lit(False)}
+    key = ["type", "_text", "_y", "_x", "page"]
+    r = rows.withColumns(place | {"_has": F.coalesce(F.col("text") != "", F.lit(False))})
+    both = r
+    if not per_file:
+        again = r.where("_has").select("file", *key).withColumn("_rank", F.rank().over(Window.partitionBy(*key).orderBy("file"))).where("_rank > 1")
+        both = r.unionByName(again.select("file", *key, F.lit(True).alias("_mark"), F.lit(True).alias("_has")), allowMissingColumns=True)
+    w = Window.partitionBy("file", "_has", *key).orderBy(F.desc("_mark"), "ord")
+    first = both.repartition("file").withColumn("_rn", F.row_number().over(w))
+    return first.where(~F.col("_has") | ((F.col("_rn") == 1) & ~F.col("_mark"))).drop("_rn", "_has", *place)
 
 
 def with_text(rows: DataFrame) -> DataFrame:
@@ -113,47 +130,61 @@ def with_text(rows: DataFrame) -> DataFrame:
     return rows.withColumn("t", first_text("text", "text_display"))
 
 
-def live_lines(rows: DataFrame) -> DataFrame:
-    """Of lines with t those that count, numbered in reading order within the file, with their flags."""
-    doc = rows.groupBy("file").agg(F.max("page_width").alias("doc_width"))
-    r = rows.join(doc, "file", "left")
-    review = r.where(F.col("t").rlike(REVIEW_CORNER)).select("file", "page").distinct().withColumn("is_review", F.lit(True))
+def flagged_lines(rows: DataFrame) -> DataFrame:
+    """Lines with t, which are ``gone`` or count; these are numbered in reading order within the file, with their flags."""
     wide = F.col("type").isin(*FIGURE_TYPES) & F.coalesce(F.col("region.width") > F.coalesce(F.nullif("page_width", F.lit(0.0)), "doc_width") * WIDE_SHARE, F.lit(False))
     drop = F.coalesce(F.col("type").isin(*DROP_TYPES), F.lit(False)) | F.col("conversion_output").eqNullSafe(False) | F.coalesce(wide, F.lit(False))
-    r = r.where(~drop).join(review, ["file", "page"], "left").withColumn("is_review", F.coalesce("is_review", F.lit(False)))
+    r = rows.withColumn("doc_width", F.max("page_width").over(Window.partitionBy("file")))
+    review = F.max(F.col("t").rlike(REVIEW_CORNER)).over(Window.partitionBy("file", "page"))
+    r = r.withColumn("is_review", F.coalesce(review & F.col("page").isNotNull(), F.lit(False))).withColumn("gone", drop)
     r = r.withColumns({"page_": F.coalesce("page", F.lit(0)), "line_": F.coalesce("line", F.lit(1_000_000)), "y_": F.coalesce("region.top_left_y", F.lit(0.0))})
-    r = ordered.numbered(r, ["file"], ORDER)
+    f, by = ["file", "gone"], ["idx"]
+    r = ordered.numbered(r, f, ORDER)
     corner = F.when((F.col("type") == "section_header") | F.col("t").rlike(INTRO_CORNER), F.col("t").rlike(INTRO_CORNER))
-    r = r.withColumn("in_corner", F.coalesce(ordered.carried(corner, ["file"], ["idx"]), F.lit(False)))
-    previous = lambda c: F.lag(c).over(ordered.order(["file"], ["idx"]))
+    r = r.withColumn("in_corner", F.coalesce(ordered.carried(corner, f, by), F.lit(False)))
+    previous = lambda c: F.lag(c).over(ordered.order(f, by))
     gap = F.when(previous(F.col("page")).eqNullSafe(F.col("page")), F.col("region.top_left_y") - previous(F.col("region.top_left_y") + F.coalesce("region.height", F.lit(0.0))))
     return r.withColumn("gap", gap)
 
 
-def candidates(rows: DataFrame, live: DataFrame) -> DataFrame:
-    """Lines (with m, see ``marker_of``) that may start a problem."""
-    parents = rows.where("id is not null").groupBy("file", F.col("id").alias("parent_id")).agg(F.max(F.struct("ord", "type", "t")).alias("p"))
-    f, by, t = ["file"], ["idx"], F.col("t")
-    window_text = ordered.ahead_text(t, 8, f, by)
-    c = live.withColumn("has_end", window_text.rlike(ORDER_END) | window_text.rlike(ORDER_END_ANY))
-    c = c.withColumn("after_intro", ordered.any_near(t.rlike(ACTIVITY_INTRO), 3, -1, f, by))
-    head = ordered.carried(F.when((F.col("type") == "section_header") & (t != ""), t), f, by, back=40, current=False)
-    c = c.withColumn("under_prep", F.coalesce(head.rlike(PREP_HEAD), F.lit(False)))
-    c = c.join(parents, ["file", "parent_id"], "left")
-    shell = F.col("p").isNull() | F.coalesce(F.col("p.type").isin(*CONTAINER_TYPES), F.lit(False)) | (F.col("p.t") == "")
+def live_lines(rows: DataFrame) -> DataFrame:
+    """Of lines with t those that count, numbered in reading order within the file, with their flags."""
+    return flagged_lines(rows).where(~F.col("gone")).drop("gone")
+
+
+def starts(lines: DataFrame) -> DataFrame:
+    """Append m (see ``marker_of``) and ``may_start``: whether a line may start a problem, its parent aside."""
+    f, by, t = ["file", "gone"], ["idx"], F.col("t")
+    c = lines.withColumn("m", F.when(~F.col("gone"), marker_of(t, F.col("font_size"))))
+    c = c.withColumn("_ahead", ordered.ahead_text(t, 8, f, by))
+    c = c.withColumn("_after_intro", ordered.any_near(t.rlike(ACTIVITY_INTRO), 3, -1, f, by))
+    c = c.withColumn("_head", ordered.carried(F.when((F.col("type") == "section_header") & (t != ""), t), f, by, back=40, current=False))
     weak_ok = (
         ~F.coalesce(F.col("subtype").isin(*CONTINUE_SUBTYPES), F.lit(False))
+        & ~F.col("_after_intro")
+        & ~F.col("is_review")
+        & ~F.col("in_corner")
         & (~t.rlike(FALSE_FOLLOW) | t.rlike(FALSE_FOLLOW_KEEP))
         & ~t.rlike(CONCEPT_HEAD)
         & ~t.rlike(SOLUTION_BIT)
-        & F.col("has_end")
-        & ~F.col("after_intro")
-        & ~F.col("is_review")
-        & ~F.col("in_corner")
-        & ~F.col("under_prep")
+        & (F.col("_ahead").rlike(ORDER_END) | F.col("_ahead").rlike(ORDER_END_ANY))
+        & ~F.coalesce(F.col("_head").rlike(PREP_HEAD), F.lit(False))
     )
-    ok = (F.nullif("parent_id", F.lit("")).isNull() | shell) & F.col("type").isin(*BODY_TYPES) & F.col("m").isNotNull() & (~F.col("m.name").isin(*WEAK_START) | weak_ok)
-    return c.where(ok).select("file", "idx", "page", F.col("region.top_left_x").alias("x"), F.col("font_size").alias("font"), F.col("m.name").alias("name"), F.col("m.raw").alias("raw"), F.col("m.kind").alias("kind"))
+    ok = F.col("m").isNotNull() & F.col("type").isin(*BODY_TYPES) & (~F.col("m.name").isin(*WEAK_START) | weak_ok)
+    return c.withColumn("may_start", F.coalesce(ok, F.lit(False))).drop("_ahead", "_after_intro", "_head")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """Of lines with ``may_start`` (see ``starts``) those that may start a problem under their parent."""
+    c = rows.where(F.col("may_start") & ~F.col("gone"))
+    child = F.nullif("parent_id", F.lit("")).isNotNull()
+    wanted = c.where(child).select("file", F.col("parent_id").alias("id")).distinct()
+    named = rows.select("file", "id", "ord", "type", (F.col("t") != "").alias("has_text")).join(wanted, ["file", "id"], "left_semi")
+    parents = named.groupBy("file", F.col("id").alias("parent_id")).agg(F.max(F.struct("ord", "type", "has_text")).alias("p"))
+    fields = ["file", "idx", "page", F.col("region.top_left_x").alias("x"), F.col("font_size").alias("font"), F.col("m.name").alias("name"), F.col("m.raw").alias("raw"), F.col("m.kind").alias("kind")]
+    shell = F.col("p").isNull() | F.coalesce(F.col("p.type").isin(*CONTAINER_TYPES), F.lit(False)) | ~F.col("p.has_text")
+    under = c.where(child).select(*fields, "parent_id").join(parents, ["file", "parent_id"], "left").where(shell).drop("parent_id", "p")
+    return c.where(~child).select(*fields).unionByName(under)
 
 
 def in_bands(cands: DataFrame) -> DataFrame:
@@ -193,25 +224,31 @@ def unmarked(live: DataFrame, kept: DataFrame, threshold: DataFrame) -> DataFram
 def extract(rows: DataFrame, per_file_dedup: bool = False, with_unmarked: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(problems, lines of problems, figures of problems).
 
+    Whole lines are shuffled by file twice and written once: for their flags, and
+    when problems take theirs; what lies between reads columns without texts.
     Tables that several steps use are written to the shared folder, which also
     keeps plans small and lets later steps outlive lost executors.
     """
-    rows = written(with_text(distinct_lines(rows, per_file_dedup)), "rows")
-    live = live_lines(rows)
-    live = written(live.withColumn("m", marker_of(F.col("t"), F.col("font_size"))), "live")
-    kept = written(in_bands(candidates(rows, live)), "kept")
+    used = ["file", "page", "idx", "gone", "ord", "id", "parent_id", "type", "subtype", "t", "region", "y_", "font_size", "in_corner", "gap", "m", "may_start"]
+    rows = written(starts(flagged_lines(distinct_lines(with_text(rows), per_file_dedup))).select(*used), "rows")
+    live = rows.where(~F.col("gone"))
+    kept = written(in_bands(candidates(rows)), "kept")
     threshold = ordered.learned_gap(live, ["file"], "gap", GAP_LOW, GAP_HIGH, GAP_FACTOR, GAP_LEAST)
     if with_unmarked:
         kept = written(kept.unionByName(unmarked(live, kept, threshold)), "kept")
-    kept = written(kept.join(matching.repaired(kept, "file", heir="문제"), ["file", "idx"]), "kept")
-    heads = kept.select("file", "idx", F.col("idx").alias("head_idx"), "kind")
+    kept = written(kept.join(matching.repaired(kept, "file", heir="문제"), ["file", "idx"]).join(threshold, "file", "left"), "kept")
+    # each head stands before its line, and every line carries the last one
+    fields = [c for c in kept.columns if c not in ("file", "idx", "threshold")]
+    heads = kept.select("file", "idx", F.struct(F.col("idx").alias("start"), "threshold", *fields).alias("_head"))
     t = F.col("t")
-    seg = live.join(heads, ["file", "idx"], "left").join(threshold, "file", "left")
-    seg = seg.withColumn("start", ordered.carried(F.col("head_idx"), ["file"], ["idx"])).where("start is not null")
+    seg = live.select("file", "idx", "page", "type", "subtype", "t", "gap", F.col("region.top_left_y").alias("y"), F.lit(True).alias("_line"))
+    seg = seg.unionByName(heads, allowMissingColumns=True).repartition("file")
+    seg = seg.withColumn("_head", ordered.carried(F.col("_head"), ["file"], ["idx", F.col("_line").asc_nulls_first()])).where("_line and _head is not null")
     flags = {
-        "kind": F.first("kind").over(Window.partitionBy("file", "start").orderBy("idx")),
+        "start": F.col("_head.start"),
+        "kind": F.col("_head.kind"),
         "is_head_line": F.coalesce(F.col("type") == "section_header", F.lit(False)),
-        "far": F.coalesce(F.col("gap") > F.col("threshold"), F.lit(False)),
+        "far": F.coalesce(F.col("gap") > F.col("_head.threshold"), F.lit(False)),
         "passive": F.coalesce(F.col("type").isin(*FIGURE_TYPES, "math"), F.lit(False)) | t.startswith("\\[") | t.startswith("$$") | (t == ""),
         "joined": F.coalesce(F.col("subtype").isin(*CONTINUE_SUBTYPES), F.lit(False)),
         "order_end": t.rlike(ORDER_END),
@@ -219,20 +256,22 @@ def extract(rows: DataFrame, per_file_dedup: bool = False, with_unmarked: bool =
         "sub": t.rlike(SUB_ITEM),
         "solution": t.rlike(SOLUTION),
     }
-    seg = seg.withColumns(flags)
-    seg = written(seg, "segments")
-    cut = written(segment_exits(seg, ["file"], ["예제", "유제"]), "ends")
-    last_file = live.agg(F.max("file")).scalar()
-    body = seg.join(cut, ["file", "start"]).where(F.col("idx") < F.col("end"))
+    found = exit_reasons(seg.withColumns(flags), ["file"], ["예제", "유제"])
     is_fig = F.col("type").isin(*FIGURE_TYPES)
-    lines = body.select("file", "start", "idx", "page", "t", "type", F.col("region.top_left_y").alias("y"), F.coalesce(is_fig, F.lit(False)).alias("is_fig"))
-    lines = written(lines, "lines")
-
-    texts = F.transform(F.sort_array(F.collect_list(F.struct("idx", "t"))), lambda x: x["t"])
-    whole = lines.groupBy("file", "start").agg(
-        texts.alias("texts"), F.count("*").alias("lines"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.sort_array(F.collect_list(F.when(F.col("is_fig"), F.col("idx")))).alias("figs")
+    ended = F.max(F.col("reason").isNotNull()).over(Window.partitionBy("file", "start").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))
+    own = F.when(~F.col("_ended"), F.struct("idx", "page", "t", "type", "y", F.coalesce(is_fig, F.lit(False)).alias("is_fig")))
+    p = _cut(found.withColumn("_ended", ended), ["file"], F.first("_head").alias("_head"), F.sort_array(F.collect_list(own)).alias("rows"))
+    p = p.select("file", "start", *[F.col("_head")[c].alias(c) for c in fields], "end", "reason", "rows")
+    p = p.withColumns(
+        {
+            "texts": F.transform("rows", lambda x: x["t"]),
+            "lines": F.size("rows").cast("long"),
+            "y0": F.array_min(F.transform("rows", lambda x: x["y"])),
+            "y1": F.array_max(F.transform("rows", lambda x: x["y"])),
+            "figs": F.transform(F.filter("rows", lambda x: x["is_fig"]), lambda x: x["idx"]),
+        }
     )
-    p = kept.withColumnRenamed("idx", "start").join(cut, ["file", "start"]).join(whole, ["file", "start"])
+    last_file = live.agg(F.max("file")).scalar()
     ended = F.when((F.col("reason") == "다음문제") & (F.col("file") != last_file) & (F.lead("start").over(ordered.order(["file"], ["start"])).isNull()), "파일경계").otherwise(F.col("reason"))
     p = p.withColumn("reason", ended)
     body_text = F.regexp_replace(F.array_join("texts", ""), r"!\[[^\]]*\]\([^)]{0,300}\)|https?://\S+", "")
@@ -240,7 +279,7 @@ def extract(rows: DataFrame, per_file_dedup: bool = False, with_unmarked: bool =
     weakish = F.col("name").isin(*WEAK_START, "두자리")
     p = p.where(~weakish | (~first.rlike(r"(?U)^\s*풀이\s*[(（]") & body_text.rlike(STRONG_END)))
     p = p.withColumn("mentions", F.array_join("texts", " ").rlike(FIGURE_REF)).withColumn("head", F.substring(F.element_at("texts", 1), 1, 90))
-    p = written(p, "problems")
+    p = written(p.drop("texts"), "problems")
 
     figs = live.where(is_fig & F.col("y_").isNotNull() & F.col("region.top_left_y").isNotNull()).select(
         "file", "page", F.col("idx").alias("fig"), F.col("region.top_left_y").alias("fy"), F.coalesce("region.height", F.lit(0.0)).alias("fh")
@@ -261,10 +300,10 @@ def extract(rows: DataFrame, per_file_dedup: bool = False, with_unmarked: bool =
     guesses = one.unionByName(rest)
     guessed = guesses.groupBy("file", "start").agg(F.sort_array(F.collect_list("fig")).alias("figs_guess"))
     problems = p.join(guessed, ["file", "start"], "left").withColumn("figs_guess", F.coalesce("figs_guess", F.array().cast("array<bigint>")))
-    problems = problems.withColumn("text", F.array_join("texts", "\n"))
-    bridge = lines.join(problems.select("file", "start"), ["file", "start"], "left_semi")
+    problems = problems.withColumn("text", F.array_join(F.transform("rows", lambda x: x["t"]), "\n"))
+    bridge = p.select("file", "start", F.inline("rows"))
     shown = owned.withColumn("how", F.lit("body")).unionByName(guesses.withColumn("how", F.lit("near")))
-    return problems.drop("y0", "y1", "texts"), bridge, shown
+    return problems.drop("y0", "y1", "rows"), bridge, shown
 
 
 def orphan_figures(rows: DataFrame, shown: DataFrame) -> DataFrame:
