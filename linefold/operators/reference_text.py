@@ -9,12 +9,14 @@ file, each a book of bounded size.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linefold.functions.text import mask_digits, scrub, strip
+from linefold.functions.text import mask_digits, strip
 from linefold.operators import matching, ordered
 
 # Patterns of page texts.
@@ -34,9 +36,10 @@ BLOCK_LABELS = ["기초 문제", "기본 문제", "심화 문제", "서술형",
 # What is taken off the end of a problem, in order.
 TAIL_BEFORE = [(r"(?U)\s*\d+-\d+-\d+\.\s*[^\d]{0,30}$", ""), (r"(?U)\s*[가-힣][^\d|]{0,28}?\d+-\d+-\d+\.\s*$", "")]
 TAIL_LABELS = [(r"(?U)\s*\[?\Q" + x + r"\E\]?\s*$", "") for x in BLOCK_LABELS]
+PUBLISHERS = ["비상", "미래엔", "천재", "동아", "지학사", "금성", "신사고", "좋은책신사고", "교학사", "능률", "YBM"]
 TAIL_AFTER = [
     (r"(?U)\s*\[[가-힣A-Za-z·+ ]{2,14}\]\s*$", ""),
-    (r"(?U)\s*(비상|미래엔|천재|동아|지학사|금성|신사고|좋은책신사고|교학사|능률|YBM)\s*(수학|미적분|확률과 ?통계|기하)?\s*[0-9ⅠⅡIＩ]{0,2}\s*$", ""),
+    (r"(?U)\s*(" + "|".join(PUBLISHERS) + r")\s*(수학|미적분|확률과 ?통계|기하)?\s*[0-9ⅠⅡIＩ]{0,2}\s*$", ""),
 ]
 TABLE_TAIL = r"(?U)(?<=[.．])\s*[가-힣 -]*합계[가-힣 -]*$"
 TAIL_LAST = [(r"(?U)(?<=[.．])\s*[가-힣 ]{0,20}※.*$", ""), (r"(?U)(?<=[시라자다까오][.．])\s*[가-힣 ]{2,14}$", ""), (r"(?U)\s*[가-힣 ]{0,8}내신대비.*$", "")]
@@ -109,11 +112,28 @@ def is_title(line):
     return F.length(line).between(2, 24) & ~line.rlike(r"\d") & line.rlike("[가-힣]") & ~line.rlike(TITLE_TAIL) & ~line.rlike("[.．。?？!！,，]$")
 
 
+def _one_of(t, words):
+    return reduce(or_, [F.contains(t, F.lit(w)) for w in words])
+
+
+def _tail_steps() -> list[tuple]:
+    """Patterns of the clean-up in order, each with a test for what every match holds: plain words, found far faster than a pattern fails."""
+    sections = [(p, lambda t: F.contains(t, F.lit("-")) & t.rlike(r"(?U)\d-\d")) for p, _ in TAIL_BEFORE]
+    labels = [(p, lambda t, x=x: F.contains(t, F.lit(x))) for (p, _), x in zip(TAIL_LABELS, BLOCK_LABELS)]
+    # a bracket ends the text; a publisher stands among its last characters or before blanks and digits
+    after = [(TAIL_AFTER[0][0], lambda t: F.rtrim(t).endswith("]")), (TAIL_AFTER[1][0], lambda t: _one_of(t, PUBLISHERS))]
+    table = [(TABLE_TAIL, lambda t: F.contains(F.right(t, F.lit(60)), F.lit("합계")))]
+    last = [(TAIL_LAST[0][0], lambda t: F.contains(t, F.lit("※"))), (TAIL_LAST[1][0], lambda t: _one_of(t, ".．") & F.right(t, F.lit(1)).rlike("[가-힣 ]")), (TAIL_LAST[2][0], lambda t: F.contains(t, F.lit("내신대비")))]
+    return sections + labels + after + table + last
+
+
 def clean_tail(text):
-    t = strip(F.regexp_replace(text, r"(?U)\s+", " "))
-    t = scrub(t, TAIL_BEFORE + TAIL_LABELS + TAIL_AFTER)
-    t = F.when(F.contains(F.right(t, F.lit(60)), F.lit("합계")), F.regexp_replace(t, TABLE_TAIL, "")).otherwise(t)
-    return scrub(t, TAIL_LAST)
+    # only runs that are not one plain blank change
+    t = F.trim(F.regexp_replace(text, r"(?U) \s+|[\s&&[^ ]]\s*", " "))
+    held = F.array(t)  # a lambda's argument is computed once, however often a step names it
+    for pattern, can in _tail_steps():
+        held = F.transform(held, lambda x: F.when(can(x), F.regexp_replace(x, pattern, "")).otherwise(x))  # noqa: B023
+    return F.get(held, F.lit(0))
 
 
 def label_in(tail):
