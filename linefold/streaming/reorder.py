@@ -1,9 +1,16 @@
 """Keyed state with timers: rows that arrive in any order are handled in the order of their time.
 
-A row waits in its key's list state until the watermark has passed its time; a
-timer at the earliest waiting row wakes the key.  So a key holds the rows of the
-allowed lateness and what its fold remembers, never its history.  Rows later
-than the watermark are dropped by Spark and counted (``late_rows``).
+Keys are dealt by hash into buckets, and a bucket is one key of Spark's state: a
+call to the worker, its reads and its writes serve all keys of the bucket that
+have rows, so their number grows with the buckets, not with keys or rows.  A
+bucket's rows wait in its list state, in packed chunks, until the watermark has
+passed their time; one timer at the earliest thing to do wakes the bucket.  So a
+key holds the rows of the allowed lateness and what its fold remembers, never its
+history.  Rows later than the watermark are dropped by Spark and counted
+(``late_rows``).  A row without a time has no place in the order and takes no part.
+
+A bucket is held whole by a worker (a row in 35 bytes or less): a feed with more
+rows within its lateness takes more ``buckets``.  A checkpoint keeps its number.
 
 Timers are in milliseconds: a row is released when its millisecond lies before
 the watermark.  Rows of one millisecond come in the order of time and id.
@@ -13,13 +20,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BUCKETS = 2048
+#: Rows of one entry of a bucket's list.
+CHUNK = 65_536
+#: A key as it is kept: whether it is null, and its number.
+KEY = [("none", "?"), ("user", "i8")]
+#: Stands for a null id, behind all others of its time.
+NO_ID = 2**63 - 1
 
 
 def with_timers(spark: SparkSession) -> None:
@@ -28,146 +43,196 @@ def with_timers(spark: SparkSession) -> None:
         spark.conf.set(STORE, ROCKS)
 
 
+def joined(kind: np.dtype, *parts: dict | np.ndarray) -> np.ndarray:
+    """Records of ``kind`` from arrays or dicts of columns, one after the other; a column that a part lacks is 0."""
+    sizes = [len(p["user"]) for p in parts]
+    out, at = np.zeros(sum(sizes), kind), 0
+    for p, n in zip(parts, sizes):
+        for name in p if isinstance(p, dict) else p.dtype.names:
+            out[name][at : at + n] = p[name]
+        at += n
+    return out
+
+
+def by_key(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Records with each key's together, otherwise as they come, and whether a record is of the same key as the one before."""
+    r = records[np.lexsort((records["user"], records["none"]))]
+    same = np.zeros(len(r), bool)
+    same[1:] = (r["user"][1:] == r["user"][:-1]) & (r["none"][1:] == r["none"][:-1])
+    return r, same
+
+
+def longs(values: np.ndarray, null: np.ndarray) -> pd.Series:
+    return pd.Series(pd.arrays.IntegerArray(values.copy(), null.copy()))
+
+
 class Reordered(StatefulProcessor):
-    """Buffers the rows of a key (us, event_id and ``columns``) and hands them on in order.
+    """Buffers the rows of a bucket and hands them on in order.
 
-    A subclass says with ``memory`` what it remembers, folds a row with ``take``,
-    and may be woken at a time of its own (``wakes`` and ``wake``).
+    A subclass names with ``columns`` what a row holds beside key, us and event_id,
+    and with ``memory`` what is remembered of a key; ``fold`` takes the rows that
+    are released, of all keys of the bucket.
     """
 
-    columns = ""
-    memory = ""
+    columns: list[tuple[str, str]] = []
+    memory: list[tuple[str, str]] = []
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", f"us long, event_id long, {self.columns}")
-        self.known = handle.getValueState("known", self.memory)
+        self.row = np.dtype([*KEY, ("us", "i8"), ("event_id", "i8"), *self.columns])
+        self.kept = np.dtype([*KEY, *self.memory])
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.known = handle.getValueState("known", "memory binary, timer long")
 
-    def take(self, memory: tuple | None, row: tuple) -> tuple[tuple | None, list]:
+    def fold(self, memory: np.ndarray, rows: np.ndarray, now: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """What is remembered after ``rows`` (in the order of time) at the watermark ``now``, and what comes out."""
         raise NotImplementedError
 
-    def wakes(self, memory: tuple | None) -> int | None:
-        """The millisecond after which the key is woken although no row came."""
+    def wakes(self, memory: np.ndarray) -> np.ndarray:
+        """The milliseconds after which the bucket is woken although no row came."""
+        return np.empty(0, "i8")
 
-    def wake(self, memory: tuple) -> tuple[tuple | None, list]:
-        raise NotImplementedError
-
-    def results(self, key, out: list, memory: tuple | None, waiting: list) -> Iterator[pd.DataFrame]:
+    def results(self, out: np.ndarray | None, memory: np.ndarray, waiting: np.ndarray, fresh: np.ndarray) -> Iterator[pd.DataFrame]:
         raise NotImplementedError
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues):
-        fresh = [t for f in rows for t in f.drop(columns=f.columns[0]).itertuples(index=False, name=None)]
-        yield from self._go(key, timerValues, [tuple(getattr(v, "item", lambda v=v: v)() for v in t) for t in fresh])
+        # the first column is the bucket, the last the time as Spark's watermark needs it
+        parts = [joined(self.row, {name: f.iloc[:, 1 + i].to_numpy() for i, name in enumerate(self.row.names)}) for f in rows]
+        yield from self._go(timerValues, np.concatenate(parts), False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self._go(key, timerValues, [])
+        yield from self._go(timerValues, np.empty(0, self.row), True)
 
-    def _go(self, key, timers, fresh: list) -> Iterator[pd.DataFrame]:
+    def _go(self, timers, fresh: np.ndarray, expired: bool) -> Iterator[pd.DataFrame]:
         now = timers.getCurrentWatermarkInMs()
-        rows = sorted([*map(tuple, self.waiting.get()), *fresh])
-        memory = tuple(self.known.get()) if self.known.exists() else None
-        n = next((i for i, r in enumerate(rows) if r[0] // 1000 >= now), len(rows))
-        out = []
-        for row in rows[:n]:
-            memory, made = self.take(memory, row)
-            out += made
-        while (at := self.wakes(memory)) is not None and at < now:
-            memory, made = self.wake(memory)
-            out += made
+        packed, timer = self.known.get() or (b"", None)
+        old = [np.frombuffer(chunk, self.row) for (chunk,) in self.waiting.get()] if packed or timer is not None else []
+        rows = np.concatenate([*old, fresh])
+        rows = rows[np.lexsort((rows["event_id"], rows["us"]))]
+        n = int(np.searchsorted(rows["us"] // 1000, now))
+        memory, out = self.fold(np.frombuffer(packed, self.kept), rows[:n], now)
         rest = rows[n:]
-        if rest:
-            self.waiting.put(rest)
-        else:
+        if len(rest) and (n or not expired):
+            self.waiting.put([(rest[i : i + CHUNK].tobytes(),) for i in range(0, len(rest), CHUNK)])
+        elif old and not len(rest):
             self.waiting.clear()
-        if memory is None:
-            self.known.clear()
-        else:
-            self.known.update(memory)
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        due = [t for t in (rest[0][0] // 1000 if rest else None, self.wakes(memory)) if t is not None]
-        if due:
-            self.handle.registerTimer(min(due))
-        yield from self.results(key, out, memory, rest)
-
-
-def keyed(events: DataFrame, key: str, columns: list[str], lateness: str, processor: Reordered, schema: str, mode: str) -> DataFrame:
+        due = [*(rest["us"][:1] // 1000).tolist(), *self.wakes(memory).tolist()]
+        due = min(due) if due else None
+        if due != timer or expired:
+            if timer is not None and not expired:  # one that has expired is removed by Spark
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.known.update((memory.tobytes(), due))
+        yield from self.results(out, memory, rest, fresh)
+
+
+def keyed(events: DataFrame, key: str, columns: list[Column], lateness: str, processor: Reordered, schema: str, mode: str, buckets: int | None) -> DataFrame:
+    """``processor`` over ``events`` by ``key``; ``columns`` in the order of the processor's."""
     with_timers(events.sparkSession)
     at = F.col("ts").cast("timestamp")
-    rows = events.withColumn("at", at).withWatermark("at", lateness).select(key, F.unix_micros("at").alias("us"), "event_id", *columns, "at")
-    return rows.groupBy(key).transformWithStateInPandas(processor, schema, mode, "EventTime")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets or BUCKETS)).cast("int").alias("bucket")
+    kept = [F.col(key).isNull().alias("none"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("user")]
+    rows = events.withColumn("at", at).withWatermark("at", lateness).where("at IS NOT NULL")
+    rows = rows.select(bucket, *kept, F.unix_micros("at").alias("us"), F.coalesce("event_id", F.lit(NO_ID)).alias("event_id"), *columns, "at")
+    return rows.groupBy("bucket").transformWithStateInPandas(processor, schema, mode, "EventTime")
 
 
 class Jobs(Reordered):
     """A key's rows from one terminal kind to the next are a job; it is closed by such a row, or by silence.
 
-    States: done, failed, or timed_out, if more than ``timeout_ms`` pass after the
-    job's last row.  A row after that opens a new job.
+    ``states`` are those of the terminal kinds, which a row's ``end`` numbers from
+    1; timed_out, if more than ``timeout_ms`` pass after the job's last row.  A row
+    after that opens a new job.  Of a key its newest job is remembered, without
+    rows (n = 0) if that is closed.
     """
 
-    columns = "event_type string"
-    memory = "number long, first_id long, last_id long, last_us long, n long"
-
-    def __init__(self, ends: dict[str, str], timeout_ms: int):
-        self.ends, self.timeout_ms = ends, timeout_ms
-
-    def _closed(self, memory: tuple, state: str) -> tuple[tuple, list]:
-        number, first, last, us, n = memory
-        # what stays is the number alone: the next row opens the next job
-        return (number + 1, None, None, None, 0), [(number, first, last, n, state, us)]
-
-    def take(self, memory, row):
-        us, event_id, kind = row[:3]
-        out = []
-        if memory and memory[4] and us // 1000 - memory[3] // 1000 > self.timeout_ms:
-            memory, out = self.wake(memory)
-        number, first, _, _, n = memory or (1, None, None, None, 0)
-        memory = (number, first if n else event_id, event_id, us, n + 1)
-        if kind in self.ends:
-            memory, made = self._closed(memory, self.ends[kind])
-            out += made
-        return memory, out
+    columns = [("end", "i2")]
+    memory = [("number", "i8"), ("first_id", "i8"), ("last_id", "i8"), ("last_us", "i8"), ("n", "i8")]
+    record = np.dtype([*KEY, *memory, *columns])
+
+    def __init__(self, states: list[str], timeout_ms: int):
+        self.states, self.timeout_ms = np.array([*states, "timed_out"], object), timeout_ms
+
+    def fold(self, memory, rows, now):
+        # every row as a job of its own, behind the jobs that are remembered
+        ones = {x: rows[x] for x in ("none", "user", "end")} | {x: rows["event_id"] for x in ("first_id", "last_id")} | {"last_us": rows["us"], "number": 1, "n": 1}
+        r, same = by_key(joined(self.record, memory, ones))
+        ms = r["last_us"] // 1000
+        starts = ~same
+        starts[1:] |= (r["end"][:-1] > 0) | (r["n"][:-1] == 0) | (ms[1:] - ms[:-1] > self.timeout_ms)
+        first = np.flatnonzero(starts)
+        last = np.append(first[1:], len(r))[: len(first)] - 1
+        jobs = r[last]
+        jobs["first_id"] = r["first_id"][first]
+        jobs["n"] = np.add.reduceat(r["n"], first) if len(first) else 0
+        # numbers go up from that of the key's first record
+        opens = ~same[first]
+        place = np.arange(len(first))
+        began = np.maximum.accumulate(np.where(opens, place, 0))
+        jobs["number"] = r["number"][first][began] + place - began
+        newest = np.append(opens[1:], True)[: len(first)]
+        silent = jobs["last_us"] // 1000 + self.timeout_ms < now
+        closed = (jobs["n"] > 0) & ((jobs["end"] > 0) | ~newest | silent)
+        out = jobs[closed]
+        jobs["n"][closed] = 0
+        return jobs[newest][list(self.kept.names)].astype(self.kept), out
 
     def wakes(self, memory):
-        return memory[3] // 1000 + self.timeout_ms if memory and memory[4] else None
-
-    def wake(self, memory):
-        return self._closed(memory, "timed_out")
+        return memory["last_us"][memory["n"] > 0] // 1000 + self.timeout_ms
 
-    def results(self, key, out, memory, waiting):
-        if out:
-            names = ["job", "first_id", "last_id", "n", "state", "last_us"]
-            yield pd.DataFrame(out, columns=names).assign(user_id=key[0])[["user_id", *names]]
+    def results(self, out, memory, waiting, fresh):
+        if len(out):
+            ids = {x: longs(out[x], out[x] == NO_ID) for x in ("first_id", "last_id")}
+            state = self.states[out["end"] - 1]  # 0, no end, is the last
+            yield pd.DataFrame({"user_id": longs(out["user"], out["none"]), "job": out["number"], **ids, "n": out["n"], "state": state, "last_us": out["last_us"]})
 
 
-def jobs(events: DataFrame, ends: dict[str, str], timeout_ms: int, lateness: str) -> DataFrame:
+def jobs(events: DataFrame, ends: dict[str, str], timeout_ms: int, lateness: str, buckets: int | None = None) -> DataFrame:
     """user_id, job (from 1), first_id, last_id, n, state, last_us of each job that has come to an end, as a stream."""
     schema = "user_id long, job long, first_id long, last_id long, n long, state string, last_us long"
-    return keyed(events, "user_id", ["event_type"], lateness, Jobs(ends, timeout_ms), schema, "append")
+    end = F.lit(0)
+    for i, kind in enumerate(ends, 1):
+        end = F.when(F.col("event_type") == kind, i).otherwise(end)
+    return keyed(events, "user_id", [end.cast("short").alias("end")], lateness, Jobs(list(ends.values()), timeout_ms), schema, "append", buckets)
 
 
 class Falls(Reordered):
-    """How often a key's value falls; rows that still wait are counted where they stand now."""
-
-    columns = "value double"
-    memory = "falls long, value double"
-
-    def take(self, memory, row):
-        falls, last = memory or (0, None)
-        return (falls + (last is not None and row[2] < last), row[2]), []
-
-    def results(self, key, out, memory, waiting):
-        for row in waiting:
-            memory, _ = self.take(memory, row)
-        yield pd.DataFrame({"user_id": [key[0]], "inversions": [memory[0]]})
+    """How often a key's value falls; rows that still wait are counted where they stand now.
 
+    NaN is above all numbers; beside a null nothing falls.
+    """
 
-def falls(events: DataFrame, lateness: str) -> DataFrame:
+    columns = [("value", "f8"), ("unset", "?")]
+    memory = [("falls", "i8"), *columns]
+
+    def fold(self, memory, rows, now):
+        if not len(rows):
+            return memory, None
+        r, same = by_key(joined(self.kept, memory, {x: rows[x] for x in ("none", "user", "value", "unset")}))
+        value, before = r["value"][1:], r["value"][:-1]
+        less = (value < before) | (np.isnan(before) & ~np.isnan(value))
+        fell = np.zeros(len(r), "i8")
+        fell[1:] = same[1:] & less & ~r["unset"][1:] & ~r["unset"][:-1]
+        first = np.flatnonzero(~same)
+        new = r[np.append(first[1:], len(r)) - 1]
+        new["falls"] = np.add.reduceat(r["falls"] + fell, first)
+        return new, None
+
+    def results(self, out, memory, waiting, fresh):
+        if len(fresh):  # a timer changes no count
+            stand, _ = self.fold(memory, waiting, 0)
+            stand = stand[np.isin(stand["user"], fresh["user"])]
+            yield pd.DataFrame({"user_id": longs(stand["user"], stand["none"]), "inversions": stand["falls"]})
+
+
+def falls(events: DataFrame, lateness: str, buckets: int | None = None) -> DataFrame:
     """user_id, inversions so far, in the order of time; a key's state holds the rows of the lateness, a count and a value."""
-    return keyed(events, "user_id", ["value"], lateness, Falls(), "user_id long, inversions long", "update")
+    value = [F.coalesce("value", F.lit(0.0)).alias("value"), F.col("value").isNull().alias("unset")]
+    return keyed(events, "user_id", value, lateness, Falls(), "user_id long, inversions long", "update", buckets)
 
 
 def late_rows(query) -> int:
