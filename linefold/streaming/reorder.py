@@ -31,6 +31,8 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 BUCKETS = 2048
 #: Rows of one entry of a bucket's list.
 CHUNK = 65_536
+#: A list of so many entries is written anew as full ones.
+ENTRIES = 64
 #: A key as it is kept: whether it is null, and its number.
 KEY = [("none", "?"), ("user", "i8")]
 #: Stands for a null id, behind all others of its time.
@@ -54,6 +56,10 @@ def joined(kind: np.dtype, *parts: dict | np.ndarray) -> np.ndarray:
     return out
 
 
+def chunks(rows: np.ndarray) -> list[tuple[bytes]]:
+    return [(rows[i : i + CHUNK].tobytes(),) for i in range(0, len(rows), CHUNK)]
+
+
 def by_key(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Records with each key's together, otherwise as they come, and whether a record is of the same key as the one before."""
     r = records[np.lexsort((records["user"], records["none"]))]
@@ -115,9 +121,12 @@ class Reordered(StatefulProcessor):
         n = int(np.searchsorted(rows["us"] // 1000, now))
         memory, out = self.fold(np.frombuffer(packed, self.kept), rows[:n], now)
         rest = rows[n:]
-        if len(rest) and (n or not expired):
-            self.waiting.put([(rest[i : i + CHUNK].tobytes(),) for i in range(0, len(rest), CHUNK)])
-        elif old and not len(rest):
+        if not n and len(old) < ENTRIES:  # none is released: the fresh rows go behind the others, which are not written again
+            if len(fresh):
+                self.waiting.appendList(chunks(fresh))
+        elif len(rest):
+            self.waiting.put(chunks(rest))
+        elif old:
             self.waiting.clear()
         due = [*(rest["us"][:1] // 1000).tolist(), *self.wakes(memory).tolist()]
         due = min(due) if due else None
