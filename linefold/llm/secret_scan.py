@@ -199,10 +199,17 @@ def _probability(net: Net, logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(net.scale[0] * logit + net.scale[1], -30, 30)))
 
 
+#: Windows that are convolved at a time; one takes some 50 kB meanwhile.
+AT_A_TIME = 512
+
+
+def _logits(net: Net, codes: np.ndarray) -> np.ndarray:
+    return np.concatenate([_forward(net, codes[i : i + AT_A_TIME])[-1] for i in range(0, len(codes), AT_A_TIME)]) if len(codes) else np.zeros(0)
+
+
 def score(net: Net, codes: np.ndarray) -> np.ndarray:
     """Calibrated probabilities."""
-    logit = np.concatenate([_forward(net, codes[i : i + 512])[-1] for i in range(0, len(codes), 512)]) if len(codes) else np.zeros(0)
-    return _probability(net, logit)
+    return _probability(net, _logits(net, codes))
 
 
 #: Positions that are convolved at a time, so that they stay in the cache.
@@ -285,12 +292,12 @@ def train(codes: np.ndarray, y: np.ndarray, seed: int = 7) -> Net | None:
                 v[k] = 0.999 * v[k] + 0.001 * grad[k] ** 2
                 setattr(net, k, getattr(net, k) - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8))
             net.out_bias -= 5 * rate * float(d.sum())
-    logit = _forward(net, codes[val])[-1]
+    logit = _logits(net, codes[val])
     net.scale = _platt(logit, y[val])
     got = _probability(net, logit)
     own = np.sort(got[y[val] == 1])
     net.threshold = float(own[int((1 - RECALL) * len(own))]) - 1e-6  # the order of sums may differ when texts are scanned
-    above = _probability(net, _forward(net, codes[last])[-1]) >= net.threshold
+    above = score(net, codes[last]) >= net.threshold
     net.recall = float(above[y[last] == 1].mean()) if (y[last] == 1).any() else 0.0
     net.precision = float(y[last][above].mean()) if above.any() else 0.0
     return net
@@ -417,7 +424,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
         got = reduce(DataFrame.union, first).collect()  # one query, so that the first of all partitions are picked before they are sent
     finally:
         runs.unpersist()
-    codes = np.array([list(r["codes"]) for r in got], np.int64).reshape(-1, WIDTH)
+    codes = np.frombuffer(b"".join(r["codes"] for r in got), np.uint8).reshape(-1, WIDTH)
     y = np.array([r["y"] in (2, 4) for r in got], np.int64)
     order = np.argsort([hashlib.md5(bytes(r["codes"])).digest() for r in got], kind="stable") if got else []
     return train(codes[order], y[order]) if len(got) else None

@@ -1,4 +1,6 @@
-"""Threshold, candidates and windows of the secret network."""
+"""Threshold, candidates and windows of the secret network, and the memory that its training takes."""
+
+import tracemalloc
 
 import numpy as np
 
@@ -45,3 +47,17 @@ def test_threshold_keeps_the_recall_without_a_floor():
     val = order[::5]
     p = S.score(got, codes[val])
     assert got.threshold < 0.9 and (p[y[val]] >= got.threshold).mean() >= S.RECALL
+
+
+def test_training_on_a_full_sample_takes_little_of_the_drivers_memory(monkeypatch):
+    monkeypatch.setattr(S, "EPOCHS", 1)
+    y = np.arange(6 * S.MAX_TRAIN_RUNS) % 3 == 0
+    codes = np.random.default_rng(2).integers(1, S.PAD, (len(y), S.WIDTH)).astype(np.uint8)
+    codes[y, 30:40] = S._code("Z")
+    tracemalloc.start()
+    try:
+        got = S.train(codes, y.astype(np.int64))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.recall > 0.9 and most < 100e6
